@@ -20,6 +20,7 @@ from docvec.operators.changes import (
     classify,
     documents_to_chunk,
     not_in,
+    one_per_key,
 )
 from docvec.operators.chunks import chunk_documents
 from docvec.operators.embed import EmbedFn, embed_texts, embedding_rows, hashed_embed
@@ -31,9 +32,9 @@ from docvec.plans.audit import Audit
 from docvec.sources.storage import work_folder
 from docvec.sources.tables import ManagedTable, Store
 
-# A source gives ``uri`` and ``text`` (and ``language``) rows; called with a table of
-# URIs it gives those alone, so that an expensive extraction is not repeated for
-# documents that did not change.
+# A source gives ``uri`` and ``text`` (and ``language``) rows, each URI once; called
+# with a table of URIs it gives those alone, so that an expensive extraction is not
+# repeated for documents that did not change.
 Source = Callable[[DataFrame | None], DataFrame]
 
 STAGES = ("normalize", "chunk", "embed", "index")
@@ -47,20 +48,26 @@ def open_store(spark: SparkSession, path: str, options: Options) -> Store:
     return Store(spark, path, options.num_shards, options.table_buckets)
 
 
-def from_table(docs: DataFrame) -> Source:
-    """Source over rows that already hold ``uri`` and ``text``."""
+def from_table(docs: DataFrame, unique: bool = False) -> Source:
+    """Source over rows that already hold ``uri`` and ``text``.
+
+    A URI listed twice is one document, with the greater text. ``unique=True`` says
+    that none is, and saves shuffling the texts to find out.
+    """
 
     def source(uris: DataFrame | None) -> DataFrame:
-        return docs if uris is None else docs.join(uris, "uri", "left_semi")
+        some = docs if uris is None else docs.join(uris, "uri", "left_semi")
+        return some if unique else one_per_key(some, "uri", "text")
 
     return source
 
 
 def from_uris(uris: DataFrame, extract: Callable[[DataFrame], DataFrame]) -> Source:
-    """Source that extracts ``uri`` and ``text`` from a list of URIs."""
+    """Source that extracts ``uri`` and ``text`` from a list of URIs, each once."""
+    listed = uris.select("uri").dropDuplicates()
 
     def source(wanted: DataFrame | None) -> DataFrame:
-        return extract(uris if wanted is None else uris.join(wanted, "uri", "left_semi"))
+        return extract(listed if wanted is None else listed.join(wanted, "uri", "left_semi"))
 
     return source
 
@@ -81,8 +88,7 @@ def run_normalize(store: Store, source: Source, options: Options, audit: Audit)
     def normalized(uris: DataFrame | None) -> DataFrame:
         raw = source(uris)
         lang = F.col("language") if "language" in raw.columns else options.language
-        # A URI listed twice is one document.
-        return normalize_documents(raw, lang).dropDuplicates(["docId"])
+        return normalize_documents(raw, lang)
 
     stamp = {"version_ts": F.current_timestamp()}
     if not table.exists():
