@@ -289,8 +289,7 @@ def upsert_docs(spark, sf):
     fresh = changes.not_in(
         documents(spark, sf), table.read("docId", "contentHash"), ["docId", "contentHash"]
     )
-    rows, _ = table.staged(fresh.withColumns(stamp))
-    table.merge(rows, ["docId"])
+    table.merge(fresh.withColumns(stamp), ["docId"])
     return table.read("docId", "contentHash", "uri", "title", "language")
 
 

@@ -107,3 +107,36 @@ def one_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     rest = [c for c in df.columns if c != key]
     picked = df.groupBy(key).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_row"))
     return picked.select(*[F.col(key) if c == key else F.col(f"_row.{c}") for c in df.columns])
+
+
+def compare(
+    want: DataFrame, have: DataFrame, id_col: str, hash_col: str, carry: Sequence[str] = ()
+) -> DataFrame:
+    """What to do per id: ``new``, ``changed`` or ``gone``; the others are left out.
+
+    One full outer join over keys in place of an anti join for each question. ``have``
+    may hold several hashes per id, which counts as changed; a null hash in ``want``
+    is a row that is not ready, and neither new nor gone. ``carry`` names columns to
+    take along from either side.
+    """
+    held = have.groupBy(id_col).agg(
+        F.min(hash_col).alias("_low"),
+        F.max(hash_col).alias("_high"),
+        F.lit(True).alias("_held"),
+        *[F.max(c).alias(f"_{c}") for c in carry if c in have.columns],
+    )
+    wanted = want.select(id_col, F.col(hash_col).alias("_want"), F.lit(True).alias("_wanted"), *carry)
+    same = (F.col("_low") == F.col("_want")) & (F.col("_high") == F.col("_want"))
+    action = (
+        F.when(F.col("_wanted").isNull(), "gone")
+        .when(F.col("_want").isNull(), F.lit(None))
+        .when(F.col("_held").isNull(), "new")
+        .when(~F.coalesce(same, F.lit(False)), "changed")
+    )
+    both = wanted.join(held, id_col, "full_outer").withColumn("action", action)
+    carried = [
+        F.coalesce(c, f"_{c}").alias(c) if c in have.columns else F.col(c) for c in carry
+    ]
+    return both.filter(F.col("action").isNotNull()).select(
+        id_col, F.col("_want").alias(hash_col), "action", *carried
+    )

@@ -40,15 +40,16 @@ def shard_distribution(index: DataFrame) -> DataFrame:
     )
 
 
-def shard_operations(changes: DataFrame) -> DataFrame:
+def shard_operations(added: DataFrame, updated: DataFrame | None = None) -> DataFrame:
     """Added and updated rows per shard, and a total row with a null shard.
 
-    An update counts as both added and updated.
+    An update counts as both added and updated. It is told by ``is_update``, or by a
+    table of its own with a row per update and its shard.
     """
-    per_shard = changes.groupBy("shard").agg(
-        F.count(F.lit(1)).alias("added"),
-        F.sum(F.col("is_update").cast("bigint")).alias("updated"),
-    )
+    rows = added.select("shard", F.lit(1).alias("a"), F.col("is_update").cast("bigint").alias("u"))
+    if updated is not None:
+        rows = rows.unionByName(updated.select("shard", F.lit(0).alias("a"), F.lit(1).cast("bigint").alias("u")))
+    per_shard = rows.groupBy("shard").agg(F.sum("a").alias("added"), F.sum("u").alias("updated"))
     return per_shard.rollup("shard").agg(
         F.sum("added").alias("added"), F.sum("updated").alias("updated")
     )

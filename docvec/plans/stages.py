@@ -1,9 +1,9 @@
 """The four incremental stages: normalize, chunk, embed, index.
 
 Each stage compares keys and hashes with what is stored, works on the difference,
-and upserts. A stage that finds no difference writes nothing. Comparisons carry
+and upserts. A stage that finds no difference writes no table. Comparisons carry
 keys alone; texts and vectors are read only for the rows that go on. Computed rows
-are written once before a merge, and their counts are observed during that write.
+are written once, where they stay, and their counts are observed during that write.
 """
 
 from __future__ import annotations
@@ -14,14 +14,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from docvec.functions.vectors import is_valid
-from docvec.operators.changes import (
-    chunks_to_embed,
-    classify,
-    documents_to_chunk,
-    not_in,
-    one_per_key,
-)
+from docvec.functions.text import shard_of
+from docvec.operators.changes import compare, not_in, one_per_key
 from docvec.operators.chunks import chunk_documents
 from docvec.operators.embed import EmbedFn, embed_texts, embedding_rows, hashed_embed
 from docvec.operators.index import index_candidates, index_rows
@@ -30,7 +24,7 @@ from docvec.operators.stats import shard_distribution, shard_operations
 from docvec.options import Options
 from docvec.plans.audit import Audit
 from docvec.sources.storage import work_folder
-from docvec.sources.tables import ManagedTable, Store
+from docvec.sources.tables import Store, Write
 
 # A source gives ``uri`` and ``text`` (and ``language``) rows, each URI once; called
 # with a table of URIs it gives those alone, so that an expensive extraction is not
@@ -72,58 +66,74 @@ def from_uris(uris: DataFrame, extract: Callable[[DataFrame], DataFrame]) -> Sou
     return source
 
 
-def _stored(table: ManagedTable, rows: DataFrame, **metrics) -> tuple[DataFrame, dict]:
-    """Rows written once to the work folder of the session, with metrics."""
+def _plan(spark: SparkSession, found: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+    """Keys to work on, stored once in the shared folder, with a count per action."""
     watch = Observation()
-    path = work_folder(table.spark, "keys")
-    seen = {"rows": F.count(F.lit(1)), **metrics}
-    rows.observe(watch, *[c.alias(n) for n, c in seen.items()]).write.parquet(path)
-    return table.spark.read.schema(rows.schema).parquet(path), dict(watch.get)
+    path = work_folder(spark, "keys")
+    counts = [
+        F.coalesce(F.sum((F.col("action") == a).cast("bigint")), F.lit(0)).alias(a)
+        for a in ("new", "changed", "gone")
+    ]
+    found.observe(watch, *counts).write.parquet(path)
+    return spark.read.schema(found.schema).parquet(path), dict(watch.get)
+
+
+def _todo(keys: DataFrame, *columns: str) -> DataFrame:
+    return keys.filter(F.col("action") != "gone").select(*columns)
+
+
+def _gone(keys: DataFrame, counts: dict[str, int], *columns) -> DataFrame | None:
+    if not counts["gone"]:
+        return None
+    return keys.filter(F.col("action") == "gone").select(*columns)
+
+
+def _nothing(audit: Audit, stage: str) -> int:
+    audit.note(stage, f"{stage}: nothing to do")
+    return 0
 
 
 def run_normalize(store: Store, source: Source, options: Options, audit: Audit) -> int:
-    """Stage 1; the number of new and changed documents."""
+    """Stage 1; the number of new and changed documents.
+
+    Texts are extracted to compare their hashes, and once more for the documents that
+    go on; on a first run once only.
+    """
     stage, table = "normalize", store.documents
 
     def normalized(uris: DataFrame | None) -> DataFrame:
         raw = source(uris)
         lang = F.col("language") if "language" in raw.columns else options.language
-        return normalize_documents(raw, lang)
+        return normalize_documents(raw, lang).withColumn("version_ts", F.current_timestamp())
 
-    stamp = {"version_ts": F.current_timestamp()}
     if not table.exists():
-        rows, seen = table.staged(normalized(None).withColumns(stamp))
-        new, changed = seen["rows"], 0
-        keys = rows.select("uri", "docId")
-    else:
-        found = normalized(None).select("uri", "docId", "contentHash")
-        before = table.read("docId", "contentHash")
-        if options.prune:
-            found, _ = _stored(table, found)
-        keys, seen = _stored(
-            table,
-            classify(found, before, "docId", "contentHash"),
-            changed=F.coalesce(F.sum(F.col("is_update").cast("bigint")), F.lit(0)),
-        )
-        new, changed = seen["rows"] - seen["changed"], seen["changed"]
-        if seen["rows"]:
-            rows, _ = table.staged(normalized(keys.select("uri")).withColumns(stamp))
-        else:
-            rows = None
-    audit.count(stage, "new", new)
-    audit.count(stage, "changed", changed)
-    gone = None
-    if options.prune and table.exists():
-        gone, lost = _stored(table, not_in(table.read("docId"), found, ["docId"]))
-        audit.count(stage, "pruned", lost["rows"])
-        gone = gone if lost["rows"] else None
-    if rows is not None or gone is not None:
-        empty = store.spark.createDataFrame([], table.schema)
-        table.merge(empty if rows is None else rows, ["docId"], delete=gone)
-        table.drop_staged()
-    else:
-        audit.note(stage, "normalize: nothing to do")
-    return new + changed
+        write, seen = table.put(normalized(None))
+        table.show(write)
+        audit.count(stage, "new", seen["rows"])
+        audit.count(stage, "changed", 0)
+        return seen["rows"]
+    found = compare(
+        normalized(None).select("docId", "contentHash", "uri"),
+        table.read("docId", "contentHash", "uri"),
+        "docId",
+        "contentHash",
+        ["uri"],
+    )
+    if not options.prune:
+        found = found.filter(F.col("action") != "gone")
+    keys, counts = _plan(store.spark, found)
+    audit.count(stage, "new", counts["new"])
+    audit.count(stage, "changed", counts["changed"])
+    if options.prune:
+        audit.count(stage, "pruned", counts["gone"])
+    write = None
+    if counts["new"] or counts["changed"]:
+        write, _ = table.put(normalized(_todo(keys, "uri")))
+    gone = _gone(keys, counts, "docId")
+    if write is None and gone is None:
+        return _nothing(audit, stage)
+    table.show(write, ["docId"] if counts["changed"] else None, gone)
+    return counts["new"] + counts["changed"]
 
 
 def run_chunk(store: Store, options: Options, audit: Audit) -> int:
@@ -133,38 +143,38 @@ def run_chunk(store: Store, options: Options, audit: Audit) -> int:
     keeps no trailing ones, and every chunk carries the current document hash.
     """
     stage, table = "chunk", store.chunks
-    docs = store.documents.read()
-    first = not table.exists()
-    gone = None
-    if first:
-        todo = docs
-    else:
-        held = table.read("docId", "docHash")
-        found = documents_to_chunk(docs.select("docId", "contentHash"), held)
-        keys, seen = _stored(table, found.select("docId"))
-        gone = not_in(held.select("docId").distinct(), docs, ["docId"])
-        gone, lost = _stored(table, gone)
-        if not seen["rows"] and not lost["rows"]:
+    docs, first = store.documents.read(), not table.exists()
+    old = None
+    if not first:
+        found = compare(
+            docs.select("docId", F.col("contentHash").alias("docHash")),
+            table.read("docId", "docHash"),
+            "docId",
+            "docHash",
+        )
+        keys, counts = _plan(store.spark, found)
+        if not any(counts.values()):
             audit.count(stage, "chunks", 0)
-            audit.note(stage, "chunk: nothing to do")
-            return 0
-        todo = docs.join(keys, "docId", "left_semi")
-        gone = keys.unionByName(gone)
-    chunked = chunk_documents(todo, options.max_chars, options.overlap, options.tail)
-    rows, seen = table.staged(
+            return _nothing(audit, stage)
+        docs = docs.join(_todo(keys, "docId"), "docId", "left_semi")
+        if counts["changed"] or counts["gone"]:
+            old = keys.filter(F.col("action") != "new").select("docId")
+    chunked = chunk_documents(docs, options.max_chars, options.overlap, options.tail)
+    write, seen = table.put(
         chunked.withColumn("version_ts", F.current_timestamp()),
-        documents=F.sum((F.col("offset") == 0).cast("bigint")),
+        documents=F.coalesce(F.sum((F.col("offset") == 0).cast("bigint")), F.lit(0)),
     )
-    changed = seen["rows"]
-    if not first:
-        # Reported as upserted: chunks that are not stored with this hash already.
-        before = table.read("chunkId", "chunkHash")
-        changed = not_in(rows.select("chunkId", "chunkHash"), before, ["chunkId", "chunkHash"]).count()
-    audit.count(stage, "documents", seen["documents"] or 0)
+    audit.count(stage, "documents", seen["documents"])
     audit.count(stage, "chunks", seen["rows"])
+    changed = seen["rows"]
+    if old is not None:
+        # Chunks of a changed document that read as before are written, for their
+        # document hash, but do not count as changed.
+        pair = ["chunkId", "chunkHash"]
+        before = table.read("docId", *pair).join(old, "docId", "left_semi")
+        changed = not_in(table.written(write, *pair), before, pair).count()
     audit.count(stage, "chunks_changed", changed)
-    table.merge(rows, ["chunkId"], delete=gone)
-    table.drop_staged()
+    table.show(write, delete=old)
     return seen["rows"]
 
 
@@ -181,42 +191,40 @@ def run_embed(
         return 0
     chunks = store.chunks.read("chunkId", "chunkHash", "chunk")
     model, version = options.embed_model, options.embed_ver
-    gone = None
+    gone, replaces = None, False
     if table.exists():
-        keys, seen = _stored(
-            table,
-            chunks_to_embed(
-                chunks.select("chunkId", "chunkHash"),
-                table.read("chunkId", "chunkHash", "embedder", "embedder_ver"),
-                model,
-                version,
-            ),
-        )
-        stale = not_in(table.read("chunkId").distinct(), chunks, ["chunkId"])
-        gone, lost = _stored(table, stale)
-        audit.count(stage, "removed", lost["rows"])
-        if not seen["rows"] and not lost["rows"]:
+        have = table.read("chunkId", "chunkHash", "embedder", "embedder_ver")
+        mine = (F.col("embedder") == model) & (F.col("embedder_ver") == version)
+        # Rows of other models keep their id, so that chunks gone from the text are
+        # found whatever model they were embedded with.
+        held = have.select("chunkId", F.when(mine, F.col("chunkHash")).alias("chunkHash"))
+        found = compare(chunks.select("chunkId", "chunkHash"), held, "chunkId", "chunkHash")
+        keys, counts = _plan(store.spark, found)
+        audit.count(stage, "removed", counts["gone"])
+        gone, replaces = _gone(keys, counts, "chunkId"), counts["changed"] > 0
+        if not counts["new"] and not counts["changed"]:
             audit.count(stage, "embedded", 0)
-            audit.note(stage, "embed: nothing to do")
+            if gone is None:
+                return _nothing(audit, stage)
+            table.show(None, delete=gone)
             return 0
-        chunks = chunks.join(keys.select("chunkId"), "chunkId", "left_semi")
-    made = embed_texts(chunks, embed, batch_size=options.batch_size)
-    good = F.sum((F.size("vector") > 0).cast("bigint"))
-    rows, seen = table.staged(
-        embedding_rows(made, model, version, failures=True).withColumn(
-            "version_ts", F.current_timestamp()
-        ),
-        good=F.coalesce(good, F.lit(0)),
+        chunks = chunks.join(_todo(keys, "chunkId"), "chunkId", "left_semi")
+    made = embedding_rows(
+        embed_texts(chunks, embed, batch_size=options.batch_size), model, version, failures=True
+    )
+    valid = F.size("vector") > 0
+    write, seen = table.put(
+        made.withColumn("version_ts", F.current_timestamp()),
+        keep=valid,
+        good=F.coalesce(F.sum(valid.cast("bigint")), F.lit(0)),
     )
     audit.count(stage, "embedded", seen["good"])
     audit.count(stage, "failed", seen["rows"] - seen["good"])
     audit.count(stage, "batches", -(-seen["rows"] // options.batch_size))
     if seen["rows"] and not seen["good"] and options.stop_when_all_fail:
-        table.drop_staged()
+        table.discard(write)
         raise NoEmbeddings(f"none of {seen['rows']} texts could be embedded")
-    rows = rows.filter(F.size("vector") > 0)
-    table.merge(rows, ["chunkId", "embedder", "embedder_ver"], delete=gone)
-    table.drop_staged()
+    table.show(write, ["chunkId", "embedder", "embedder_ver"] if replaces else None, gone)
     return seen["good"]
 
 
@@ -226,59 +234,82 @@ def run_index(store: Store, options: Options, audit: Audit) -> int:
     model, version = options.embed_model, options.embed_ver
     chunks = store.chunks.read("chunkId", "chunkHash", "docId", "offset", "chunk")
     vectors = store.embeddings.read("chunkId", "chunkHash", "embedder", "embedder_ver", "vector")
-    if not meta.exists():
-        candidates = index_candidates(chunks, vectors, model, version)
-        changes = candidates.withColumn("is_update", F.lit(False))
-        gone = None
-    else:
-        have = vectors.filter(
-            (F.col("embedder") == model) & (F.col("embedder_ver") == version) & is_valid("vector")
-        ).select("chunkId", "chunkHash")
-        current = chunks.select("chunkId", "chunkHash").join(have, ["chunkId", "chunkHash"])
-        before = meta.read("chunkId", "chunkHash", "docId")
-        keys, seen = _stored(meta, classify(current, before, "chunkId", "chunkHash"))
-        stale = not_in(before.select("chunkId", "docId"), chunks, ["chunkId"])
-        gone, lost = _stored(meta, stale)
-        audit.count(stage, "removed", lost["rows"])
-        if not seen["rows"] and not lost["rows"]:
+    gone, replaces, updates = None, False, None
+    if meta.exists():
+        mine = (F.col("embedder") == model) & (F.col("embedder_ver") == version)
+        ready = vectors.filter(mine).select("chunkId", F.col("chunkHash").alias("_ready"))
+        # A chunk without a vector for its current text is not ready; joined on the
+        # id alone, so that the next join on it needs no other shuffle.
+        want = chunks.select("chunkId", "chunkHash", "docId").join(ready, "chunkId", "left")
+        want = want.withColumn(
+            "chunkHash", F.when(F.col("chunkHash") == F.col("_ready"), F.col("chunkHash"))
+        )
+        found = compare(
+            want, meta.read("chunkId", "chunkHash", "docId"), "chunkId", "chunkHash", ["docId"]
+        )
+        keys, counts = _plan(store.spark, found)
+        audit.count(stage, "removed", counts["gone"])
+        gone, replaces = _gone(keys, counts, "chunkId", "docId"), counts["changed"] > 0
+        if not counts["new"] and not counts["changed"]:
             audit.count(stage, "indexed", 0)
-            audit.note(stage, "index: nothing to do")
+            if gone is None:
+                return _nothing(audit, stage)
+            _show_index(store, None, False, gone)
             return 0
         pair = ["chunkId", "chunkHash"]
-        changes = index_candidates(
-            chunks.join(keys.select(*pair), pair, "left_semi"),
-            vectors.join(keys.select(*pair), pair, "left_semi"),
-            model,
-            version,
-        ).join(keys, pair)
-    rows, seen = index.staged(index_rows(changes, options.num_shards))
+        todo = _todo(keys, *pair)
+        chunks = chunks.join(todo, pair, "left_semi")
+        vectors = vectors.join(todo, pair, "left_semi")
+        updates = keys.filter(F.col("action") == "changed").select(
+            shard_of("docId", options.num_shards).alias("shard")
+        )
+    candidates = index_candidates(chunks, vectors, model, version)
+    write, seen = index.put(index_rows(candidates, options.num_shards))
     if not seen["rows"] and gone is None:
-        index.drop_staged()
+        index.discard(write)
         audit.note(stage, "index: no chunk has a vector")
         return 0
-    # Reports over one row per shard.
+    rows = index.written(write, "doc_id", "shard")
+    # The reports come back as one row per shard.
     for r in shard_distribution(rows).collect():
         audit.note(stage, f"shard {r.shard}: {r.chunks} chunks from {r.documents} documents")
-    for r in shard_operations(rows).collect():
+    flagged = rows.select("shard", F.lit(False).alias("is_update"))
+    for r in shard_operations(flagged, updates).collect():
         name = "total" if r.shard is None else f"shard {r.shard}"
         audit.note(stage, f"{name}: added = {r.added}, updated = {r.updated}")
     audit.count(stage, "indexed", seen["rows"])
-    drop_index = drop_meta = None
-    if gone is not None:
-        drop_index = gone.select(F.col("docId").alias("doc_id"), F.col("chunkId").alias("chunk_id"))
-        drop_meta = gone.select("chunkId")
-    index.merge(rows, ["chunk_id"], delete=drop_index)
-    entries = rows.select(
-        F.col("chunk_id").alias("chunkId"),
-        F.col("chunk_hash").alias("chunkHash"),
-        F.col("doc_id").alias("docId"),
-        F.current_timestamp().alias("indexed_ts"),
-    )
-    meta.merge(entries, ["chunkId"], delete=drop_meta)
-    index.drop_staged()
+    _show_index(store, write, replaces, gone)
     return seen["rows"]
 
 
+def _show_index(
+    store: Store, write: Write | None, replaces: bool, gone: DataFrame | None
+) -> None:
+    """Publish index rows and then their entries in ``indexed_chunks``.
+
+    In this order a run that stops in between finds the rows as not yet indexed and
+    adds them again, replacing the first.
+    """
+    meta, index = store.indexed, store.index
+    entries = None
+    if write is not None:
+        rows = index.written(write, "chunk_id", "chunk_hash", "doc_id")
+        entries, _ = meta.put(
+            rows.select(
+                F.col("chunk_id").alias("chunkId"),
+                F.col("chunk_hash").alias("chunkHash"),
+                F.col("doc_id").alias("docId"),
+                F.current_timestamp().alias("indexed_ts"),
+            )
+        )
+    drop = drop_entries = None
+    if gone is not None:
+        drop = gone.select(F.col("docId").alias("doc_id"), F.col("chunkId").alias("chunk_id"))
+        drop_entries = gone.select("chunkId")
+    index.show(write, ["chunk_id"], drop)
+    meta.show(entries, ["chunkId"] if replaces else None, drop_entries)
+
+
 def run_stages(
     spark: SparkSession,
     path: str,

@@ -3,11 +3,12 @@
 Layout of a table folder::
 
     data/ver=3/bucket=7/part-....parquet
-    versions/00000003.json     {"bucket": {"7": 3, "8": 1}}
+    versions/00000002.json     {"next": 4, "bucket": {"7": [1, 3], "8": [1]}}
 
-A version lists, for each bucket, the write that holds its rows. An upsert
-rewrites only the buckets its rows fall in and lists the others where they are;
-nothing that is being read is overwritten. One writer at a time.
+A version lists, for each bucket, the writes that hold its rows; nothing that is
+being read is overwritten. New rows are written once, to the place where they stay.
+Rows that they replace, or that are deleted, are taken out by rewriting the buckets
+which hold such rows; buckets that only gain rows are left alone. One writer at a time.
 
 The bucket is a hash of the key, so its size follows the number of keys; writes
 are rebalanced, which lets adaptive execution split a large bucket over several
@@ -18,13 +19,13 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docvec.functions.text import shard_of
-from docvec.operators.changes import upserted
 from docvec.sources.storage import Storage
 
 _STR, _TS = T.StringType(), T.TimestampType()
@@ -58,6 +59,14 @@ SCHEMAS = {
 }
 
 
+@dataclass(frozen=True)
+class Write:
+    """A numbered write and the buckets it filled."""
+
+    number: int
+    buckets: list[int]
+
+
 class ManagedTable:
     def __init__(
         self,
@@ -76,54 +85,52 @@ class ManagedTable:
 
     # -- versions ----------------------------------------------------------
 
-    def _version_names(self) -> list[str]:
-        return [n for n in self._files.names(f"{self.path}/versions") if n.endswith(".json")]
-
     def version(self) -> int:
         """Number of the current version, 0 before the first write."""
-        names = self._version_names()
-        return int(names[-1].split(".")[0]) if names else 0
+        names = self._files.names(f"{self.path}/versions")
+        numbers = [int(n.split(".")[0]) for n in names if n.endswith(".json")]
+        return max(numbers, default=0)
 
     def exists(self) -> bool:
         return self.version() > 0
 
-    def _buckets_at(self, version: int) -> dict[int, int]:
+    def _state(self, version: int) -> tuple[int, dict[int, list[int]]]:
+        """Next free write number, and the writes of each bucket."""
         if version == 0:
-            return {}
-        text = self._files.read(f"{self.path}/versions/{version:08d}.json")
-        return {int(b): v for b, v in json.loads(text)["bucket"].items()}
+            return 1, {}
+        text = json.loads(self._files.read(f"{self.path}/versions/{version:08d}.json"))
+        return text["next"], {int(b): w for b, w in text["bucket"].items()}
 
-    def _publish(self, version: int, held: dict[int, int]) -> None:
-        text = json.dumps({"bucket": {str(b): v for b, v in sorted(held.items())}})
+    def _publish(self, free: int, held: dict[int, list[int]]) -> int:
+        version = self.version() + 1
+        buckets = {str(b): w for b, w in sorted(held.items()) if w}
+        text = json.dumps({"next": free, "bucket": buckets})
         self._files.publish(f"{self.path}/versions/{version:08d}.json", text)
+        return version
 
     # -- reading -----------------------------------------------------------
 
-    def read(
-        self, *columns: str, only: Sequence[int] | None = None, version: int | None = None
-    ) -> DataFrame:
+    def read(self, *columns: str, version: int | None = None) -> DataFrame:
         """Rows of a version, the current one by default; empty before any write."""
-        held = self._buckets_at(self.version() if version is None else version)
-        if only is not None:
-            wanted = set(only)
-            held = {b: v for b, v in held.items() if b in wanted}
+        _, held = self._state(self.version() if version is None else version)
+        return self._rows(held, columns or self._visible())
+
+    def _visible(self) -> list[str]:
+        shown = [self.bucket_name] if self.bucket_name != "bucket" else []
+        return [*self.schema.names, *shown]
+
+    def _rows(self, held: dict[int, list[int]], columns: Sequence[str]) -> DataFrame:
         full = T.StructType(
             self.schema.fields
             + [T.StructField(self.bucket_name, T.LongType()), T.StructField("ver", T.LongType())]
         )
-        if held:
-            folders = [
-                f"{self.path}/data/ver={v}/{self.bucket_name}={b}" for b, v in held.items()
-            ]
-            reader = self.spark.read.schema(full).option("basePath", f"{self.path}/data")
-            df = reader.parquet(*folders)
-        else:
-            df = self.spark.createDataFrame([], full)
-        names = [*self.schema.names, *self._visible()]
-        return df.select(*(columns or names))
-
-    def _visible(self) -> list[str]:
-        return [self.bucket_name] if self.bucket_name != "bucket" else []
+        folders = [
+            f"{self.path}/data/ver={w}/{self.bucket_name}={b}" for b, ws in held.items() for w in ws
+        ]
+        if not folders:
+            return self.spark.createDataFrame([], full).select(*columns)
+        reader = self.spark.read.schema(full).option("basePath", f"{self.path}/data")
+        return reader.parquet(*folders).select(*columns)
 
     def _bucket(self) -> Column:
         if self.bucket_name == "shard":
@@ -132,8 +139,8 @@ class ManagedTable:
 
     # -- writing -----------------------------------------------------------
 
-    def _write(self, rows: DataFrame, version: int, files: int | None = None) -> set[int]:
-        """Write rows as one version's data; the buckets that got any."""
+    def _write(self, rows: DataFrame, write: int, files: int | None = None) -> list[int]:
+        """Write rows as one numbered write; the buckets that got any."""
         typed = rows.select(
             *[F.col(f.name).cast(f.dataType) for f in self.schema.fields],
             self._bucket().alias(self.bucket_name),
@@ -142,7 +149,7 @@ class ManagedTable:
             placed = typed.hint("rebalance", self.bucket_name)
         else:
             placed = typed.repartition(files, self.bucket_name, *self.sort_by)
-        target = f"{self.path}/data/ver={version}"
+        target = f"{self.path}/data/ver={write}"
         (
             placed.sortWithinPartitions(self.bucket_name, *self.sort_by)
             .write.mode("overwrite")
@@ -151,73 +158,82 @@ class ManagedTable:
         )
         prefix = f"{self.bucket_name}="
         names = self._files.names(target)
-        return {int(n[len(prefix):]) for n in names if n.startswith(prefix)}
+        return [int(n[len(prefix):]) for n in names if n.startswith(prefix)]
 
-    def overwrite(self, rows: DataFrame) -> int:
-        """Write the whole table anew; the version number."""
-        version = self.version() + 1
-        self._publish(version, {b: version for b in self._write(rows, version)})
-        return version
+    def put(
+        self, rows: DataFrame, keep: Column | None = None, **metrics: Column
+    ) -> tuple[Write, dict]:
+        """Write rows without showing them yet; metrics are observed on the way.
 
-    def merge(
+        ``rows`` is always among the metrics; they cover all rows, also those that
+        ``keep`` then holds back.
+        """
+        watch = Observation()
+        seen = {"rows": F.count(F.lit(1)), **metrics}
+        watched = rows.observe(watch, *[c.alias(n) for n, c in seen.items()])
+        number, _ = self._state(self.version())
+        buckets = self._write(watched if keep is None else watched.filter(keep), number)
+        return Write(number, buckets), dict(watch.get)
+
+    def written(self, write: Write, *columns: str) -> DataFrame:
+        """Rows of a write that is not shown yet."""
+        return self._rows({b: [write.number] for b in write.buckets}, columns or self._visible())
+
+    def discard(self, write: Write) -> None:
+        self._files.delete(f"{self.path}/data/ver={write.number}")
+
+    def show(
         self,
-        rows: DataFrame,
-        keys: Sequence[str],
+        write: Write | None,
+        keys: Sequence[str] | None = None,
         delete: DataFrame | None = None,
     ) -> int:
-        """Upsert ``rows`` on ``keys``, and drop the rows matching ``delete``.
+        """Publish a write as an upsert on ``keys``; the version number.
 
-        Both must be cheap to read more than once: stored rows, not a computation
-        (see :meth:`staged`). ``delete`` holds the bucket key and any further columns
-        to match; deleting by document and adding its new chunks replaces it whole.
-        The bucket key must be one of ``keys`` or follow from them.
+        Without ``keys`` the rows are known to be new. Rows matching ``delete``, on the
+        columns it has, go as well. Old rows are compared by key columns alone.
         """
-        current = self.version()
-        if current == 0:
-            return self.overwrite(rows)
-        held = self._buckets_at(current)
-        sides = [rows] + ([delete] if delete is not None else [])
-        touched: set[int] = set()
-        for side in sides:
-            # At most one small number per bucket comes back.
-            found = side.select(self._bucket().alias("b")).distinct().collect()
-            touched.update(r.b for r in found)
-        if not touched:
-            return current
-        old = self.read(*self.schema.names, only=sorted(touched), version=current)
+        free, held = self._state(self.version())
+        removals = []
+        if write is not None:
+            free = write.number + 1
+            if keys is not None:
+                removals.append(self.written(write, *keys))
         if delete is not None:
-            old = old.join(delete, delete.columns, "left_anti")
-        merged = upserted(old, rows.select(*self.schema.names), keys)
-        version = current + 1
-        written = self._write(merged, version)
-        kept = {b: v for b, v in held.items() if b not in touched}
-        self._publish(version, {**kept, **{b: version for b in written}})
-        return version
+            removals.append(delete)
+        for gone in removals:
+            names = gone.columns
+            old = self._rows(held, [*dict.fromkeys([*names, self.bucket_name])])
+            # At most one number per bucket comes back.
+            hit = old.join(gone, names, "left_semi").select(self.bucket_name).distinct()
+            touched = [r[0] for r in hit.collect()]
+            if not touched:
+                continue
+            full = self._rows({b: held[b] for b in touched}, self.schema.names)
+            written = self._write(full.join(gone, names, "left_anti"), free)
+            held = {**held, **{b: [free] if b in written else [] for b in touched}}
+            free += 1
+        for bucket in write.buckets if write is not None else []:
+            held[bucket] = [*held.get(bucket, []), write.number]
+        return self._publish(free, held)
 
-    def compact(self, files: int) -> int:
-        """Rewrite the current version into at most ``files`` tasks' files."""
-        current = self.read(*self.schema.names)
-        version = self.version() + 1
-        self._publish(version, {b: version for b in self._write(current, version, files)})
-        return version
+    def overwrite(self, rows: DataFrame) -> int:
+        """Write the whole table anew; the version number."""
+        write, _ = self.put(rows)
+        return self._publish(write.number + 1, {b: [write.number] for b in write.buckets})
 
-    def staged(self, rows: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
-        """Store computed rows once; the stored rows and metrics over them.
+    def merge(
+        self, rows: DataFrame, keys: Sequence[str], delete: DataFrame | None = None
+    ) -> int:
+        """Upsert rows, unique on ``keys``, in one call; the version number."""
+        write, _ = self.put(rows)
+        return self.show(write, keys, delete)
 
-        ``rows`` is always among the metrics. The caller drops the folder with
-        :meth:`drop_staged` when it has been merged.
-        """
-        watch = Observation()
-        path = f"{self.path}/staged"
-        seen = {"rows": F.count(F.lit(1)), **metrics}
-        rows.observe(watch, *[c.alias(n) for n, c in seen.items()]).write.mode(
-            "overwrite"
-        ).parquet(path)
-        schema = rows.schema
-        return self.spark.read.schema(schema).parquet(path), dict(watch.get)
-
-    def drop_staged(self) -> None:
-        self._files.delete(f"{self.path}/staged")
+    def compact(self, files: int) -> int:
+        """Rewrite the current version with at most ``files`` tasks."""
+        free, held = self._state(self.version())
+        written = self._write(self._rows(held, self.schema.names), free, files)
+        return self._publish(free + 1, {b: [free] for b in written})
 
 
 class Store:
