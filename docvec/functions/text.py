@@ -33,6 +33,11 @@ def normalize_whitespace(text: Column | str) -> Column:
     return F.regexp_replace(collapsed, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
 
 
+def has_visible(text: Column | str) -> Column:
+    """Whether anything is left of a text once its white space is normalized."""
+    return _col(text).rlike(r"[^\x00-\x20]")
+
+
 def title_of(text: Column | str) -> Column:
     """The first 80 characters, up to a line terminator."""
     return F.regexp_extract(_col(text), "^(.{1,%d})" % TITLE_CHARS, 1)

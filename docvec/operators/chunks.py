@@ -29,7 +29,10 @@ def split_documents(
     text = F.col("text") if clean else normalize_whitespace("text")
     others = [c for c in docs.columns if c != "text"]
     pieces = docs.select(*others, split_clean(text, max_chars, overlap, tail).alias("_p"))
-    return pieces.select(*others, F.posexplode("_p").alias("offset", "chunk"))
+    # The outer form with a filter after it: for the plain one Spark infers a filter on
+    # the array, pushes it down, and so splits every text twice.
+    listed = pieces.select(*others, F.posexplode_outer("_p").alias("offset", "chunk"))
+    return listed.filter(F.col("chunk").isNotNull())
 
 
 def chunk_documents(

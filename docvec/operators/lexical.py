@@ -43,7 +43,9 @@ def term_index(rows: DataFrame, id_col: str = "chunk_id", text_col: str = "text"
             yield pa.array(out, pa.list_(entry))
 
     terms = rows.select(id_col, counted(F.col(text_col)).alias("_t"))
-    return terms.select(id_col, F.posexplode("_t").alias("nth", "_e")).select(
+    # As in chunking, the outer form keeps the words from being counted twice.
+    listed = terms.select(id_col, F.posexplode_outer("_t").alias("nth", "_e"))
+    return listed.filter(F.col("_e").isNotNull()).select(
         F.col("_e.term").alias("term"),
         id_col,
         F.col("_e.tf").alias("tf"),

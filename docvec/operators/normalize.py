@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docvec.functions.text import doc_id, normalize_whitespace, sha256_hex, title_of
+from docvec.functions.text import (
+    doc_id,
+    has_visible,
+    normalize_whitespace,
+    sha256_hex,
+    title_of,
+)
 
 DOC_COLUMNS = ["uri", "text", "language", "title", "docId", "contentHash"]
 
@@ -16,8 +22,11 @@ def normalize_documents(raw: DataFrame, language: Column | str = "en") -> DataFr
     ``language`` is a constant, or a column to pass through.
     """
     lang = F.lit(language) if isinstance(language, str) else language
-    clean = raw.select("uri", lang.alias("language"), normalize_whitespace("text").alias("text"))
-    return clean.filter(F.length("text") > 0).select(
+    # Tested on the raw text, which stops at the first visible character; a test on
+    # the clean text would be pushed down and clean every text twice.
+    some = raw.filter(has_visible("text"))
+    clean = some.select("uri", lang.alias("language"), normalize_whitespace("text").alias("text"))
+    return clean.select(
         "uri",
         "text",
         "language",
