@@ -15,9 +15,15 @@ def similarity_name(name: str | None) -> str:
     return name if name in SIMILARITIES else "COSINE"
 
 
+def _squares(vector: Column, finish=None) -> Column:
+    def add(total: Column, x: Column) -> Column:
+        return total + x.cast("double") * x.cast("double")
+
+    return F.aggregate(vector, F.lit(0.0), add, finish)
+
+
 def norm(vector: Column | str) -> Column:
-    squares = F.transform(_col(vector), lambda x: x.cast("double") * x.cast("double"))
-    return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda a, x: a + x))
+    return _squares(_col(vector), F.sqrt)
 
 
 def l2_normalize(vector: Column | str) -> Column:
@@ -32,9 +38,9 @@ def l2_normalize(vector: Column | str) -> Column:
 
 def is_valid(vector: Column | str) -> Column:
     """Non-empty, finite and not all zero."""
-    n = norm(vector)
-    finite = n.isNotNull() & ~F.isnan(n) & (n < float("inf"))
-    return F.coalesce((F.size(_col(vector)) > 0) & finite & (n > 0), F.lit(False))
+    # One pass over the vector; NaN compares greater than infinity.
+    ok = _squares(_col(vector), lambda s: (s > 0) & (s < float("inf")))
+    return F.coalesce(ok, F.lit(False))
 
 
 def embed_request(text: Column | str, model: str) -> Column:

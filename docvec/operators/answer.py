@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docvec.operators.embed import EmbedFn, hashed_embed
-from docvec.operators.search import batch_search, embed_queries
+from docvec.operators.search import embed_queries, search_vectors, stored
 from docvec.options import TOP_K
 
 Generate = Callable[[list[dict[str, str]]], str]
@@ -37,27 +37,31 @@ def _in_rank_order(item) -> F.Column:
     return F.transform(pairs, lambda p: p["item"])
 
 
-def pack_context(hits: DataFrame) -> DataFrame:
-    """``query_id`` and ``context``: the passages of a query in rank order."""
+def _context() -> F.Column:
     passage = F.concat(
         F.lit("[Document "), F.col("rank").cast("string"), F.lit(": "), F.col("docId"),
         F.lit(" - chunk "), F.col("chunkId"), F.lit("]:\n"), F.col("text"),
     )
-    packed = F.array_join(_in_rank_order(passage), PASSAGE_BREAK)
-    return hits.groupBy("query_id").agg(packed.alias("context"))
+    return F.array_join(_in_rank_order(passage), PASSAGE_BREAK)
 
 
-def answer_sources(hits: DataFrame) -> DataFrame:
-    """``query_id`` and ``sources``: the distinct labels in rank order."""
+def _sources() -> F.Column:
     label = F.concat("docId", F.lit(" (chunk "), "chunkId", F.lit(")"))
     listed = F.array_join(F.array_distinct(_in_rank_order(label)), ", ")
-    return hits.groupBy("query_id").agg(
-        F.format_string(SOURCES_FORMAT, listed).alias("sources")
-    )
+    return F.format_string(SOURCES_FORMAT, listed)
 
 
-def build_prompt(queries: DataFrame, contexts: DataFrame) -> DataFrame:
-    """``query_id`` and ``messages``: system and user text per query."""
+def pack_context(hits: DataFrame) -> DataFrame:
+    """``query_id`` and ``context``: the passages of a query in rank order."""
+    return hits.groupBy("query_id").agg(_context().alias("context"))
+
+
+def answer_sources(hits: DataFrame) -> DataFrame:
+    """``query_id`` and ``sources``: the distinct labels in rank order."""
+    return hits.groupBy("query_id").agg(_sources().alias("sources"))
+
+
+def _messages() -> F.Column:
     user = F.concat(
         F.lit("Passages:\n\n"), F.col("context"), F.lit("\n\nQuestion: "), F.col("text")
     )
@@ -65,8 +69,13 @@ def build_prompt(queries: DataFrame, contexts: DataFrame) -> DataFrame:
     def message(role: str, content) -> F.Column:
         return F.struct(F.lit(role).alias("role"), content.alias("content"))
 
-    messages = F.array(message("system", F.lit(SYSTEM_TEXT)), message("user", user))
-    return queries.join(contexts, "query_id").select("query_id", messages.alias("messages"))
+    return F.array(message("system", F.lit(SYSTEM_TEXT)), message("user", user))
+
+
+def build_prompt(queries: DataFrame, contexts: DataFrame) -> DataFrame:
+    """``query_id`` and ``messages``: system and user text per query."""
+    joined = queries.join(contexts, "query_id")
+    return joined.select("query_id", _messages().alias("messages"))
 
 
 def first_sentence(messages: list[dict[str, str]]) -> str:
@@ -89,8 +98,9 @@ def batch_answer(
     ``status`` is ``ok``, ``no_vector``, ``no_hits`` or ``failed``; the last three come
     with a message, so a bad query never stops the others.
     """
-    hits = batch_search(queries, index, k, similarity, embed)
-    prompts = build_prompt(queries, pack_context(hits)).join(answer_sources(hits), "query_id")
+    vectors = stored(embed_queries(queries, embed), "vectors")
+    hits = search_vectors(vectors, index, k, similarity)
+    packed = hits.groupBy("query_id").agg(_context().alias("context"), _sources().alias("sources"))
     id_field = queries.schema["query_id"]
     schema = T.StructType(
         [
@@ -118,9 +128,9 @@ def batch_answer(
                 }
             )
 
-    columns = prompts.select("query_id", "sources", "messages")
-    replies = columns.mapInPandas(run, schema)
-    ready = embed_queries(queries, embed).select(
+    prompts = queries.join(packed, "query_id").select("query_id", "sources", _messages().alias("messages"))
+    replies = prompts.mapInPandas(run, schema)
+    ready = vectors.select(
         "query_id", (F.size("vector") > 0).alias("_ready")
     )
     joined = ready.join(replies, "query_id", "left")

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-import math
 import re
 from collections.abc import Callable, Iterator, Sequence
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,13 +18,23 @@ Vectors = Sequence[Sequence[float]] | np.ndarray
 EmbedFn = Callable[[list[str]], Vectors]
 
 HASHED_DIM = 64
+MAX_CACHED_WORDS = 500_000
 _WORD = re.compile(r"[^\W_]+")
 
 
-@lru_cache(maxsize=200_000)
-def _token_cell(token: str) -> tuple[int, int]:
-    digest = hashlib.sha256(token.encode()).hexdigest()
-    return int(digest[:8], 16) % HASHED_DIM, 1 if int(digest[8], 16) % 2 == 0 else -1
+class _WordCodes(dict):
+    """Word to twice its cell, plus one for a negative sign."""
+
+    def __missing__(self, word: str) -> int:
+        digest = hashlib.sha256(word.encode()).hexdigest()
+        code = int(digest[:8], 16) % HASHED_DIM * 2 + int(digest[8], 16) % 2
+        if len(self) >= MAX_CACHED_WORDS:
+            self.clear()
+        self[word] = code
+        return code
+
+
+_CODES = _WordCodes()
 
 
 def hashed_embed(texts: list[str]) -> np.ndarray:
@@ -36,36 +44,42 @@ def hashed_embed(texts: list[str]) -> np.ndarray:
     sign. A text whose words are missing or cancel out counts as one word; an empty
     one has no vector. It stands in for a model and needs no other process.
     """
-    out = np.zeros((len(texts), HASHED_DIM))
-    for row, text in enumerate(texts):
-        lower = text.lower()
-        for token in _WORD.findall(lower):
-            cell, sign = _token_cell(token)
-            out[row, cell] += sign
-        if lower and not out[row].any():
-            cell, sign = _token_cell(lower)
-            out[row, cell] = sign
+    lowered = [t.lower() for t in texts]
+    words = [_WORD.findall(t) for t in lowered]
+    codes = np.array([_CODES[w] for ws in words for w in ws], dtype=np.int64)
+    rows = np.repeat(np.arange(len(texts)), [len(ws) for ws in words])
+    cells = 2 * HASHED_DIM
+    counts = np.bincount(rows * cells + codes, minlength=len(texts) * cells)
+    counts = counts.reshape(len(texts), HASHED_DIM, 2)
+    out = (counts[:, :, 0] - counts[:, :, 1]).astype(np.float64)
+    for row in np.flatnonzero(~out.any(axis=1)):
+        if lowered[row]:
+            cell, negative = divmod(_CODES[lowered[row]], 2)
+            out[row, cell] = -1.0 if negative else 1.0
     return out
 
 
-def _unit(vector: Sequence[float]) -> list[float]:
-    """Unit vector, or nothing when the vector is empty, zero or not finite."""
-    v = np.asarray(vector, dtype=np.float64)
-    if v.ndim != 1 or v.size == 0:
-        return []
-    size = math.sqrt(float(v @ v))
-    if size == 0 or not math.isfinite(size):
-        return []
-    return (v / size).astype(np.float32).tolist()
+def _units(vectors: Vectors, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Flat unit vectors and their lengths; an unusable vector has length 0."""
+    if len(vectors) != count:
+        raise ValueError("one vector per text is needed")
+    lengths = np.array([len(v) for v in vectors], dtype=np.int64)
+    if lengths.size and (lengths == lengths[0]).all():
+        table = np.asarray(vectors, dtype=np.float64).reshape(count, -1)
+        sizes = np.sqrt(np.einsum("ij,ij->i", table, table))
+        usable = np.isfinite(sizes) & (sizes > 0)
+        unit = table[usable] / sizes[usable, None]
+        return unit.astype(np.float32).ravel(), np.where(usable, lengths, 0)
+    parts = [_units([v], 1) for v in vectors]
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
-def _call(embed: EmbedFn, texts: list[str]) -> list[list[float]]:
+def _call(embed: EmbedFn, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """One batch; a batch that fails, or answers short, gives empty vectors."""
     try:
-        vectors = [_unit(v) for v in embed(texts)]
+        return _units(embed(texts), len(texts))
     except Exception:
-        return [[] for _ in texts]
-    return vectors if len(vectors) == len(texts) else [[] for _ in texts]
+        return np.empty(0, dtype=np.float32), np.zeros(len(texts), dtype=np.int64)
 
 
 def embed_texts(
@@ -92,10 +106,17 @@ def embed_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("_text").to_pylist()
-            vectors: list[list[float]] = []
-            for start in range(0, len(texts), batch_size):
-                vectors.extend(_call(embed, texts[start : start + batch_size]))
-            column = pa.array(vectors, pa.list_(pa.field("element", pa.float32(), False)))
+            parts = [
+                _call(embed, texts[start : start + batch_size])
+                for start in range(0, len(texts), batch_size)
+            ]
+            flat = np.concatenate([np.empty(0, dtype=np.float32), *[p[0] for p in parts]])
+            ends = np.cumsum(np.concatenate([[0], *[p[1] for p in parts]]))
+            column = pa.ListArray.from_arrays(
+                pa.array(ends, pa.int32()),
+                pa.array(flat, pa.float32()),
+                pa.list_(pa.field("element", pa.float32(), False)),
+            )
             yield pa.RecordBatch.from_arrays(
                 [batch.column(c) for c in kept] + [column], names=[*kept, "vector"]
             )

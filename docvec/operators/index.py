@@ -41,11 +41,20 @@ def index_rows(candidates: DataFrame, num_shards: int) -> DataFrame:
     )
 
 
-def lookup(index: DataFrame, column: str, value: str) -> DataFrame:
-    """Exact-term lookup by ``doc_id``, ``chunk_id`` or ``chunk_hash``."""
+def lookup(
+    index: DataFrame, column: str, value: str, num_shards: int | None = None
+) -> DataFrame:
+    """Exact-term lookup by ``doc_id``, ``chunk_id`` or ``chunk_hash``.
+
+    With the number of shards given, a document is read from its own shard alone;
+    within a shard, files are sorted by document.
+    """
     if column not in ("doc_id", "chunk_id", "chunk_hash"):
         raise ValueError(f"{column} is not an exact-term column")
-    return index.filter(F.col(column) == value)
+    found = index.filter(F.col(column) == value)
+    if column == "doc_id" and num_shards is not None:
+        found = found.filter(F.col("shard") == shard_of(F.lit(value), num_shards))
+    return found
 
 
 def offset_range(index: DataFrame, first: int, last: int) -> DataFrame:

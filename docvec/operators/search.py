@@ -147,9 +147,16 @@ def ranked(hits: DataFrame, k: int, keys: Sequence[str], id_col: str) -> DataFra
     return partial.withColumn("rank", place).filter(F.col("rank") <= k)
 
 
-def _query_slices(queries: DataFrame, dim: int | None, k: int) -> Iterator[list]:
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written once to the shared work folder and read back."""
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _query_slices(queries: DataFrame, k: int) -> Iterator[list]:
     """Lists of (query id, vector), each below the bounds of a slice."""
-    usable = queries.filter(is_valid("vector"))
+    usable = stored(queries.filter(is_valid("vector")).select("query_id", "vector"), "queries")
     facts = usable.agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.size("vector")).alias("low"),
@@ -157,22 +164,18 @@ def _query_slices(queries: DataFrame, dim: int | None, k: int) -> Iterator[list]
     ).first()
     if not facts.n:
         return
-    if facts.low != facts.high or (dim is not None and facts.high != dim):
-        raise ValueError("query vectors must have one dimension, that of the index")
+    if facts.low != facts.high:
+        raise ValueError("query vectors must have one dimension")
     limit = max(1, min(MAX_SLICE_NUMBERS // facts.high, MAX_SLICE_HITS // k))
     if facts.n <= limit:
-        yield usable.select("query_id", "vector").collect()
+        yield usable.collect()
         return
-    # Stored once, since every slice reads it. Hash slices are aimed at half the
-    # bound; one that still exceeds it is split again.
-    path = work_folder(queries.sparkSession, "queries")
-    usable.select("query_id", "vector").write.parquet(path)
-    stored = queries.sparkSession.read.parquet(path)
+    # Hash slices are aimed at half the bound; one that still exceeds it is split again.
     parts = -(-2 * facts.n // limit)
     todo = [(parts, part) for part in range(parts)]
     while todo:
         parts, part = todo.pop()
-        chosen = stored.filter(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == part)
+        chosen = usable.filter(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == part)
         rows = chosen.limit(limit + 1).collect()
         if len(rows) > limit:
             if parts > 64 * facts.n:
@@ -215,7 +218,7 @@ def knn(
         vectors = vectors.withColumn(id_col, F.col(id_col).cast("bigint"))
         schema["id"].dataType = T.LongType()
     result = None
-    for rows in _query_slices(queries, None, k):
+    for rows in _query_slices(queries, k):
         q = np.array([r.vector for r in rows], dtype=np.float64)
         ids = spark.sparkContext.broadcast([r.query_id for r in rows])
         matrix = spark.sparkContext.broadcast(q)
@@ -274,18 +277,15 @@ def with_defaults(queries: DataFrame, model: str, chat_model: str, k: int = TOP_
 
 
 def embed_queries(queries: DataFrame, embed: EmbedFn = hashed_embed) -> DataFrame:
-    """``query_id`` and ``vector`` of a table of query texts."""
-    return embed_texts(queries, embed, text_col="text", keep=["query_id"])
+    """``query_id`` and ``vector`` (and ``top_k``) of a table of query texts."""
+    keep = [c for c in ("query_id", "top_k") if c in queries.columns]
+    return embed_texts(queries, embed, text_col="text", keep=keep)
 
 
-def batch_search(
-    queries: DataFrame,
-    index: DataFrame,
-    k: int = TOP_K,
-    similarity: str | None = "COSINE",
-    embed: EmbedFn = hashed_embed,
+def search_vectors(
+    queries: DataFrame, index: DataFrame, k: int = TOP_K, similarity: str | None = "COSINE"
 ) -> DataFrame:
-    """Ranked index rows for a table of ``query_id`` and ``text``.
+    """Ranked index rows for a table of ``query_id`` and ``vector``.
 
     A query may carry its own ``top_k``; the search then runs for the largest and
     each query keeps as many as it asked for.
@@ -298,8 +298,23 @@ def batch_search(
     if seen.get("least") is not None:
         check_k(seen["least"])
     most = max(k, seen.get("most") or k)
-    hits = knn(index, embed_queries(queries, embed), most, similarity)
+    hits = knn(index, queries, most, similarity)
     if "top_k" in queries.columns:
         asked = queries.select("query_id", F.coalesce("top_k", F.lit(k)).alias("_k"))
         hits = hits.join(asked, "query_id").filter(F.col("rank") <= F.col("_k")).drop("_k")
     return with_rows(hits, index, seen["n"], most)
+
+
+def batch_search(
+    queries: DataFrame,
+    index: DataFrame,
+    k: int = TOP_K,
+    similarity: str | None = "COSINE",
+    embed: EmbedFn = hashed_embed,
+) -> DataFrame:
+    """Ranked index rows for a table of ``query_id`` and ``text``.
+
+    Each text is embedded once. For ``top_k`` see :func:`search_vectors`.
+    """
+    check_k(k)
+    return search_vectors(stored(embed_queries(queries, embed), "vectors"), index, k, similarity)

@@ -162,6 +162,9 @@ def run_chunk(store: Store, options: Options, audit: Audit) -> int:
     chunked = chunk_documents(docs, options.max_chars, options.overlap, options.tail)
     write, seen = table.put(
         chunked.withColumn("version_ts", F.current_timestamp()),
+        # Documents are kept in the buckets of their chunks. On later runs the few rows
+        # of each task are gathered instead.
+        placed=first,
         documents=F.coalesce(F.sum((F.col("offset") == 0).cast("bigint")), F.lit(0)),
     )
     audit.count(stage, "documents", seen["documents"])

@@ -139,19 +139,24 @@ class ManagedTable:
 
     # -- writing -----------------------------------------------------------
 
-    def _write(self, rows: DataFrame, write: int, files: int | None = None) -> list[int]:
-        """Write rows as one numbered write; the buckets that got any."""
+    def _write(
+        self, rows: DataFrame, write: int, files: int | None = None, placed: bool = False
+    ) -> list[int]:
+        """Write rows as one numbered write; the buckets that got any.
+
+        ``placed`` says that the rows of a task already fall in few buckets.
+        """
         typed = rows.select(
             *[F.col(f.name).cast(f.dataType) for f in self.schema.fields],
             self._bucket().alias(self.bucket_name),
         )
-        if files is None:
-            placed = typed.hint("rebalance", self.bucket_name)
-        else:
-            placed = typed.repartition(files, self.bucket_name, *self.sort_by)
+        if files is not None:
+            typed = typed.repartition(files, self.bucket_name, *self.sort_by)
+        elif not placed:
+            typed = typed.hint("rebalance", self.bucket_name)
         target = f"{self.path}/data/ver={write}"
         (
-            placed.sortWithinPartitions(self.bucket_name, *self.sort_by)
+            typed.sortWithinPartitions(self.bucket_name, *self.sort_by)
             .write.mode("overwrite")
             .partitionBy(self.bucket_name)
             .parquet(target)
@@ -161,18 +166,24 @@ class ManagedTable:
         return [int(n[len(prefix):]) for n in names if n.startswith(prefix)]
 
     def put(
-        self, rows: DataFrame, keep: Column | None = None, **metrics: Column
+        self,
+        rows: DataFrame,
+        keep: Column | None = None,
+        placed: bool = False,
+        **metrics: Column,
     ) -> tuple[Write, dict]:
         """Write rows without showing them yet; metrics are observed on the way.
 
         ``rows`` is always among the metrics; they cover all rows, also those that
-        ``keep`` then holds back.
+        ``keep`` then holds back. ``placed`` skips the shuffle to the buckets, for rows
+        computed in place from a whole table with the same buckets.
         """
         watch = Observation()
         seen = {"rows": F.count(F.lit(1)), **metrics}
         watched = rows.observe(watch, *[c.alias(n) for n, c in seen.items()])
         number, _ = self._state(self.version())
-        buckets = self._write(watched if keep is None else watched.filter(keep), number)
+        kept = watched if keep is None else watched.filter(keep)
+        buckets = self._write(kept, number, placed=placed)
         return Write(number, buckets), dict(watch.get)
 
     def written(self, write: Write, *columns: str) -> DataFrame:
@@ -201,16 +212,17 @@ class ManagedTable:
                 removals.append(self.written(write, *keys))
         if delete is not None:
             removals.append(delete)
-        for gone in removals:
-            names = gone.columns
-            old = self._rows(held, [*dict.fromkeys([*names, self.bucket_name])])
+        touched: set[int] = set()
+        for gone in removals if held else []:
+            old = self._rows(held, [*dict.fromkeys([*gone.columns, self.bucket_name])])
+            hit = old.join(gone, gone.columns, "left_semi").select(self.bucket_name)
             # At most one number per bucket comes back.
-            hit = old.join(gone, names, "left_semi").select(self.bucket_name).distinct()
-            touched = [r[0] for r in hit.collect()]
-            if not touched:
-                continue
-            full = self._rows({b: held[b] for b in touched}, self.schema.names)
-            written = self._write(full.join(gone, names, "left_anti"), free)
+            touched.update(r[0] for r in hit.distinct().collect())
+        if touched:
+            kept = self._rows({b: held[b] for b in touched}, self.schema.names)
+            for gone in removals:
+                kept = kept.join(gone, gone.columns, "left_anti")
+            written = self._write(kept, free)
             held = {**held, **{b: [free] if b in written else [] for b in touched}}
             free += 1
         for bucket in write.buckets if write is not None else []:
