@@ -66,10 +66,11 @@ def from_uris(uris: DataFrame, extract: Callable[[DataFrame], DataFrame]) -> Sou
     return source
 
 
-def _plan(spark: SparkSession, found: DataFrame) -> tuple[DataFrame, dict[str, int]]:
+def _plan(store: Store, found: DataFrame) -> tuple[DataFrame, dict[str, int]]:
     """Keys to work on, stored once in the shared folder, with a count per action."""
-    watch = Observation()
+    spark, watch = store.spark, Observation()
     path = work_folder(spark, "keys")
+    store.scratch.append(path)
     counts = [
         F.coalesce(F.sum((F.col("action") == a).cast("bigint")), F.lit(0)).alias(a)
         for a in ("new", "changed", "gone")
@@ -121,7 +122,7 @@ def run_normalize(store: Store, source: Source, options: Options, audit: Audit)
     )
     if not options.prune:
         found = found.filter(F.col("action") != "gone")
-    keys, counts = _plan(store.spark, found)
+    keys, counts = _plan(store, found)
     audit.count(stage, "new", counts["new"])
     audit.count(stage, "changed", counts["changed"])
     if options.prune:
@@ -152,7 +153,7 @@ def run_chunk(store: Store, options: Options, audit: Audit) -> int:
             "docId",
             "docHash",
         )
-        keys, counts = _plan(store.spark, found)
+        keys, counts = _plan(store, found)
         if not any(counts.values()):
             audit.count(stage, "chunks", 0)
             return _nothing(audit, stage)
@@ -202,7 +203,7 @@ def run_embed(
         # found whatever model they were embedded with.
         held = have.select("chunkId", F.when(mine, F.col("chunkHash")).alias("chunkHash"))
         found = compare(chunks.select("chunkId", "chunkHash"), held, "chunkId", "chunkHash")
-        keys, counts = _plan(store.spark, found)
+        keys, counts = _plan(store, found)
         audit.count(stage, "removed", counts["gone"])
         gone, replaces = _gone(keys, counts, "chunkId"), counts["changed"] > 0
         if not counts["new"] and not counts["changed"]:
@@ -250,7 +251,7 @@ def run_index(store: Store, options: Options, audit: Audit) -> int:
         found = compare(
             want, meta.read("chunkId", "chunkHash", "docId"), "chunkId", "chunkHash", ["docId"]
         )
-        keys, counts = _plan(store.spark, found)
+        keys, counts = _plan(store, found)
         audit.count(stage, "removed", counts["gone"])
         gone, replaces = _gone(keys, counts, "chunkId", "docId"), counts["changed"] > 0
         if not counts["new"] and not counts["changed"]:
@@ -345,4 +346,5 @@ def run_stages(
         raise
     finally:
         audit.store(spark, store.folder("audit_events"))
+        store.drop_scratch()
     return store, audit

@@ -254,6 +254,7 @@ class Store:
     def __init__(self, spark: SparkSession, path: str, num_shards: int, buckets: int):
         self.spark, self.path = spark, path.rstrip("/")
         self.num_shards = num_shards
+        self.scratch: list[str] = []
 
         def table(name: str, key: str) -> ManagedTable:
             return ManagedTable(spark, f"{self.path}/{name}", SCHEMAS[name], key, buckets)
@@ -272,3 +273,9 @@ class Store:
 
     def folder(self, name: str) -> str:
         return f"{self.path}/{name}"
+
+    def drop_scratch(self) -> None:
+        """Delete the key lists that runs left in the shared work folder."""
+        files = Storage(self.spark)
+        while self.scratch:
+            files.delete(self.scratch.pop())
