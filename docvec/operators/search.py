@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from docvec.functions.vectors import is_valid, similarity_name
 from docvec.operators.embed import EmbedFn, embed_texts, hashed_embed
@@ -89,7 +90,7 @@ class _Best:
         self.query, self.score, self.id = query[keep], score[keep], both[keep]
 
 
-def _local_top_k(query_ids, matrix, k, similarity, probes, id_type):
+def _local_top_k(query_ids, matrix, k, similarity, probes, types):
     """Function for mapInArrow: partitions of (id, vector[, cell]) to their best."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,8 +120,8 @@ def _local_top_k(query_ids, matrix, k, similarity, probes, id_type):
         if best.id is not None and best.id.size:
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([query_ids.value[i] for i in best.query]),
-                    pa.array(best.id.tolist(), id_type),
+                    pa.array([query_ids.value[i] for i in best.query], types[0]),
+                    pa.array(best.id.tolist(), types[1]),
                     pa.array(best.score),
                 ],
                 names=["query_id", "id", "score"],
@@ -213,10 +214,7 @@ def knn(
             T.StructField("score", T.DoubleType()),
         ]
     )
-    id_type = pa.string() if isinstance(id_field.dataType, T.StringType) else pa.int64()
-    if pa.types.is_int64(id_type):
-        vectors = vectors.withColumn(id_col, F.col(id_col).cast("bigint"))
-        schema["id"].dataType = T.LongType()
+    types = to_arrow_type(schema["query_id"].dataType), to_arrow_type(id_field.dataType)
     result = None
     for rows in _query_slices(queries, k):
         q = np.array([r.vector for r in rows], dtype=np.float64)
@@ -233,7 +231,7 @@ def knn(
             used = [int(c) for c in np.flatnonzero(wanted.any(axis=0))]
             source = source.filter(F.col(cell_col).isin(used))
         found = source.select(*columns).mapInArrow(
-            _local_top_k(ids, matrix, k, similarity, mask, id_type), schema
+            _local_top_k(ids, matrix, k, similarity, mask, types), schema
         )
         best = ranked(found, k, ["query_id"], "id")
         result = best if result is None else result.unionByName(best)

@@ -3,7 +3,7 @@
 Each stage compares keys and hashes with what is stored, works on the difference,
 and upserts. A stage that finds no difference writes no table. Comparisons carry
 keys alone; texts and vectors are read only for the rows that go on. Computed rows
-are written once, where they stay, and their counts are observed during that write.
+are written once, where they stay, and counted from what was written.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docvec.functions.text import shard_of
@@ -68,15 +68,12 @@ def from_uris(uris: DataFrame, extract: Callable[[DataFrame], DataFrame]) -> Sou
 
 def _plan(store: Store, found: DataFrame) -> tuple[DataFrame, dict[str, int]]:
     """Keys to work on, stored once in the shared folder, with a count per action."""
-    spark, watch = store.spark, Observation()
-    path = work_folder(spark, "keys")
+    path = work_folder(store.spark, "keys")
     store.scratch.append(path)
-    counts = [
-        F.coalesce(F.sum((F.col("action") == a).cast("bigint")), F.lit(0)).alias(a)
-        for a in ("new", "changed", "gone")
-    ]
-    found.observe(watch, *counts).write.parquet(path)
-    return spark.read.schema(found.schema).parquet(path), dict(watch.get)
+    found.write.parquet(path)
+    keys = store.spark.read.schema(found.schema).parquet(path)
+    counts = {r.action: r["count"] for r in keys.groupBy("action").count().collect()}
+    return keys, {a: counts.get(a, 0) for a in ("new", "changed", "gone")}
 
 
 def _todo(keys: DataFrame, *columns: str) -> DataFrame:
@@ -108,11 +105,12 @@ def run_normalize(store: Store, source: Source, options: Options, audit: Audit)
         return normalize_documents(raw, lang).withColumn("version_ts", F.current_timestamp())
 
     if not table.exists():
-        write, seen = table.put(normalized(None))
+        write = table.put(normalized(None))
+        rows = table.written(write).count()
         table.show(write)
-        audit.count(stage, "new", seen["rows"])
+        audit.count(stage, "new", rows)
         audit.count(stage, "changed", 0)
-        return seen["rows"]
+        return rows
     found = compare(
         normalized(None).select("docId", "contentHash", "uri"),
         table.read("docId", "contentHash", "uri"),
@@ -129,7 +127,7 @@ def run_normalize(store: Store, source: Source, options: Options, audit: Audit)
         audit.count(stage, "pruned", counts["gone"])
     write = None
     if counts["new"] or counts["changed"]:
-        write, _ = table.put(normalized(_todo(keys, "uri")))
+        write = table.put(normalized(_todo(keys, "uri")))
     gone = _gone(keys, counts, "docId")
     if write is None and gone is None:
         return _nothing(audit, stage)
@@ -161,16 +159,15 @@ def run_chunk(store: Store, options: Options, audit: Audit) -> int:
         if counts["changed"] or counts["gone"]:
             old = keys.filter(F.col("action") != "new").select("docId")
     chunked = chunk_documents(docs, options.max_chars, options.overlap, options.tail)
-    write, seen = table.put(
-        chunked.withColumn("version_ts", F.current_timestamp()),
-        # Documents are kept in the buckets of their chunks. On later runs the few rows
-        # of each task are gathered instead.
-        placed=first,
-        documents=F.coalesce(F.sum((F.col("offset") == 0).cast("bigint")), F.lit(0)),
-    )
-    audit.count(stage, "documents", seen["documents"])
-    audit.count(stage, "chunks", seen["rows"])
-    changed = seen["rows"]
+    # Documents are kept in the buckets of their chunks. On later runs the few rows of
+    # each task are gathered instead.
+    stamped = chunked.withColumn("version_ts", F.current_timestamp())
+    write = table.put(stamped, placed=first)
+    firsts = F.count_if(F.col("offset") == 0).alias("documents")
+    seen = table.written(write, "offset").agg(F.count(F.lit(1)).alias("chunks"), firsts).first()
+    audit.count(stage, "documents", seen.documents)
+    audit.count(stage, "chunks", seen.chunks)
+    changed = seen.chunks
     if old is not None:
         # Chunks of a changed document that read as before are written, for their
         # document hash, but do not count as changed.
@@ -179,7 +176,7 @@ def run_chunk(store: Store, options: Options, audit: Audit) -> int:
         changed = not_in(table.written(write, *pair), before, pair).count()
     audit.count(stage, "chunks_changed", changed)
     table.show(write, delete=old)
-    return seen["rows"]
+    return seen.chunks
 
 
 def run_embed(
@@ -213,23 +210,20 @@ def run_embed(
             table.show(None, delete=gone)
             return 0
         chunks = chunks.join(_todo(keys, "chunkId"), "chunkId", "left_semi")
-    made = embedding_rows(
-        embed_texts(chunks, embed, batch_size=options.batch_size), model, version, failures=True
-    )
-    valid = F.size("vector") > 0
-    write, seen = table.put(
-        made.withColumn("version_ts", F.current_timestamp()),
-        keep=valid,
-        good=F.coalesce(F.sum(valid.cast("bigint")), F.lit(0)),
-    )
-    audit.count(stage, "embedded", seen["good"])
-    audit.count(stage, "failed", seen["rows"] - seen["good"])
-    audit.count(stage, "batches", -(-seen["rows"] // options.batch_size))
-    if seen["rows"] and not seen["good"] and options.stop_when_all_fail:
+        texts = counts["new"] + counts["changed"]
+    else:
+        texts = chunks.count()
+    made = embedding_rows(embed_texts(chunks, embed, batch_size=options.batch_size), model, version)
+    write = table.put(made.withColumn("version_ts", F.current_timestamp()))
+    good = table.written(write).count()
+    audit.count(stage, "embedded", good)
+    audit.count(stage, "failed", texts - good)
+    audit.count(stage, "batches", -(-texts // options.batch_size))
+    if texts and not good and options.stop_when_all_fail:
         table.discard(write)
-        raise NoEmbeddings(f"none of {seen['rows']} texts could be embedded")
+        raise NoEmbeddings(f"none of {texts} texts could be embedded")
     table.show(write, ["chunkId", "embedder", "embedder_ver"] if replaces else None, gone)
-    return seen["good"]
+    return good
 
 
 def run_index(store: Store, options: Options, audit: Audit) -> int:
@@ -268,8 +262,9 @@ def run_index(store: Store, options: Options, audit: Audit) -> int:
             shard_of("docId", options.num_shards).alias("shard")
         )
     candidates = index_candidates(chunks, vectors, model, version)
-    write, seen = index.put(index_rows(candidates, options.num_shards))
-    if not seen["rows"] and gone is None:
+    write = index.put(index_rows(candidates, options.num_shards))
+    indexed = index.written(write).count()
+    if not indexed and gone is None:
         index.discard(write)
         audit.note(stage, "index: no chunk has a vector")
         return 0
@@ -281,9 +276,9 @@ def run_index(store: Store, options: Options, audit: Audit) -> int:
     for r in shard_operations(flagged, updates).collect():
         name = "total" if r.shard is None else f"shard {r.shard}"
         audit.note(stage, f"{name}: added = {r.added}, updated = {r.updated}")
-    audit.count(stage, "indexed", seen["rows"])
+    audit.count(stage, "indexed", indexed)
     _show_index(store, write, replaces, gone)
-    return seen["rows"]
+    return indexed
 
 
 def _show_index(
@@ -298,7 +293,7 @@ def _show_index(
     entries = None
     if write is not None:
         rows = index.written(write, "chunk_id", "chunk_hash", "doc_id")
-        entries, _ = meta.put(
+        entries = meta.put(
             rows.select(
                 F.col("chunk_id").alias("chunkId"),
                 F.col("chunk_hash").alias("chunkHash"),

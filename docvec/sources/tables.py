@@ -21,7 +21,7 @@ import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -165,26 +165,15 @@ class ManagedTable:
         names = self._files.names(target)
         return [int(n[len(prefix):]) for n in names if n.startswith(prefix)]
 
-    def put(
-        self,
-        rows: DataFrame,
-        keep: Column | None = None,
-        placed: bool = False,
-        **metrics: Column,
-    ) -> tuple[Write, dict]:
-        """Write rows without showing them yet; metrics are observed on the way.
-
-        ``rows`` is always among the metrics; they cover all rows, also those that
-        ``keep`` then holds back. ``placed`` skips the shuffle to the buckets, for rows
-        computed in place from a whole table with the same buckets.
+    def put(self, rows: DataFrame, placed: bool = False) -> Write:
+        """Write rows, once and where they stay, without showing them yet.
+
+        Their counts are best taken from :meth:`written`, which reads single columns.
+        ``placed`` skips the shuffle to the buckets, for rows computed in place from a
+        whole table with the same buckets.
         """
-        watch = Observation()
-        seen = {"rows": F.count(F.lit(1)), **metrics}
-        watched = rows.observe(watch, *[c.alias(n) for n, c in seen.items()])
         number, _ = self._state(self.version())
-        kept = watched if keep is None else watched.filter(keep)
-        buckets = self._write(kept, number, placed=placed)
-        return Write(number, buckets), dict(watch.get)
+        return Write(number, self._write(rows, number, placed=placed))
 
     def written(self, write: Write, *columns: str) -> DataFrame:
         """Rows of a write that is not shown yet."""
@@ -231,14 +220,14 @@ class ManagedTable:
 
     def overwrite(self, rows: DataFrame) -> int:
         """Write the whole table anew; the version number."""
-        write, _ = self.put(rows)
+        write = self.put(rows)
         return self._publish(write.number + 1, {b: [write.number] for b in write.buckets})
 
     def merge(
         self, rows: DataFrame, keys: Sequence[str], delete: DataFrame | None = None
     ) -> int:
         """Upsert rows, unique on ``keys``, in one call; the version number."""
-        write, _ = self.put(rows)
+        write = self.put(rows)
         return self.show(write, keys, delete)
 
     def compact(self, files: int) -> int:
