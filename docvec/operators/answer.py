@@ -19,6 +19,7 @@ from docvec.options import TOP_K
 Generate = Callable[[list[dict[str, str]]], str]
 
 # The layout of a packed context and of the source line.
+PASSAGE_FORMAT = "[Document %d: %s - chunk %s]:\n%s"
 PASSAGE_BREAK = "\n\n---\n\n"
 SOURCES_FORMAT = "\n\n[Sources: %s]"
 
@@ -38,10 +39,7 @@ def _in_rank_order(item) -> F.Column:
 
 
 def _context() -> F.Column:
-    passage = F.concat(
-        F.lit("[Document "), F.col("rank").cast("string"), F.lit(": "), F.col("docId"),
-        F.lit(" - chunk "), F.col("chunkId"), F.lit("]:\n"), F.col("text"),
-    )
+    passage = F.format_string(PASSAGE_FORMAT, "rank", "docId", "chunkId", "text")
     return F.array_join(_in_rank_order(passage), PASSAGE_BREAK)
 
 

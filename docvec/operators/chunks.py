@@ -9,10 +9,6 @@ from docvec.functions.chunking import split_clean
 from docvec.functions.text import chunk_id, normalize_whitespace, sha256_hex
 from docvec.options import MAX_CHARS, OVERLAP
 
-CHUNK_COLUMNS = [
-    "chunkId", "docId", "docHash", "offset", "chunk", "chunkHash", "language", "title",
-]
-
 
 def split_documents(
     docs: DataFrame,

@@ -91,37 +91,30 @@ def embed_texts(
 ) -> DataFrame:
     """``keep`` columns and ``vector``; an empty vector means failure.
 
-    The function is called on the executors with at most ``batch_size`` texts. The
-    texts themselves do not come back from the Python workers.
+    The function is called on the executors with at most ``batch_size`` texts. Only
+    texts go to the Python workers and only vectors come back; the other columns wait
+    in the JVM.
     """
     if batch_size < 1:
         raise ValueError("batch_size must be at least 1")
-    source = df.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    schema = T.StructType(
-        [source.schema[c] for c in keep]
-        + [T.StructField("vector", T.ArrayType(T.FloatType(), False), False)]
-    )
-    kept = list(keep)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
+            texts = batch.to_pylist()
             parts = [
                 _call(embed, texts[start : start + batch_size])
                 for start in range(0, len(texts), batch_size)
             ]
             flat = np.concatenate([np.empty(0, dtype=np.float32), *[p[0] for p in parts]])
             ends = np.cumsum(np.concatenate([[0], *[p[1] for p in parts]]))
-            column = pa.ListArray.from_arrays(
-                pa.array(ends, pa.int32()),
-                pa.array(flat, pa.float32()),
-                pa.list_(pa.field("element", pa.float32(), False)),
-            )
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(c) for c in kept] + [column], names=[*kept, "vector"]
-            )
-
-    return source.mapInArrow(run, schema)
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.float32()))
+
+    # Declared nondeterministic, so that a later filter on the vector is not pushed down
+    # as a second call of the model.
+    call = vectors.asNondeterministic()
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return df.select(*keep, call(text).alias("vector"))
 
 
 def embedding_rows(

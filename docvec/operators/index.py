@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from docvec.functions.text import shard_of
 from docvec.functions.vectors import is_valid
 
-INDEX_COLUMNS = ["doc_id", "chunk_id", "chunk_hash", "offset", "text", "vector", "shard"]
-
 
 def index_candidates(
     chunks: DataFrame, embeddings: DataFrame, model: str, version: str

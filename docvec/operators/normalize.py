@@ -13,8 +13,6 @@ from docvec.functions.text import (
     title_of,
 )
 
-DOC_COLUMNS = ["uri", "text", "language", "title", "docId", "contentHash"]
-
 
 def normalize_documents(raw: DataFrame, language: Column | str = "en") -> DataFrame:
     """Rows with ``uri`` and ``text``; empty texts, the failed ones, are dropped.

@@ -115,3 +115,9 @@ def test_requests_are_escaped(spark):
     messages = F.array(F.struct(F.lit("user").alias("role"), F.col("t").alias("content")))
     body = json.loads(df.select(chat_request(messages, "m")).first()[0])
     assert body == {"model": "m", "messages": [{"role": "user", "content": text}], "stream": False}
+
+
+def test_model_is_called_once_per_text(spark):
+    made = embedding_rows(embed_texts(chunk_rows(spark, ["a", "b"])), "m", "1")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1

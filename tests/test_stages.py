@@ -1,10 +1,13 @@
 """The incremental scenario: first run, additions, edits, no change, reverts."""
 
+import hashlib
+
 import pytest
 
 from docvec.functions.text import shard_of
 from docvec.operators.chunks import chunk_documents
 from docvec.operators.embed import hashed_embed
+from docvec.operators.index import lookup
 from docvec.operators.normalize import normalize_documents
 from docvec.options import Options
 from docvec.plans import stages
@@ -89,6 +92,11 @@ def test_scenario(spark):
     seen = r.run(before)
     assert seen["embed", "removed"] == seen["index", "removed"] > 0
     r.check(before)
+    index, doc = r.store.index.read(), hashlib.sha256(b"doc://6").hexdigest()
+    found = lookup(index, "doc_id", doc, OPTIONS.num_shards)
+    assert found.count() == lookup(index, "doc_id", doc).count() > 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(shard" in plan
     events = spark.read.parquet(r.store.folder("audit_events"))
     assert events.select("run_id").distinct().count() == 6
 
