@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -15,28 +12,15 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder under the shared folder of the cluster.
 
-    The folder is the one named in ``spark.checkpoint.dir``. Where the setting is
-    missing, a local session gets a folder of its own for the life of the process;
-    any other master is an error, since its executors share no local disk.
+    The folder is the one named in ``spark.checkpoint.dir``. Where that is unset, it
+    lies in the warehouse, which executors share as well.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-        base = _local_folder()
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-_LOCAL: list[str] = []
-
-
-def _local_folder() -> str:
-    if not _LOCAL:
-        _LOCAL.append(tempfile.mkdtemp(prefix="docvec-"))
-        atexit.register(shutil.rmtree, _LOCAL[0], ignore_errors=True)
-    return _LOCAL[0]
-
-
 class Storage:
     """The few file operations a table needs, on any file system Spark can read."""
 
