@@ -6,14 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docvec.llm import simhash
+from docvec.llm import mixing, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (simhash.op9_simhash,)}
+    return {f.__name__: f for f in (mixing.op4_mixing, simhash.op9_simhash)}
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op4_mixing": mixing.OP4_SQL}
