@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docvec.llm import mixing, simhash
+from docvec.llm import mixing, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (mixing.op4_mixing, simhash.op9_simhash)}
+    return {f.__name__: f for f in (mixing.op4_mixing, sharding.op6_sharding, simhash.op9_simhash)}
 
 
 def oracles() -> dict[str, str]:
