@@ -6,14 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docvec.llm import mixing, sharding, simhash
+from docvec.llm import decontaminate, mixing, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def registry() -> dict[str, Query]:
-    return {f.__name__: f for f in (mixing.op4_mixing, sharding.op6_sharding, simhash.op9_simhash)}
+    found = (
+        decontaminate.op3_decontamination,
+        mixing.op4_mixing,
+        sharding.op6_sharding,
+        simhash.op9_simhash,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracles() -> dict[str, str]:
-    return {"op4_mixing": mixing.OP4_SQL}
+    return {"op3_decontamination": decontaminate.OP3_SQL, "op4_mixing": mixing.OP4_SQL}
