@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docvec.llm import decontaminate, mixing, sharding, simhash
+from docvec.llm import decontaminate, mixing, secrets, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,10 +16,15 @@ def registry() -> dict[str, Query]:
         decontaminate.op3_decontamination,
         mixing.op4_mixing,
         sharding.op6_sharding,
+        secrets.op8_secrets,
         simhash.op9_simhash,
     )
     return {f.__name__: f for f in found}
 
 
 def oracles() -> dict[str, str]:
-    return {"op3_decontamination": decontaminate.OP3_SQL, "op4_mixing": mixing.OP4_SQL}
+    return {
+        "op3_decontamination": decontaminate.OP3_SQL,
+        "op4_mixing": mixing.OP4_SQL,
+        "op8_secrets": secrets.OP8_SQL,
+    }
