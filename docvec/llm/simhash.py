@@ -158,7 +158,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     prints = stored(fingerprints(docs, id_col, text_col), "prints")
     nodes = prints.groupBy("fingerprint").agg(F.min("id").alias("least"))
-    roots = stored(components(links(nodes.select("fingerprint"))), "roots")
+    roots = stored(components(stored(links(nodes.select("fingerprint")), "edges")), "roots")
     placed = nodes.join(roots, nodes.fingerprint == roots.node, "left").select(
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
     )
