@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docvec.llm import decontaminate, mixing, quality, secrets, sharding, simhash
+from docvec.llm import decontaminate, mixing, neighbors, quality, secrets, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ def registry() -> dict[str, Query]:
         quality.op2_quality,
         decontaminate.op3_decontamination,
         mixing.op4_mixing,
+        neighbors.op5_neighbors,
         sharding.op6_sharding,
         secrets.op8_secrets,
         simhash.op9_simhash,
