@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docvec.llm import decontaminate, mixing, neighbors, quality, secrets, sharding, simhash
+from docvec.llm import chat, decontaminate, mixing, neighbors, quality, secrets, sharding, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def registry() -> dict[str, Query]:
     found = (
+        chat.op1_chat,
         quality.op2_quality,
         decontaminate.op3_decontamination,
         mixing.op4_mixing,
