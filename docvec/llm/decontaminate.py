@@ -51,9 +51,10 @@ def needed(size: Column) -> Column:
 def _places(rows: DataFrame, tokens: str) -> DataFrame:
     """Rows by place and mask, with the hash of the tokens that the mask sees there."""
     n = len(MASKS)
-    at = F.sequence(F.lit(0), n * F.size(tokens) - 1)
-    out = rows.filter(F.size(tokens) >= SHORTEST).select("*", F.explode(at).alias("__p"))
-    mask, place = F.col("__p") % n, F.floor(F.col("__p") / n).cast("int")
+    # No filter on the tokens here: it would move below and split the text twice.
+    at = F.sequence(F.lit(0), F.greatest(n * F.size(tokens) - 1, F.lit(0)))
+    out = rows.select("*", F.explode(at).alias("__p"))
+    mask, place = F.col("__p") % n, F.expr(f"cast(__p div {n} as int)")
     key, fits = F.lit(None).cast("long"), F.lit(False)
     for m, mask_places in enumerate(MASKS):
         seen = F.xxhash64(F.lit(m), *[F.get(tokens, place + o) for o in mask_places])
@@ -66,7 +67,7 @@ def seeds(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text")
     """(key, block, item, around, left, window): the item's tokens around each seed, of
     which ``left`` come before it, and the size of the window to agree in."""
     rows = benchmark.select(F.col(id_col).alias("item"), token_hashes(F.col(text_col)).alias("t"))
-    found = _places(rows, "t")
+    found = _places(rows.filter(F.size("t") >= SHORTEST), "t")
     reach = WINDOW - 1
     left = F.least("place", F.lit(reach))
     size = F.least(F.size("t") - F.col("place") + left, left + WINDOW)
@@ -79,17 +80,23 @@ def seeds(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text")
     ).distinct()
 
 
-def _agrees() -> Column:
-    """Whether some window over the aligned tokens around a hit agrees enough."""
+def _around_hit(names: list[str]) -> list[Column]:
+    """The aligned tokens around a hit: of the document, of the item, and the window."""
     before = F.least("left", "place")
     after = F.least(F.size("around") - F.col("left"), F.size("t") - F.col("place"))
-    total = before + after
-    equal = F.zip_with(
-        F.slice("t", F.col("place") - before + 1, total),
-        F.slice("around", F.col("left") - before + 1, total),
-        lambda a, b: F.when(a == b, 1).otherwise(0),
-    )
-    last = total - F.col("window") + 1
+    return [
+        *[F.col(n) for n in names],
+        "item",
+        F.slice("t", F.col("place") - before + 1, before + after).alias("mine"),
+        F.slice("around", F.col("left") - before + 1, before + after).alias("theirs"),
+        "window",
+    ]
+
+
+def _agrees() -> Column:
+    """Whether some window over the aligned tokens agrees enough."""
+    equal = F.zip_with("mine", "theirs", lambda a, b: F.when(a == b, 1).otherwise(0))
+    last = F.size("mine") - F.col("window") + 1
     return (last >= 1) & F.exists(
         F.sequence(F.lit(1), F.greatest(last, F.lit(1))),
         lambda k: F.aggregate(F.slice(equal, k, F.col("window")), F.lit(0), lambda s, x: s + x)
@@ -97,6 +104,14 @@ def _agrees() -> Column:
     )
 
 
+def _verified(hits: DataFrame, names: list[str]) -> DataFrame:
+    """Hits that agree. A plain filter would move into the join, whose code is then no
+    longer generated, and every place would be copied out with all of its document's
+    tokens; what an outer explode makes cannot move."""
+    item = F.explode_outer(F.when(_agrees(), F.array("item")))
+    return hits.select(*names, item.alias("item")).filter("item is not null")
+
+
 def contaminated(
     docs: DataFrame, benchmark: DataFrame, keys: list[Column], id_col: str = "item_id", text_col: str = "text"
 ) -> DataFrame:
@@ -108,7 +123,9 @@ def contaminated(
     block = F.pmod(F.xxhash64("key", "item", "left", "around"), F.lit(blocks))
     places = _places(rows, "t")
     hits = [
-        places.join(F.broadcast(found.filter(block == i)), "key").filter(_agrees()).select(*names, "item")
+        _verified(
+            places.join(F.broadcast(found.filter(block == i)), "key").select(*_around_hit(names)), names
+        )
         for i in range(blocks)
     ]
     return reduce(DataFrame.union, hits).distinct()
