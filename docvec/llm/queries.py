@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docvec.llm import chat, decontaminate, mixing, neighbors, quality, secrets, sharding, simhash
+from docvec.llm import chat, decontaminate, mixing, neighbors, quality, secrets, sharding, simhash, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,6 +21,7 @@ def registry() -> dict[str, Query]:
         sharding.op6_sharding,
         secrets.op8_secrets,
         simhash.op9_simhash,
+        tokens.op10_tokens,
     )
     return {f.__name__: f for f in found}
 
