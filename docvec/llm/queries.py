@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docvec.llm import chat, decontaminate, mixing, neighbors, quality, secrets, sharding, simhash, tokens
+from docvec.llm import chat, decontaminate, mixing, neighbors, passages, quality, secrets, sharding, simhash, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,7 @@ def registry() -> dict[str, Query]:
         mixing.op4_mixing,
         neighbors.op5_neighbors,
         sharding.op6_sharding,
+        passages.op7_passages,
         secrets.op8_secrets,
         simhash.op9_simhash,
         tokens.op10_tokens,
