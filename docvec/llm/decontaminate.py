@@ -134,8 +134,9 @@ def contaminated(
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item, with all their columns."""
     keys = [F.coalesce(F.col("doc_id"), F.lit(0)), F.xxhash64("text")]
-    bad = stored(contaminated(docs, benchmark, keys).select("k0", "k1").distinct(), "contaminated")
-    on = (keys[0] == F.col("k0")) & (keys[1] == F.col("k1"))
+    found = contaminated(docs, benchmark, keys).select("k0", "k1").distinct()
+    bad = stored(found.toDF("__bad_id", "__bad_text"), "contaminated")
+    on = (keys[0] == F.col("__bad_id")) & (keys[1] == F.col("__bad_text"))
     return docs.join(bad, on, "left_anti")
 
 
