@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from docvec.llm.common import stored, table
 
 SHARDS = 8
-ROUNDS = 8
+ROUNDS = 10
+FULL = 0.97  # of its capacity: a full shard
 HEAVY = 1000  # nodes over 1/HEAVY of a shard are placed one by one
 BUCKETS = 65_536
 SLOT_BUCKETS = 1024
@@ -76,6 +77,7 @@ def propagate(nodes: DataFrame, links: DataFrame, capacity: float, shards: int)
     now = stored(
         nodes.join(linked, "node", "left_semi").withColumn("shard", _start(F.col("node"), shards)), "labels"
     )
+    still = 0
     for turn in range(ROUNDS):
         load = np.zeros(shards)
         for row in now.groupBy("shard").agg(F.sum("size").alias("size")).collect():  # one row a shard
@@ -86,14 +88,23 @@ def propagate(nodes: DataFrame, links: DataFrame, capacity: float, shards: int)
             .groupBy("node", F.col("shard").alias("to"))
             .agg(F.sum("n").alias("n"), F.max(F.xxhash64("hub", "shard")).alias("tie"))
         )
-        best = votes.groupBy("node").agg(F.max_by("to", F.struct("n", "tie")).alias("to"))
-        wishes = stored(now.join(best, "node"), "wishes")
+        # Every other round, a group that is split over a full shard meets elsewhere; who
+        # has no neighbour outside of full shards stays. In between, shards can exchange.
+        full = [s for s in range(shards) if turn % 2 and load[s] > FULL * capacity]
+        best = (
+            votes.filter(~F.col("to").isin(full))
+            .groupBy("node")
+            .agg(F.max_by("to", F.struct("n", "tie")).alias("to"))
+        )
+        wishes = now.join(best, "node", "left").withColumn("to", F.coalesce("to", "shard"))
+        wishes = stored(wishes, "wishes")
         demand = np.zeros((shards, shards))
         moving = wishes.filter("shard <> to").groupBy("shard", "to").agg(F.sum("size").alias("size"))
         for row in moving.collect():  # one row a pair of shards
             demand[row.shard, row.to] = row.size
         share = quotas(demand, load, capacity)
-        if not (demand * share).any():
+        still = 0 if (demand * share).any() else still + 1
+        if not demand.any() and not full or still == 2:
             break
         rate = F.element_at(
             F.array(*[F.lit(float(x)) for x in share.ravel()]), F.col("shard") * shards + F.col("to") + 1
