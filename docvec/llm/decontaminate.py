@@ -108,8 +108,8 @@ def _verified(hits: DataFrame, names: list[str]) -> DataFrame:
     """Hits that agree. A plain filter would move into the join, whose code is then no
     longer generated, and every place would be copied out with all of its document's
     tokens; what an outer explode makes cannot move."""
-    item = F.explode_outer(F.when(_agrees(), F.array("item")))
-    return hits.select(*names, item.alias("item")).filter("item is not null")
+    hit = F.explode_outer(F.when(_agrees(), F.array(F.struct("item"))))
+    return hits.select(*names, hit.alias("hit")).filter("hit is not null").select(*names, "hit.item")
 
 
 def contaminated(
