@@ -111,32 +111,23 @@ class Scorer:
     def __init__(self, params: Params):
         self.params, self.tables = params, tap_tables(params)
 
-    def largest(self, text: bytes) -> np.ndarray:
-        parts = halves(text)
-        return np.concatenate(
-            [responses(self.tables, parts[i : i + self.BLOCK]) for i in range(0, len(parts), self.BLOCK)]
-        )
-
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        out, i = np.empty(len(texts)), 0
-        while i < len(texts):
-            parts, n, j = [], 0, i
-            while j < len(texts) and (not parts or n + len(texts[j]) // HALF < self.BLOCK):
-                parts.append(halves(texts[j]) if len(texts[j]) < self.BLOCK * HALF else None)
-                n += 0 if parts[-1] is None else len(parts[-1])
-                j += 1
-            if parts == [None] or any(x is None for x in parts):
-                found = [
-                    self.largest(t) if x is None else responses(self.tables, x) for t, x in zip(texts[i:j], parts)
-                ]
-                every, sizes = np.concatenate(found), [len(x) for x in found]
-            else:
-                every, sizes = responses(self.tables, np.concatenate(parts)), [len(x) for x in parts]
-            first = np.r_[0, np.cumsum(sizes)[:-1]]
-            out[i:j] = combine(self.params, every, first)
-            i = j
+        out, held, n, first = np.empty(len(texts)), [], 0, 0
+        for i, text in enumerate(texts):
+            held.append(halves(text))
+            n += len(held[-1])
+            if n >= self.BLOCK or i == len(texts) - 1:
+                out[first : i + 1] = self._block(held)
+                held, n, first = [], 0, i + 1
         return out
 
+    def _block(self, parts: list[np.ndarray]) -> np.ndarray:
+        """Scores of some texts; their halves are looked at ``BLOCK`` at a time, so that a
+        very long text needs no more memory than many short ones."""
+        every = np.concatenate(parts)
+        largest = [responses(self.tables, every[i : i + self.BLOCK]) for i in range(0, len(every), self.BLOCK)]
+        return combine(self.params, np.concatenate(largest), np.r_[0, np.cumsum([len(x) for x in parts])[:-1]])
+
 
 def _gradients(p: Params, parts: np.ndarray, first: np.ndarray, label: np.ndarray, weight: np.ndarray):
     tables = tap_tables(p)
