@@ -81,7 +81,7 @@ def responses(tables: np.ndarray, parts: np.ndarray, where: bool = False):
 
 def tap_tables(p: Params) -> np.ndarray:
     """(TAPS, 257, FILTERS): what a byte adds to a filter at a tap."""
-    return np.einsum("bd,kdf->kbf", p.embed, p.kernel).astype(np.float32)
+    return np.einsum("bd,kdf->kbf", p.embed, p.kernel)
 
 
 def _chunks(largest: np.ndarray, first: np.ndarray):
@@ -141,8 +141,8 @@ def _gradients(p: Params, parts: np.ndarray, first: np.ndarray, label: np.ndarra
     top, mean = np.maximum.reduceat(hidden, first), np.add.reduceat(hidden, first) / counts[:, None]
     doc = np.hstack([top, mean])
     prob = 1 / (1 + np.exp(-np.clip(doc @ p.out + p.out_bias[0], -30, 30)))
-    d_logit = ((prob - label) * weight / weight.sum()).astype(np.float32)
-    d_out, d_out_bias = doc.T @ d_logit, np.array([d_logit.sum()], np.float32)
+    d_logit = ((prob - label) * weight / weight.sum()).astype(p.out.dtype)
+    d_out, d_out_bias = doc.T @ d_logit, d_logit.sum(keepdims=True)
     d_doc = d_logit[:, None] * p.out[None, :]
     is_top = (hidden == top[owner]) & (hidden > 0)
     ties = np.maximum(np.add.reduceat(is_top.astype(np.float32), first), 1)
@@ -157,7 +157,7 @@ def _gradients(p: Params, parts: np.ndarray, first: np.ndarray, label: np.ndarra
     d_kernel, d_embed = np.empty_like(p.kernel), np.zeros_like(p.embed)
     for k in range(TAPS):
         seen = parts[rows, place + k].astype(np.int64)
-        d_table = np.bincount(seen * FILTERS + filters, g, 257 * FILTERS).reshape(257, FILTERS).astype(np.float32)
+        d_table = np.bincount(seen * FILTERS + filters, g, 257 * FILTERS).reshape(257, FILTERS).astype(p.embed.dtype)
         d_kernel[k] = p.embed.T @ d_table
         d_embed += d_table @ p.kernel[k].T
     d_embed[PAD] = 0
