@@ -10,9 +10,9 @@ theirs, so a document has one phrase for every sixteen words or so.
 3. Owners cut their recurring passages out as pieces: the windows around one phrase.
 4. Documents with recurring phrases are dealt to shards of a bounded number of words. A
    shard gets the pieces whose phrases occur in it and compiles the phrases to an
-   Aho-Corasick automaton. Every document is streamed through its shard's automaton; at
-   each occurrence the words on both sides are compared with the pieces, and a stretch of
-   fifty equal words or more is removed when the piece's owner comes before the document.
+   Aho-Corasick automaton. Every document is streamed through its shard's automaton; at each
+   occurrence the windows around it are compared with those of the pieces, and equal ones
+   are removed when the piece's owner comes before the document.
 
 Hashes choose what to compare; what is removed was compared word by word. Phrases and
 windows are summed per hash before anything is joined, a passage that a third of all
@@ -129,18 +129,26 @@ def _pieces(doc: int, text: bytes, confirmed: list[int]):
 
 
 class Automaton:
-    """The phrases of a shard, compiled, with the pieces around each."""
+    """The phrases of a shard, compiled, with the windows of pieces around each.
+
+    A window is entered under its phrase, the place of the phrase in it, and its first
+    and last word. So the pieces that agree with a document around a phrase are found
+    without trying all, however many there are.
+    """
 
     def __init__(self, pieces: list[tuple[int, str, int]]):
         import ahocorasick
 
-        self.by_phrase: dict[str, list[tuple[int, list[str], int]]] = {}
+        self.windows: dict[str, dict[tuple, list[tuple[int, list[str], int]]]] = {}
         for owner, text, begin in pieces:
             words = text.split(" ")
             phrase = f" {' '.join(words[begin : begin + PHRASE])} "
-            self.by_phrase.setdefault(phrase, []).append((owner, words, begin))
+            entered = self.windows.setdefault(phrase, {})
+            for i in range(len(words) - WINDOW + 1):
+                key = (begin - i, words[i], words[i + WINDOW - 1])
+                entered.setdefault(key, []).append((owner, words, i))
         self.machine = ahocorasick.Automaton()
-        for phrase in self.by_phrase:
+        for phrase in self.windows:
             self.machine.add_word(phrase, phrase)
         self.machine.make_automaton()
 
@@ -153,17 +161,14 @@ class Automaton:
         found = []
         for end, phrase in self.machine.iter(f" {' '.join(words)} "):
             place = starts[end + 1 - len(phrase)]
-            for owner, piece, begin in self.by_phrase[phrase]:
-                if owner >= doc:
-                    continue
-                left, right = begin, begin + PHRASE
-                shift = place - begin
-                while left > 0 and left + shift > 0 and piece[left - 1] == words[left + shift - 1]:
-                    left -= 1
-                while right < len(piece) and right + shift < len(words) and piece[right] == words[right + shift]:
-                    right += 1
-                if right - left >= WINDOW:
-                    found.append((left + shift, right + shift))
+            entered = self.windows[phrase]
+            i = max(0, place - WINDOW + PHRASE)
+            while i <= min(place, len(words) - WINDOW):
+                last = self._match(entered.get((place - i, words[i], words[i + WINDOW - 1]), ()), doc, words, i)
+                if last:
+                    found.append((i, last))
+                    i = last - WINDOW
+                i += 1
         merged: list[tuple[int, int]] = []
         for a, b in sorted(found):
             if merged and a <= merged[-1][1]:
@@ -172,6 +177,19 @@ class Automaton:
                 merged.append((a, b))
         return merged
 
+    @staticmethod
+    def _match(entries, doc: int, words: list[str], first: int) -> int:
+        """How far an earlier document's piece goes on with the words, 0 if no window
+        does. Equal windows have one owner, so the first that agrees will do."""
+        mine = words[first : first + WINDOW]
+        for owner, piece, i in entries:
+            if owner < doc and piece[i : i + WINDOW] == mine:
+                end, more = first + WINDOW, i + WINDOW
+                while end < len(words) and more < len(piece) and words[end] == piece[more]:
+                    end, more = end + 1, more + 1
+                return end
+        return 0
+
 
 REMOVED = "doc long, hash long, spans array<struct<start:int,end:int>>, n_removed long, kept string"
 
@@ -244,7 +262,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     total = affected.agg(F.sum(F.regexp_count("text", F.lit(WORD)))).first()[0] or 0
     shards = max(-(-total // SHARD_WORDS), 1)
     shard = F.pmod(spread, F.lit(shards)).cast("int")
-    sent = occurrences.select("phrase", shard.alias("shard")).distinct().join(pieces, "phrase")
+    latest = occurrences.groupBy("phrase", shard.alias("shard")).agg(F.max("doc").alias("latest"))
+    sent = latest.join(pieces, "phrase").filter("owner < latest")
     streamed = sent.select(
         "shard", F.col("owner").alias("doc"), F.col("piece").alias("text"), "begin", F.lit(None).cast("long").alias("hash")
     ).union(
