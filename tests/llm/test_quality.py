@@ -20,6 +20,8 @@ def numeric(p, parts, first, label, weight):
 
 def test_gradients_match_differences():
     p = B.Params(*[a.astype(float) for a in B.start(3).arrays()])
+    p.bias += 0.1 + 0.01 * np.arange(len(p.bias))  # away from the kinks at zero
+    p.dense_bias += 0.05 + 0.01 * np.arange(len(p.dense_bias))
     texts = [b"Hello world " * 30, b"zz", b"aaa bbb !!! " * 5, "é".encode() * 100]
     halves = [B.halves(t) for t in texts]
     first = np.r_[0, np.cumsum([len(h) for h in halves])[:-1]]
