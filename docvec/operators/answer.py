@@ -141,7 +141,7 @@ def batch_answer(
     text = (
         F.when(F.col("status") == "no_vector", NO_VECTOR)
         .when(F.col("status") == "no_hits", NO_HITS)
-        .when(F.col("status") == "failed", F.concat(F.lit(FAILED), F.col("error")))
+        .when(F.col("status") == "failed", F.concat(F.lit(FAILED), F.coalesce("error", F.lit("no reply"))))
         .otherwise(F.concat("reply", "sources"))
     )
     return joined.withColumn("status", status).select("query_id", "status", text.alias("answer"))

@@ -15,21 +15,17 @@ from docvec.functions.vectors import is_valid
 from docvec.operators.search import knn
 from docvec.options import TOP_K
 
-# Rows used to place the cell centres. The cells of all rows follow from them; the
-# sample decides how good the cells are, not which rows are found.
-TRAINING_ROWS = 200_000
-
 
 def train_cells(
-    vectors: DataFrame, cells: int, vector_col: str = "vector", seed: int = 17
+    vectors: DataFrame, cells: int, vector_col: str = "vector", seed: int = 17, share: float = 1.0
 ) -> np.ndarray:
-    """Cell centres by k-means on a sample of bounded size."""
+    """Cell centres by k-means on all rows, or on a share of them if one is given. The
+    share decides how good the cells are, not which rows are found."""
     usable = vectors.filter(is_valid(vector_col)).select(vector_col)
     total = usable.count()
     if total == 0:
         raise ValueError("no vectors to train on")
-    share = min(1.0, TRAINING_ROWS / total)
-    sample = usable if share == 1.0 else usable.sample(False, share, seed)
+    sample = usable if share >= 1.0 else usable.sample(False, share, seed)
     features = sample.select(array_to_vector(vector_col).alias("features"))
     model = KMeans(k=min(cells, total), seed=seed, maxIter=10).fit(features)
     return np.array(model.clusterCenters())

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docvec.functions.text import shard_of
 from docvec.functions.vectors import is_valid
+from docvec.sources.tables import ManagedTable
 
 
 def index_candidates(
@@ -55,6 +56,11 @@ def lookup(
     return found
 
 
+def lookup_stored(table: ManagedTable, column: str, value: str) -> DataFrame:
+    """The same on a stored index, which knows its number of shards."""
+    return lookup(table.read(), column, value, table.stored_buckets())
+
+
 def offset_range(index: DataFrame, first: int, last: int) -> DataFrame:
     """Chunks whose ordinal lies in ``first``..``last``, both included."""
     return index.filter(F.col("offset").between(first, last))

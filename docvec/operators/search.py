@@ -158,6 +158,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 def _query_slices(queries: DataFrame, k: int) -> Iterator[list]:
     """Lists of (query id, vector), each below the bounds of a slice."""
     usable = stored(queries.filter(is_valid("vector")).select("query_id", "vector"), "queries")
+    if usable.groupBy("query_id").count().filter("count > 1").limit(1).collect():
+        raise ValueError("query_id must be unique")
     facts = usable.agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.size("vector")).alias("low"),
@@ -179,8 +181,6 @@ def _query_slices(queries: DataFrame, k: int) -> Iterator[list]:
         chosen = usable.filter(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == part)
         rows = chosen.limit(limit + 1).collect()
         if len(rows) > limit:
-            if parts > 64 * facts.n:
-                raise ValueError("query_id must be unique")
             todo.extend((parts * 2, p) for p in (part, part + parts))
         elif rows:
             yield rows
@@ -285,8 +285,8 @@ def search_vectors(
 ) -> DataFrame:
     """Ranked index rows for a table of ``query_id`` and ``vector``.
 
-    A query may carry its own ``top_k``; the search then runs for the largest and
-    each query keeps as many as it asked for.
+    A query may carry its own ``top_k``. Queries are then searched in bands of about the
+    same ``top_k``, so that one that asks for very many does not make all others do so.
     """
     check_k(k)
     facts = [F.count(F.lit(1)).alias("n")]
@@ -296,10 +296,20 @@ def search_vectors(
     if seen.get("least") is not None:
         check_k(seen["least"])
     most = max(k, seen.get("most") or k)
-    hits = knn(index, queries, most, similarity)
-    if "top_k" in queries.columns:
-        asked = queries.select("query_id", F.coalesce("top_k", F.lit(k)).alias("_k"))
-        hits = hits.join(asked, "query_id").filter(F.col("rank") <= F.col("_k")).drop("_k")
+    if "top_k" not in queries.columns:
+        return with_rows(knn(index, queries, k, similarity), index, seen["n"], k)
+    asked = queries.withColumn("_k", F.coalesce("top_k", F.lit(k)))
+    asked = asked.withColumn("_band", F.ceil(F.log2("_k")).cast("int"))
+    bands = [r[0] for r in asked.select("_band").distinct().collect()]  # one a power of two
+    hits = None
+    for band in sorted(bands):
+        some = asked.filter(F.col("_band") == band)
+        found = knn(index, some, min(2**band, most), similarity)
+        found = found.join(some.select("query_id", "_k"), "query_id")
+        found = found.filter(F.col("rank") <= F.col("_k")).drop("_k")
+        hits = found if hits is None else hits.unionByName(found)
+    if hits is None:
+        hits = knn(index, queries, k, similarity)
     return with_rows(hits, index, seen["n"], most)
 
 

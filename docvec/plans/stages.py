@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docvec.functions.text import shard_of
+from docvec.functions.text import doc_id, has_visible, normalize_whitespace, sha256_hex, shard_of
 from docvec.operators.changes import compare, not_in, one_per_key
 from docvec.operators.chunks import chunk_documents
 from docvec.operators.embed import EmbedFn, embed_texts, embedding_rows, hashed_embed
@@ -34,6 +34,10 @@ Source = Callable[[DataFrame | None], DataFrame]
 STAGES = ("normalize", "chunk", "embed", "index")
 
 
+class NoTexts(RuntimeError):
+    """Every document of a run failed to be extracted."""
+
+
 class NoEmbeddings(RuntimeError):
     """Every text of a run failed to embed."""
 
@@ -66,12 +70,23 @@ def from_uris(uris: DataFrame, extract: Callable[[DataFrame], DataFrame]) -> Sou
     return source
 
 
+def _scratch(store: Store, df: DataFrame, name: str) -> DataFrame:
+    """Rows stored in the shared folder until the end of the run."""
+    path = work_folder(store.spark, name)
+    store.scratch.append(path)
+    df.write.parquet(path)
+    return store.spark.read.schema(df.schema).parquet(path)
+
+
+def _extracted_keys(raw: DataFrame) -> DataFrame:
+    """(docId, contentHash, uri) of all documents, with a null hash for failed ones."""
+    text = F.when(has_visible("text"), normalize_whitespace("text"))
+    return raw.select(doc_id("uri").alias("docId"), sha256_hex(text).alias("contentHash"), "uri")
+
+
 def _plan(store: Store, found: DataFrame) -> tuple[DataFrame, dict[str, int]]:
     """Keys to work on, stored once in the shared folder, with a count per action."""
-    path = work_folder(store.spark, "keys")
-    store.scratch.append(path)
-    found.write.parquet(path)
-    keys = store.spark.read.schema(found.schema).parquet(path)
+    keys = _scratch(store, found, "keys")
     counts = {r.action: r["count"] for r in keys.groupBy("action").count().collect()}
     return keys, {a: counts.get(a, 0) for a in ("new", "changed", "gone")}
 
@@ -107,12 +122,23 @@ def run_normalize(store: Store, source: Source, options: Options, audit: Audit)
     if not table.exists():
         write = table.put(normalized(None))
         rows = table.written(write).count()
+        if not rows and options.stop_when_all_fail and source(None).limit(1).count():
+            table.discard(write)
+            raise NoTexts("no document could be extracted")
         table.show(write)
         audit.count(stage, "new", rows)
         audit.count(stage, "changed", 0)
         return rows
+    # A document that could not be extracted comes with a null hash: it is neither new nor
+    # gone, so a failed fetch never removes what is stored. Only URIs that the source no
+    # longer lists are pruned.
+    seen = _scratch(store, _extracted_keys(source(None)), "extracted")
+    facts = seen.agg(F.count("*").alias("n"), F.count("contentHash").alias("good")).first()
+    audit.count(stage, "failed", facts.n - facts.good)
+    if facts.n and not facts.good and options.stop_when_all_fail:
+        raise NoTexts(f"none of {facts.n} documents could be extracted")
     found = compare(
-        normalized(None).select("docId", "contentHash", "uri"),
+        seen,
         table.read("docId", "contentHash", "uri"),
         "docId",
         "contentHash",
@@ -144,10 +170,15 @@ def run_chunk(store: Store, options: Options, audit: Audit) -> int:
     stage, table = "chunk", store.chunks
     docs, first = store.documents.read(), not table.exists()
     old = None
+    # Chunks of another split rule count as changed, so one rule holds for the table.
+    rule = f"max_chars={options.max_chars} overlap={options.overlap} tail={options.tail}"
     if not first:
+        have = table.read("docId", "docHash")
+        if table.note() != rule:
+            have = have.withColumn("docHash", F.lit("split by another rule"))
         found = compare(
             docs.select("docId", F.col("contentHash").alias("docHash")),
-            table.read("docId", "docHash"),
+            have,
             "docId",
             "docHash",
         )
@@ -175,7 +206,7 @@ def run_chunk(store: Store, options: Options, audit: Audit) -> int:
         before = table.read("docId", *pair).join(old, "docId", "left_semi")
         changed = not_in(table.written(write, *pair), before, pair).count()
     audit.count(stage, "chunks_changed", changed)
-    table.show(write, delete=old)
+    table.show(write, delete=old, note=rule)
     return seen.chunks
 
 
@@ -337,7 +368,7 @@ def run_stages(
         if "index" in stages:
             run_index(store, options, audit)
     except Exception as exc:
-        audit.note("run", f"run failed: {exc}"[:1000], channel="error")
+        audit.note("run", f"run failed: {exc}", channel="error")
         raise
     finally:
         audit.store(spark, store.folder("audit_events"))

@@ -11,18 +11,21 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docvec.functions.text import html_to_text, looks_like_html
+from docvec.functions.text import has_visible, html_to_text, looks_like_html
 
 Fetch = Callable[[str], bytes]
 Extract = Callable[[bytes], str]
 
 FETCH_TIMEOUT_SEC = 60
+URIS_PER_TASK = 200
 
 
-def uri_list(spark: SparkSession, path: str, partitions: int = 10) -> DataFrame:
-    """One URI per line, each once, spread over tasks for fetching."""
-    lines = spark.read.text(path).toDF("uri").filter(F.length("uri") > 0)
-    return lines.dropDuplicates(["uri"]).repartition(partitions)
+def uri_list(spark: SparkSession, path: str, per_task: int = URIS_PER_TASK) -> DataFrame:
+    """One URI per line, each once, spread over tasks for fetching: as many as the list
+    needs at ``per_task`` each, and one per core at least."""
+    lines = spark.read.text(path).toDF("uri").filter(F.length("uri") > 0).dropDuplicates(["uri"])
+    wanted = -(-lines.count() // per_task)
+    return lines.repartition(max(wanted, spark.sparkContext.defaultParallelism))
 
 
 def read_files(spark: SparkSession, path: str) -> DataFrame:
@@ -31,11 +34,11 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("path").alias("uri"), "content")
 
 
-def fetch_uri(uri: str) -> bytes:
+def fetch_uri(uri: str, timeout: float = FETCH_TIMEOUT_SEC) -> bytes:
     """Bytes behind a URI: a web address, a local file or an object store."""
     parts = urlsplit(uri)
     if parts.scheme in ("http", "https"):
-        with urllib.request.urlopen(uri, timeout=FETCH_TIMEOUT_SEC) as response:
+        with urllib.request.urlopen(uri, timeout=timeout) as response:
             return response.read()
     if parts.scheme in ("", "file"):
         with open(url2pathname(parts.path), "rb") as handle:
@@ -56,10 +59,27 @@ def _visible_text(raw: DataFrame) -> DataFrame:
     return raw.withColumn("text", F.coalesce(html, F.col("text")))
 
 
+EXTRACTED = "uri string, text string, error string"
+
+
+def _extracted(extraction: Callable[[], str | None]) -> tuple[str, str | None]:
+    try:
+        return extraction() or "", None
+    except Exception as exc:
+        return "", f"{type(exc).__name__}: {exc}"
+
+
+def extraction_failures(extracted: DataFrame) -> DataFrame:
+    """``uri`` and ``reason`` of documents without a text."""
+    reason = F.col("error") if "error" in extracted.columns else F.lit(None).cast("string")
+    failed = extracted.filter(~F.coalesce(has_visible("text"), F.lit(False)))
+    return failed.select("uri", F.coalesce(reason, F.lit("no visible text")).alias("reason"))
+
+
 def extract_uris(
     uris: DataFrame, fetch: Fetch = fetch_uri, extract: Extract = decode
 ) -> DataFrame:
-    """``uri`` and ``text``; any failure gives an empty text.
+    """``uri``, ``text`` and ``error``; any failure gives an empty text and its reason.
 
     One file at a time is held in a task. ``extract`` turns bytes into text and may be
     replaced for other formats; pages are reduced to visible text afterwards.
@@ -68,13 +88,10 @@ def extract_uris(
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for uri in frame["uri"]:
-                try:
-                    text = extract(fetch(uri)) or ""
-                except Exception:
-                    text = ""
-                yield pd.DataFrame({"uri": [uri], "text": [text]})
+                text, error = _extracted(lambda: extract(fetch(uri)))
+                yield pd.DataFrame({"uri": [uri], "text": [text], "error": [error]})
 
-    return _visible_text(uris.select("uri").mapInPandas(run, "uri string, text string"))
+    return _visible_text(uris.select("uri").mapInPandas(run, EXTRACTED))
 
 
 def extract_files(files: DataFrame, extract: Extract = decode) -> DataFrame:
@@ -82,15 +99,11 @@ def extract_files(files: DataFrame, extract: Extract = decode) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            texts = []
-            for content in frame["content"]:
-                try:
-                    texts.append(extract(bytes(content)) or "")
-                except Exception:
-                    texts.append("")
-            yield pd.DataFrame({"uri": frame["uri"], "text": texts})
-
-    return _visible_text(files.select("uri", "content").mapInPandas(run, "uri string, text string"))
+            made = [_extracted(lambda: extract(bytes(content))) for content in frame["content"]]
+            texts, errors = [t for t, _ in made], [e for _, e in made]
+            yield pd.DataFrame({"uri": frame["uri"], "text": texts, "error": errors})
+
+    return _visible_text(files.select("uri", "content").mapInPandas(run, EXTRACTED))
 
 
 def extract_pages(pages: DataFrame, uri: str = "url", html: str = "html") -> DataFrame:

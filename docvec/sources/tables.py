@@ -3,16 +3,22 @@
 Layout of a table folder::
 
     data/ver=3/bucket=7/part-....parquet
-    versions/00000002.json     {"next": 4, "bucket": {"7": [1, 3], "8": [1]}}
+    deletes/ver=4/part-....parquet
+    versions/00000002.json     {"next": 5, "buckets": 8, "bucket": {"7": [1, 3]},
+                                "note": null,
+                                "deletes": [{"ver": 4, "columns": ["k"], "own": false}]}
 
 A version lists, for each bucket, the writes that hold its rows; nothing that is
 being read is overwritten. New rows are written once, to the place where they stay.
-Rows that they replace, or that are deleted, are taken out by rewriting the buckets
-which hold such rows; buckets that only gain rows are left alone. One writer at a time.
+Rows that they replace, or that are deleted, stay where they are: the version names
+the keys, and reading leaves out rows of earlier writes that have them. So an update
+writes what changed and no more. Once ``FOLD_AFTER`` sets of keys have gathered, the
+buckets that hold such rows are rewritten without them. One writer at a time.
 
 The bucket is a hash of the key, so its size follows the number of keys; writes
 are rebalanced, which lets adaptive execution split a large bucket over several
-tasks and files.
+tasks and files. The number of buckets is kept in the version: a table is not written
+with another one until :meth:`ManagedTable.compact` has placed its rows anew.
 """
 
 from __future__ import annotations
@@ -31,11 +37,15 @@ from docvec.sources.storage import Storage
 _STR, _TS = T.StringType(), T.TimestampType()
 _VECTOR = T.ArrayType(T.FloatType(), True)
 
+# Sets of deleted keys that a version may name before they are folded in.
+FOLD_AFTER = 8
+
 
 def _schema(**fields: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(k, v) for k, v in fields.items()])
 
 
+# The columns of the stored tables.
 SCHEMAS = {
     "doc_normalized": _schema(
         uri=_STR, text=_STR, language=_STR, title=_STR, docId=_STR,
@@ -67,6 +77,27 @@ class Write:
     buckets: list[int]
 
 
+@dataclass(frozen=True)
+class Deletes:
+    """Keys that rows of writes before ``ver`` must not have: those of write ``ver``
+    itself (``own``), or of a list written for the purpose."""
+
+    ver: int
+    columns: tuple[str, ...]
+    own: bool
+
+
+@dataclass(frozen=True)
+class State:
+    """What a version file says."""
+
+    free: int
+    held: dict[int, list[int]]
+    deletes: tuple[Deletes, ...] = ()
+    buckets: int | None = None
+    note: str | None = None
+
+
 class ManagedTable:
     def __init__(
         self,
@@ -94,43 +125,98 @@ class ManagedTable:
     def exists(self) -> bool:
         return self.version() > 0
 
-    def _state(self, version: int) -> tuple[int, dict[int, list[int]]]:
-        """Next free write number, and the writes of each bucket."""
+    def _state(self, version: int) -> State:
         if version == 0:
-            return 1, {}
+            return State(1, {})
         text = json.loads(self._files.read(f"{self.path}/versions/{version:08d}.json"))
-        return text["next"], {int(b): w for b, w in text["bucket"].items()}
+        deletes = tuple(Deletes(d["ver"], tuple(d["columns"]), d["own"]) for d in text["deletes"])
+        held = {int(b): w for b, w in text["bucket"].items()}
+        return State(text["next"], held, deletes, text["buckets"], text["note"])
 
-    def _publish(self, free: int, held: dict[int, list[int]]) -> int:
+    def _publish(self, state: State) -> int:
         version = self.version() + 1
-        buckets = {str(b): w for b, w in sorted(held.items()) if w}
-        text = json.dumps({"next": free, "bucket": buckets})
+        text = json.dumps(
+            {
+                "next": state.free,
+                "buckets": self.buckets,
+                "note": state.note,
+                "bucket": {str(b): w for b, w in sorted(state.held.items()) if w},
+                "deletes": [
+                    {"ver": d.ver, "columns": list(d.columns), "own": d.own} for d in state.deletes
+                ],
+            }
+        )
         self._files.publish(f"{self.path}/versions/{version:08d}.json", text)
         return version
 
+    def stored_buckets(self) -> int | None:
+        """The number of buckets (or shards) that the rows are placed by."""
+        return self._state(self.version()).buckets
+
+    def note(self) -> str | None:
+        return self._state(self.version()).note
+
+    def _writable(self) -> State:
+        state = self._state(self.version())
+        if state.buckets not in (None, self.buckets):
+            raise ValueError(
+                f"{self.path} has {state.buckets} {self.bucket_name}s, not {self.buckets}: "
+                "compact it with the new number first"
+            )
+        return state
+
     # -- reading -----------------------------------------------------------
 
     def read(self, *columns: str, version: int | None = None) -> DataFrame:
         """Rows of a version, the current one by default; empty before any write."""
-        _, held = self._state(self.version() if version is None else version)
-        return self._rows(held, columns or self._visible())
+        state = self._state(self.version() if version is None else version)
+        return self._rows(state.held, columns or self._visible(), state.deletes)
 
     def _visible(self) -> list[str]:
         shown = [self.bucket_name] if self.bucket_name != "bucket" else []
         return [*self.schema.names, *shown]
 
-    def _rows(self, held: dict[int, list[int]], columns: Sequence[str]) -> DataFrame:
-        full = T.StructType(
+    def _rows(
+        self, held: dict[int, list[int]], columns: Sequence[str], deletes: Sequence[Deletes] = ()
+    ) -> DataFrame:
+        found = self._files_of(held)
+        by_columns: dict[tuple[str, ...], list[Deletes]] = {}
+        for d in deletes:
+            by_columns.setdefault(d.columns, []).append(d)
+        for keys, sets in by_columns.items():
+            gone = self._deleted(sets[0])
+            for d in sets[1:]:
+                gone = gone.unionByName(self._deleted(d))
+            same = [F.col(k) == F.col(f"_gone_{k}") for k in keys]
+            found = found.join(gone, [*same, F.col("ver") < F.col("_at")], "left_anti")
+        return found.select(*columns)
+
+    def _deleted(self, d: Deletes) -> DataFrame:
+        """The keys of a set, with the write before which they hold."""
+        if d.own:
+            folder = f"{self.path}/data/ver={d.ver}"
+        else:
+            folder = f"{self.path}/deletes/ver={d.ver}"
+        kept = T.StructType([f for f in self._full().fields if f.name in d.columns])
+        keys = self.spark.read.schema(kept).option("basePath", folder).parquet(folder)
+        return keys.select(
+            *[F.col(c).alias(f"_gone_{c}") for c in d.columns], F.lit(d.ver).alias("_at")
+        )
+
+    def _full(self) -> T.StructType:
+        return T.StructType(
             self.schema.fields
             + [T.StructField(self.bucket_name, T.LongType()), T.StructField("ver", T.LongType())]
         )
+
+    def _files_of(self, held: dict[int, list[int]]) -> DataFrame:
         folders = [
             f"{self.path}/data/ver={w}/{self.bucket_name}={b}" for b, ws in held.items() for w in ws
         ]
         if not folders:
-            return self.spark.createDataFrame([], full).select(*columns)
-        reader = self.spark.read.schema(full).option("basePath", f"{self.path}/data")
-        return reader.parquet(*folders).select(*columns)
+            return self.spark.createDataFrame([], self._full())
+        reader = self.spark.read.schema(self._full()).option("basePath", f"{self.path}/data")
+        return reader.parquet(*folders)
 
     def _bucket(self) -> Column:
         if self.bucket_name == "shard":
@@ -172,7 +258,10 @@ class ManagedTable:
         ``placed`` skips the shuffle to the buckets, for rows computed in place from a
         whole table with the same buckets.
         """
-        number, _ = self._state(self.version())
+        # Writes that were put and not shown, by a run that was lost say, keep their number.
+        taken = self._files.names(f"{self.path}/data")
+        numbers = [int(n.split("=")[1]) + 1 for n in taken if n.startswith("ver=")]
+        number = max([self._writable().free, *numbers])
         return Write(number, self._write(rows, number, placed=placed))
 
     def written(self, write: Write, *columns: str) -> DataFrame:
@@ -187,41 +276,52 @@ class ManagedTable:
         write: Write | None,
         keys: Sequence[str] | None = None,
         delete: DataFrame | None = None,
+        note: str | None = None,
     ) -> int:
         """Publish a write as an upsert on ``keys``; the version number.
 
-        Without ``keys`` the rows are known to be new. Rows matching ``delete``, on the
-        columns it has, go as well. Old rows are compared by key columns alone.
+        Without ``keys`` the rows are known to be new. Rows of earlier writes matching
+        ``delete``, on the columns it has, go as well. ``note`` is kept with the version,
+        and with later ones until there is another.
         """
-        free, held = self._state(self.version())
-        removals = []
-        if write is not None:
-            free = write.number + 1
-            if keys is not None:
-                removals.append(self.written(write, *keys))
-        if delete is not None:
-            removals.append(delete)
+        state = self._writable()
+        number = write.number if write is not None else state.free
+        if number < state.free:
+            raise ValueError(f"write {number} of {self.path} came before what is shown already")
+        deletes = list(state.deletes)
+        if state.held and write is not None and keys is not None:
+            deletes.append(Deletes(number, tuple(keys), True))
+        if state.held and delete is not None:
+            delete.distinct().write.mode("overwrite").parquet(f"{self.path}/deletes/ver={number}")
+            deletes.append(Deletes(number, tuple(delete.columns), False))
+        held = {b: list(w) for b, w in state.held.items()}
+        for bucket in write.buckets if write is not None else []:
+            held.setdefault(bucket, []).append(number)
+        after = State(number + 1, held, tuple(deletes), note=state.note if note is None else note)
+        return self._publish(self._folded(after) if len(deletes) > FOLD_AFTER else after)
+
+    def _folded(self, state: State) -> State:
+        """The same rows without sets of deleted keys: buckets that hold rows with such
+        keys are rewritten."""
         touched: set[int] = set()
-        for gone in removals if held else []:
-            old = self._rows(held, [*dict.fromkeys([*gone.columns, self.bucket_name])])
-            hit = old.join(gone, gone.columns, "left_semi").select(self.bucket_name)
+        for d in state.deletes:
+            old = self._files_of(state.held).select(*d.columns, self.bucket_name, "ver")
+            same = [F.col(k) == F.col(f"_gone_{k}") for k in d.columns]
+            hit = old.join(self._deleted(d), [*same, F.col("ver") < F.col("_at")], "left_semi")
             # At most one number per bucket comes back.
-            touched.update(r[0] for r in hit.distinct().collect())
-        if touched:
-            kept = self._rows({b: held[b] for b in touched}, self.schema.names)
-            for gone in removals:
-                kept = kept.join(gone, gone.columns, "left_anti")
-            written = self._write(kept, free)
-            held = {**held, **{b: [free] if b in written else [] for b in touched}}
-            free += 1
-        for bucket in write.buckets if write is not None else []:
-            held[bucket] = [*held.get(bucket, []), write.number]
-        return self._publish(free, held)
+            touched.update(r[0] for r in hit.select(self.bucket_name).distinct().collect())
+        if not touched:
+            return State(state.free, state.held, note=state.note)
+        some = {b: state.held[b] for b in touched}
+        kept = self._rows(some, self.schema.names, state.deletes)
+        written = self._write(kept, state.free)
+        moved = {b: [state.free] if b in written else [] for b in touched}
+        return State(state.free + 1, {**state.held, **moved}, note=state.note)
 
     def overwrite(self, rows: DataFrame) -> int:
         """Write the whole table anew; the version number."""
         write = self.put(rows)
-        return self._publish(write.number + 1, {b: [write.number] for b in write.buckets})
+        return self._publish(State(write.number + 1, {b: [write.number] for b in write.buckets}))
 
     def merge(
         self, rows: DataFrame, keys: Sequence[str], delete: DataFrame | None = None
@@ -230,11 +330,38 @@ class ManagedTable:
         write = self.put(rows)
         return self.show(write, keys, delete)
 
-    def compact(self, files: int) -> int:
-        """Rewrite the current version with at most ``files`` tasks."""
-        free, held = self._state(self.version())
-        written = self._write(self._rows(held, self.schema.names), free, files)
-        return self._publish(free + 1, {b: [free] for b in written})
+    def compact(self, files: int, buckets: int | None = None) -> int:
+        """Rewrite the current version with at most ``files`` tasks, in another number of
+        buckets if one is given."""
+        state = self._state(self.version())
+        rows = self._rows(state.held, self.schema.names, state.deletes)
+        self.buckets = buckets or state.buckets or self.buckets
+        written = self._write(rows, state.free, files)
+        held = {b: [state.free] for b in written}
+        return self._publish(State(state.free + 1, held, note=state.note))
+
+    def expire(self, keep: int = 1) -> list[int]:
+        """Delete all versions but the last ``keep`` and the writes that only those had;
+        the numbers of the writes deleted. Nobody may be reading them."""
+        names = sorted(n for n in self._files.names(f"{self.path}/versions") if n.endswith(".json"))
+        if keep < 1:
+            raise ValueError("keep must be at least 1")
+        used: set[int] = set()
+        for name in names[-keep:]:
+            state = self._state(int(name.split(".")[0]))
+            used.update(w for writes in state.held.values() for w in writes)
+            used.update(d.ver for d in state.deletes)
+        for name in names[:-keep]:
+            self._files.delete(f"{self.path}/versions/{name}")
+        free = self._state(self.version()).free
+        dropped = set()
+        for kind in ("data", "deletes"):
+            for name in self._files.names(f"{self.path}/{kind}"):
+                number = int(name.split("=")[1]) if name.startswith("ver=") else free
+                if number < free and number not in used:
+                    self._files.delete(f"{self.path}/{kind}/{name}")
+                    dropped.add(number)
+        return sorted(dropped)
 
 
 class Store:

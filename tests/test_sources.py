@@ -11,11 +11,13 @@ def test_uri_list_and_extraction(spark, tmp_path):
     uris = [good.as_uri(), str(page), str(tmp_path / "missing.txt"), "nowhere://x/y", str(tmp_path), good.as_uri()]
     listing = tmp_path / "uris.txt"
     listing.write_text("\n".join(uris) + "\n\n", encoding="utf-8")
-    listed = D.uri_list(spark, str(listing), 3)
+    listed = D.uri_list(spark, str(listing), 1)
     assert listed.count() == 5
-    assert listed.rdd.getNumPartitions() == 3
+    assert listed.rdd.getNumPartitions() == max(5, spark.sparkContext.defaultParallelism)
     got = {r.uri: r.text for r in D.extract_uris(listed).collect()}
     assert got == dict(zip(uris, ["plain text", "Seen", "", "", ""]))
+    failed = {r.uri: r.reason for r in D.extraction_failures(D.extract_uris(listed)).collect()}
+    assert set(failed) == set(uris[2:5]) and failed[uris[2]].startswith("FileNotFoundError")
 
 
 def test_null_uri_and_failing_extractor(spark):

@@ -188,3 +188,60 @@ def test_compat_tail_and_uri_source(spark, tmp_path):
     assert (seen["normalize", "new"], seen["normalize", "changed"]) == (0, 1)
     assert store.documents.read().count() == 3
     assert store.index.read().count() == store.chunks.read().count()
+
+
+def test_failed_extraction_removes_nothing(spark):
+    options = Options(tail="compact", num_shards=3, table_buckets=4, prune=True)
+    r, texts = Runner(spark, options), seven()
+    r.run(texts)
+    seen = r.run(texts | {"doc://1": "", "doc://2": "   "})
+    assert (seen["normalize", "failed"], seen["normalize", "pruned"]) == (2, 0)
+    r.check(texts)
+    fewer = {k: v for k, v in texts.items() if k != "doc://4"}
+    seen = r.run(fewer | {"doc://1": ""})
+    assert (seen["normalize", "failed"], seen["normalize", "pruned"]) == (1, 1)
+    r.check(fewer)
+    with pytest.raises(stages.NoTexts):
+        r.run({k: "" for k in texts})
+    r.check(fewer)
+
+
+def test_changed_split_settings_are_applied(spark):
+    r, texts = Runner(spark), seven()
+    r.run(texts)
+    smaller = Options(tail="compact", num_shards=3, table_buckets=4, max_chars=300, overlap=20)
+    r.run(texts, options=smaller)
+    r.check(texts, smaller)
+    versions = r.versions()
+    r.run(texts, options=smaller)
+    assert r.versions() == versions
+
+
+def test_another_number_of_shards_is_refused_and_lookup_knows_the_stored_one(spark):
+    from docvec.operators.index import lookup_stored
+
+    r, texts = Runner(spark), seven()
+    r.run(texts)
+    other = Options(tail="compact", num_shards=5, table_buckets=4)
+    with pytest.raises(ValueError, match="compact"):
+        r.run(texts | {"doc://9": LONG}, options=other)
+    index = stages.open_store(spark, r.path, other).index
+    ids = [d.doc_id for d in index.read("doc_id").distinct().collect()]
+    assert all(lookup_stored(index, "doc_id", d).count() for d in ids)
+
+
+def test_an_edit_writes_in_proportion_to_itself(spark):
+    r, texts = Runner(spark), seven()
+    r.run(texts)
+    s = r.store
+    tables = (s.documents, s.chunks, s.embeddings, s.indexed, s.index)
+    total = [t.read().count() for t in tables]
+    before = [t._state(t.version()) for t in tables]
+    texts["doc://3"] = "E" + texts["doc://3"][1:]
+    seen = r.run(texts)
+    for table, old, n in zip(tables, before, total):
+        now = table._state(table.version())
+        assert all(now.held[b][: len(w)] == w for b, w in old.held.items())
+        fresh = {b: [w for w in ws if w >= old.free] for b, ws in now.held.items()}
+        assert table._files_of(fresh).count() <= max(1, seen["chunk", "chunks"]) < n or n == 7
+    r.check(texts)

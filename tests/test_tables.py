@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import types as T
 
 from docvec.sources.storage import work_folder
@@ -21,7 +22,7 @@ def rows(table, **kw):
 
 
 def held(table):
-    return table._state(table.version())[1]
+    return table._state(table.version()).held
 
 
 def test_first_run(spark):
@@ -57,17 +58,77 @@ def test_inserts_rewrite_nothing(spark):
     assert table.read().count() == 100
 
 
-def test_update_rewrites_its_bucket_alone(spark):
+def test_update_writes_what_changed(spark):
     table = make(spark, buckets=8)
     table.overwrite(frame(spark, [(str(i), "x", i) for i in range(100)]))
     before = held(table)
     table.merge(frame(spark, [("7", "y", -1)]), ["k"])
     after = held(table)
-    assert sum(after[b] != before[b] for b in before) == 1
+    assert all(after[b][: len(w)] == w for b, w in before.items())
+    new = {w for ws in after.values() for w in ws} - {w for ws in before.values() for w in ws}
+    assert len(new) == 1 and table._files_of({b: [w for w in ws if w in new] for b, ws in after.items()}).count() == 1
     assert table.read().count() == 100
     assert table.read().filter("k = '7'").first().v == -1
 
 
+def test_many_updates_and_deletes_read_the_same_when_folded(spark, monkeypatch):
+    from docvec.sources import tables
+
+    expect = {str(i): i for i in range(20)}
+    monkeypatch.setattr(tables, "FOLD_AFTER", 3)
+    table = make(spark, buckets=3)
+    table.overwrite(frame(spark, [(k, "x", v) for k, v in expect.items()]))
+    most = 0
+    for turn in range(6):
+        change = {str(turn): 100 + turn, str(turn + 1): 200 + turn, f"n{turn}": turn}
+        gone = [str(10 + turn), f"n{turn - 1}"]
+        table.merge(
+            frame(spark, [(k, "x", v) for k, v in change.items()]), ["k"],
+            delete=spark.createDataFrame([(g,) for g in gone], "k string"),
+        )
+        expect = {k: v for k, v in expect.items() if k not in gone} | change
+        assert {r.k: r.v for r in table.read().collect()} == expect
+        most = max(most, len(table._state(table.version()).deletes))
+    assert 0 < most <= 3
+    assert {r.k: r.v for r in table.read(version=1).collect()} == {str(i): i for i in range(20)}
+
+
+def test_expire_keeps_what_is_read(spark):
+    table = make(spark)
+    table.overwrite(frame(spark, [("a", "x", 1), ("b", "x", 2)]))
+    table.merge(frame(spark, [("a", "y", 3)]), ["k"])
+    table.compact(1)
+    assert table.expire(keep=2) == []
+    assert rows(table, version=2) == rows(table) == [("a", "y", 3), ("b", "x", 2)]
+    assert table.expire() == [1, 2]
+    assert rows(table) == [("a", "y", 3), ("b", "x", 2)]
+    table.merge(frame(spark, [("c", "x", 4)]), ["k"])
+    assert len(rows(table)) == 3
+
+
+def test_another_number_of_buckets_is_refused_until_compacted(spark):
+    table = make(spark, buckets=2)
+    table.overwrite(frame(spark, [("a", "x", 1), ("b", "x", 2)]))
+    other = ManagedTable(spark, table.path, SCHEMA, "k", 5)
+    assert other.stored_buckets() == 2 and len(rows(other)) == 2
+    with pytest.raises(ValueError, match="compact"):
+        other.merge(frame(spark, [("c", "x", 1)]), ["k"])
+    other.compact(2, buckets=5)
+    other.merge(frame(spark, [("c", "x", 1)]), ["k"])
+    assert other.stored_buckets() == 5 and len(rows(other)) == 3
+
+
+def test_two_writes_before_they_are_shown(spark):
+    table = make(spark)
+    first = table.put(frame(spark, [("a", "x", 1)]))
+    second = table.put(frame(spark, [("b", "x", 2)]))
+    table.show(first)
+    table.show(second)
+    assert rows(table) == [("a", "x", 1), ("b", "x", 2)]
+    with pytest.raises(ValueError, match="before"):
+        table.show(first)
+
+
 def test_delete(spark):
     table = make(spark)
     table.overwrite(frame(spark, [(str(i), "x", i) for i in range(20)]))
