@@ -313,6 +313,12 @@ def oracles() -> dict[str, str]:
         "lookup_chunk": _with(*_chunk_parts(False, False), _SHARD)
         + """SELECT "chunkId" AS chunk_id, "docId" AS doc_id, "offset", chunk AS text, shard
              FROM chunks JOIN shards USING ("docId") WHERE "chunkHash" = sha256('.')""",
+        "lookup_stored": _with(*_chunk_parts(True, False), _SHARD)
+        + """SELECT "chunkId" AS chunk_id, "docId" AS doc_id, "offset", chunk AS text, shard
+             FROM chunks_compact JOIN shards USING ("docId") WHERE "docId" = sha256('doc://src1/1')""",
+        "extraction_failures": f"""WITH t AS (SELECT url AS uri, {_page_text()} AS text FROM pages)
+            SELECT uri, CASE WHEN length(uri) % 7 = 0 THEN 'ValueError: broken page' ELSE 'no visible text' END AS reason
+            FROM t WHERE length(uri) % 7 = 0 OR NOT regexp_matches(text, '[^\\x00-\\x20]')""",
         "offset_range": compat
         + """SELECT "chunkId" AS chunk_id, "docId" AS doc_id, "offset", chunk AS text
              FROM chunks WHERE "offset" BETWEEN 2 AND 4""",
@@ -320,7 +326,7 @@ def oracles() -> dict[str, str]:
             SELECT conv_id || ':' || turn AS query_id, CASE WHEN turn > 0 THEN turn ELSE 5 END AS top_k,
                    'hashed-tokens-64' AS embed_model,
                    CASE WHEN turn > 2 THEN 'other' ELSE 'extractive' END AS chat_model
-            FROM conversations WHERE role = 'user'""",
+            FROM conversations""",
         "batch_search": hits
         + 'SELECT query_id, rank, "docId", "chunkId", text, round(score, 5) AS score, "offset" FROM hits',
         "term_index": _with(*_chunk_parts(True, False), _TERMS)
@@ -393,6 +399,8 @@ def oracles() -> dict[str, str]:
                 JOIN probed b ON b.query_id = p.query_id AND b.cell = c.cell"""
         )
     )
+    out["knn_ivf"] = out["knn_cosine"]
+    out["knn_ivf_recall"] = "SELECT DISTINCT label AS query_id, true AS reached FROM embeddings"
     return out
 
 
@@ -464,6 +472,7 @@ gone AS (
 fresh AS (SELECT count(*) AS n FROM chunk_changes)
 SELECT 'normalize' AS stage, 'new' AS metric, count(*) FILTER (NOT is_update) AS value FROM doc_changes
 UNION ALL SELECT 'normalize', 'changed', count(*) FILTER (is_update) FROM doc_changes
+UNION ALL SELECT 'normalize', 'failed', 0
 UNION ALL SELECT 'chunk', 'documents', count(*) FROM doc_changes
 UNION ALL SELECT 'chunk', 'chunks', n FROM again
 UNION ALL SELECT 'chunk', 'chunks_changed', n FROM fresh
