@@ -233,13 +233,13 @@ def with_slots(rows: DataFrame, order: list[Column]) -> DataFrame:
 
 def op6_sharding(spark, sf):
     text = F.col("text")
-    docs = table(spark, sf, "documents")
-    rows = shard_documents(docs).select(
+    # Taken before the shard is joined on, so that the join does not carry texts.
+    docs = table(spark, sf, "documents").select(
         "doc_id",
+        "text",
         text_size(text).alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
-        F.lit("bytes").alias("law"),
-        "shard",
     )
+    rows = shard_documents(docs).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard")
     numbered = with_slots(rows, [F.col("doc_id"), F.col("text_crc32"), F.col("size")])
     return numbered.withColumn("grown_shard", F.lit(None).cast("int"))
