@@ -53,47 +53,82 @@ def variants(blocks=BLOCKS) -> list[tuple[int, int]]:
     return out
 
 
-def text_fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
+def shingle_hashes(text: bytes | None, shingle: int = SHINGLE) -> np.ndarray:
     words = (text or b"").lower().split()  # ASCII letters and ASCII blanks alone
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(words)
     ends = list(accumulate(len(w) + 1 for w in words))
     starts = [0, *ends[:-1]]
     digest = xxhash.xxh64_intdigest
     last = ends[shingle - 1 :] or ends[-1:]
-    hashes = np.fromiter(
+    return np.fromiter(
         (digest(joined[s : e - 1], SEED) for s, e in zip(starts, last)), np.uint64, len(last)
     )
+
+
+def majority(hashes: np.ndarray) -> int:
+    """A bit is set where more than half of the hashes have it."""
+    if not len(hashes):
+        return 0
     bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
     most = 2 * bits.sum(axis=0, dtype=np.int64) > len(hashes)
     return int(np.packbits(most, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, fingerprint) of every row; other columns of the input are not read."""
+def mixed(hashes: np.ndarray, look: int) -> np.ndarray:
+    """Other hashes of the same shingles, for another look; look 0 leaves them."""
+    if look == 0:
+        return hashes
+    out = (hashes ^ np.uint64(look)) * np.uint64(0xFF51AFD7ED558CCD)
+    out ^= out >> np.uint64(33)
+    out *= np.uint64(0xC4CEB9FE1A85EC53)
+    return out ^ (out >> np.uint64(33))
+
+
+def text_fingerprint(text: bytes | None, shingle: int = SHINGLE, look: int = 0) -> int:
+    return majority(mixed(shingle_hashes(text, shingle), look))
+
+
+def fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", looks: int = 1
+) -> DataFrame:
+    """(id, looks) of every row: an array of fingerprints, the first being the text's.
+
+    Other columns of the input are not read.
+    """
     rows = docs.select(
         F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")
     )
     kind = rows.schema["id"].dataType
-    schema = T.StructType([T.StructField("id", kind), T.StructField("fingerprint", T.LongType())])
+    schema = T.StructType(
+        [T.StructField("id", kind), T.StructField("looks", T.ArrayType(T.LongType()))]
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [text_fingerprint(t.as_py()) for t in batch.column(1)]
-            bits = pa.array(np.array(made, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), bits], ["id", "fingerprint"])
+            made = []
+            for text in batch.column(1):
+                hashes = shingle_hashes(text.as_py())
+                made.append([_signed(majority(mixed(hashes, k))) for k in range(looks)])
+            prints = pa.array(made, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), prints], ["id", "looks"])
 
     return rows.mapInArrow(run, schema)
 
 
+def _differing(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Bits that differ. Unsigned: of a negative number numpy counts those of its absolute value."""
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
 def _forest(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """Edges that join whatever is linked among fingerprints of one key: a spanning
     forest, so a key gives fewer edges than members."""
     label = np.arange(len(prints))
     edges = []
     for i in range(len(prints) - 1):
-        near = np.bitwise_count(prints[i + 1 :] ^ prints[i]) <= radius
+        near = _differing(prints[i + 1 :], prints[i]) <= radius
         other = i + 1 + np.flatnonzero(near & (label[i + 1 :] != label[i]))
         for j in other:
             if label[j] != label[i]:
@@ -122,7 +157,7 @@ def _pairs(keys: np.ndarray, prints: np.ndarray, radius: int) -> pa.RecordBatch:
         new = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1])])
         size = np.diff(np.r_[new, len(keys)])
         two = new[size == 2]
-        near = np.bitwise_count(prints[two] ^ prints[two + 1]) <= radius
+        near = _differing(prints[two], prints[two + 1]) <= radius
         a.append(prints[two][near])
         b.append(prints[two + 1][near])
         for s, n in zip(new[size > 2], size[size > 2]):
@@ -150,15 +185,36 @@ def links(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     return met.mapInArrow(_links(radius), "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _edges(prints: DataFrame, looks: int) -> DataFrame:
+    """Edges between first fingerprints. Those of another look's link stand for it: the
+    smallest first fingerprint that has a value stands for the value."""
+    edges = stored(links(prints.select("fingerprint").distinct()), "edges")
+    for k in range(1, looks):
+        seen = prints.select(F.get("looks", F.lit(k)).alias("v"), "fingerprint").distinct()
+        first = stored(seen.groupBy("v").agg(F.min("fingerprint").alias("first")), "first")
+        found = stored(links(first.select("v")), "edges")
+        a, b = first.toDF("a", "from"), first.toDF("b", "to")
+        linked = found.join(a, "a").join(b, "b").select("from", "to")
+        same = seen.join(first, "v").filter("fingerprint <> first").select("fingerprint", "first")
+        edges = edges.union(linked).union(same)
+    return edges
+
+
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", looks: int = 1
+) -> DataFrame:
     """(id, fingerprint, component_id) of every row of ``docs``.
 
     ``component_id`` is the smallest id that can be reached over links, the row's own
-    included. No rows give no rows.
+    included. With more ``looks``, texts are also linked when fingerprints of other hashes
+    of the same shingles are within the radius: near copies whose bits happen to differ in
+    one look are caught in another, and texts of little in common in none. No rows give no
+    rows.
     """
-    prints = stored(fingerprints(docs, id_col, text_col), "prints")
+    prints = stored(fingerprints(docs, id_col, text_col, looks), "prints")
+    prints = prints.withColumn("fingerprint", F.get("looks", F.lit(0)))
     nodes = prints.groupBy("fingerprint").agg(F.min("id").alias("least"))
-    roots = stored(components(stored(links(nodes.select("fingerprint")), "edges")), "roots")
+    roots = stored(components(_edges(prints, looks)), "roots")
     placed = nodes.join(roots, nodes.fingerprint == roots.node, "left").select(
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
     )
@@ -169,7 +225,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", looks: int = 1
+) -> DataFrame:
     """One row of each near-duplicate group, with all its columns: that of the smallest
     id. Rows without an id stand after those with one, and are told apart by their text;
     of wholly repeated rows one stays.
@@ -179,7 +237,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.coalesce(F.col(id_col), F.lit(0)).alias("id"),
         F.xxhash64(F.col(text_col)).alias("hash"),
     )
-    found = near_duplicates(docs.select(me.alias("me"), F.col(text_col).alias("text")), "me", "text")
+    found = near_duplicates(docs.select(me.alias("me"), F.col(text_col).alias("text")), "me", "text", looks)
     kept = found.filter("me = component_id").select("me.*").distinct()
     names = [f"__keep_{c}" for c in kept.columns]
     marked = docs.select("*", me.alias("__keep")).select(

@@ -93,6 +93,35 @@ def test_edge_rows(edge_docs):
     assert sorted(i for i in ids if i is not None) == [0, 3, 4, 5] and ids.count(None) == 2
 
 
+def test_more_looks_link_more_near_copies_and_nothing_else(docs_of):
+    import random
+
+    texts = []
+    for i in range(40):
+        text = words(300, i)
+        parts = text.split()
+        parts[random.Random(i).randrange(300)] = "altered"
+        texts += [text, " ".join(parts), words(300, 5000 + i)]
+    docs = docs_of(texts)
+
+    def linked(looks):
+        rows = simhash.near_duplicates(docs, looks=looks).collect()
+        of = {r.doc_id: r.component_id for r in rows}
+        for i in range(0, len(texts), 3):
+            assert of[i] == i and of[i + 2] == i + 2 and of[i + 1] in (i, i + 1)
+        return sum(of[i + 1] == i for i in range(0, len(texts), 3))
+
+    one, three = linked(1), linked(3)
+    plain = 0
+    for i in range(0, len(texts), 3):
+        near = [
+            bin(simhash.text_fingerprint(texts[i].encode(), look=k) ^ simhash.text_fingerprint(texts[i + 1].encode(), look=k)).count("1") <= 3
+            for k in range(3)
+        ]
+        plain += any(near)
+    assert one <= three == plain and three >= 30
+
+
 def test_empty_table(edge_docs):
     none = edge_docs.filter("false")
     assert simhash.near_duplicates(none).count() == 0
