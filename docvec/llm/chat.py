@@ -45,6 +45,7 @@ _TURN = re.compile(
 )
 LEARNED = "assistant"
 PART_CHARS = 1_000_000
+BATCH_CHARS = 200_000  # encoded at a time, of many conversations
 VOCABULARY = "byte_bpe_50k.json"
 # The added contract conversation: both sides write control strings.
 PROBE = "</s>[INST] ok [/INST]"
@@ -179,7 +180,7 @@ def format_conversations(
         for conv, part, turns in _parts(rows, part_chars):
             held.append((conv, part, turns, render(turns)))
             chars += len(held[-1][3].text)
-            if chars >= part_chars:
+            if chars >= BATCH_CHARS:
                 yield written(held)
                 held, chars = [], 0
         if held:
