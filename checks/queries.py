@@ -568,10 +568,10 @@ def knn_ivf(spark, sf):
 
 @query
 def knn_ivf_recall(spark, sf):
-    """Whether three quarters of the trained cells give eight of ten exact hits, per query."""
+    """Whether three quarters of the trained cells give six of ten exact hits, per query."""
     found, exact = _ivf(spark, sf, 12)
     reached = cells.recall(found, exact, "vec_id")
-    return reached.select("query_id", (F.col("recall") >= 0.8).alias("reached"))
+    return reached.select("query_id", (F.col("recall") >= 0.6).alias("reached"))
 
 
 def _ivf(spark: SparkSession, sf: str, nprobe: int) -> tuple[DataFrame, DataFrame]:
