@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+import random
+
+import corpus_pipeline
+from docvec.llm import nearcopies, simhash
+from tests.llm.conftest import words
+
+SF = "/root/testdata/sf0.01"
+
+
+def plain_set(text):
+    parts = (text or "").encode().lower().split()
+    return frozenset(tuple(parts[i : i + 5]) for i in range(max(1, len(parts) - 4))) if parts else frozenset()
+
+
+def similar_pairs(texts):
+    """All pairs of different shingle sets at 0.8 or more, by counting shared shingles."""
+    sets, holders, shared = {}, {}, {}
+    for i, text in texts.items():
+        sets.setdefault(plain_set(text), i)
+    for s, i in sets.items():
+        for g in s:
+            holders.setdefault(g, []).append(i)
+    for ids in holders.values():
+        for n, a in enumerate(ids):
+            for b in ids[n + 1 :]:
+                shared[a, b] = shared.get((a, b), 0) + 1
+    of = {i: s for s, i in sets.items()}
+    pairs = [p for p, n in shared.items() if 5 * n >= 4 * (len(of[p[0]]) + len(of[p[1]]) - n)]
+    copies = [(i, sets[plain_set(t)]) for i, t in texts.items()]
+    return pairs, copies
+
+
+def plain_components(texts):
+    pairs, copies = similar_pairs(texts)
+    label = {i: i for i in texts}
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for a, b in pairs + copies:
+        a, b = sorted((root(a), root(b)))
+        label[b] = a
+    return {i: root(i) for i in texts}, pairs
+
+
+def test_stage_recall_and_precision_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    expect, pairs = plain_components(texts)
+    got = {r.doc_id: r.component_id for r in nearcopies.near_copies(docs).collect()}
+    assert got.keys() == texts.keys()
+    assert all(expect[i] == expect[c] for i, c in got.items())
+    caught = sum(got[a] == got[b] for a, b in pairs)
+    assert pairs and caught == len(pairs)
+    kept = [r.doc_id for r in corpus_pipeline.deduplicate(spark, docs, SF).select("doc_id").collect()]
+    assert sorted(kept) == sorted(set(got.values()))
+
+
+def test_altered_copies_are_caught_and_others_left(docs_of):
+    texts = []
+    for i in range(30):
+        parts = words(300, i).split()
+        near, far = list(parts), list(parts)
+        for at in random.Random(i).sample(range(0, 300, 6), 4):
+            near[at] = "altered"
+        for at in range(0, 300, 15):
+            far[at] = "altered"
+        texts += [" ".join(parts), " ".join(near), " ".join(far)]
+    expect, _ = plain_components(dict(enumerate(texts)))
+    docs = docs_of(texts)
+    got = {r.doc_id: r.component_id for r in nearcopies.near_copies(docs).collect()}
+    assert got == expect
+    assert all(got[i + 1] == i and got[i + 2] == i + 2 for i in range(0, 90, 3))
+    assert sum(r.component_id != r.doc_id for r in simhash.near_duplicates(docs).collect()) < 30
+
+
+def test_recall_close_to_the_limit(docs_of):
+    texts = []
+    for i in range(300):
+        parts = words(200, i).split()
+        near = list(parts)
+        for at in (20, 70, 120, 170):  # 20 of 196 shingles: similarity 0.815
+            near[at] = "altered"
+        texts += [" ".join(parts), " ".join(near)]
+    expect, pairs = plain_components(dict(enumerate(texts)))
+    got = {r.doc_id: r.component_id for r in nearcopies.near_copies(docs_of(texts)).collect()}
+    assert len(pairs) == 300 and all(expect[i] == expect[c] for i, c in got.items())
+    assert sum(got[a] == got[b] for a, b in pairs) >= 297
+
+
+def test_edge_rows_and_empty_table(edge_docs):
+    rows = nearcopies.keep_one(edge_docs).collect()
+    ids = [r.doc_id for r in rows]
+    assert sorted(i for i in ids if i is not None) == [0, 3, 4, 5] and ids.count(None) == 2
+    assert nearcopies.keep_one(edge_docs.filter("false")).count() == 0
+
+
+def test_the_limit_itself_counts():
+    import numpy as np
+
+    one = np.arange(9, dtype=np.uint64)
+    assert nearcopies._alike(one, [np.arange(1, 10, dtype=np.uint64), np.arange(2, 9, dtype=np.uint64)]).tolist() == [True, False]
