@@ -11,17 +11,21 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docvec.functions.vectors import is_valid
+from docvec.functions.vectors import is_valid, l2_normalize
 from docvec.operators.search import knn
 from docvec.options import TOP_K
 
 
 def train_cells(
-    vectors: DataFrame, cells: int, vector_col: str = "vector", seed: int = 17, share: float = 1.0
+    vectors: DataFrame, cells: int, vector_col: str = "vector", seed: int = 17, share: float = 1.0,
+    unit: bool = False,
 ) -> np.ndarray:
     """Cell centres by k-means on all rows, or on a share of them if one is given. The
-    share decides how good the cells are, not which rows are found."""
+    share decides how good the cells are, not which rows are found. ``unit`` takes the
+    directions alone, as cosine does; give it in assignment and search too."""
     usable = vectors.filter(is_valid(vector_col)).select(vector_col)
+    if unit:
+        usable = usable.select(l2_normalize(vector_col).alias(vector_col))
     total = usable.count()
     if total == 0:
         raise ValueError("no vectors to train on")
@@ -36,8 +40,14 @@ def _distances(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return squares + np.einsum("ij,ij->i", centres, centres)[None, :] - 2 * points @ centres.T
 
 
+def _unit(points: np.ndarray) -> np.ndarray:
+    """Rows of length one; zero rows stay."""
+    size = np.sqrt(np.einsum("ij,ij->i", points, points))[:, None]
+    return np.divide(points, size, out=np.array(points, np.float64), where=size > 0)
+
+
 def assign_cells(
-    vectors: DataFrame, centres: np.ndarray, vector_col: str = "vector"
+    vectors: DataFrame, centres: np.ndarray, vector_col: str = "vector", unit: bool = False
 ) -> DataFrame:
     """Rows with ``cell``, the nearest centre; other dimensions are left out."""
     shared = vectors.sparkSession.sparkContext.broadcast(centres)
@@ -47,19 +57,21 @@ def assign_cells(
     def nearest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             flat = batch.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-            away = np.round(_distances(flat.reshape(-1, dim), shared.value), 9)
+            points = flat.reshape(-1, dim)
+            away = np.round(_distances(_unit(points) if unit else points, shared.value), 9)
             yield pa.array(np.argmin(away, axis=1), pa.int32())
 
     sized = vectors.filter(F.size(vector_col) == dim)
     return sized.withColumn("cell", nearest(F.col(vector_col)))
 
 
-def nearest_cells(centres: np.ndarray, nprobe: int):
-    """Mask of the ``nprobe`` nearest cells of each query."""
+def nearest_cells(centres: np.ndarray, nprobe: int, unit: bool = False):
+    """Mask of the ``nprobe`` nearest cells of each query, or of its direction. A short
+    query is about equally far from all centres of unit vectors; its direction is not."""
     n = min(nprobe, len(centres))
 
     def mask(queries: np.ndarray) -> np.ndarray:
-        away = np.round(_distances(queries, centres), 9)
+        away = np.round(_distances(_unit(queries) if unit else queries, centres), 9)
         chosen = np.argsort(away, axis=1, kind="stable")[:, :n]
         out = np.zeros(away.shape, dtype=bool)
         np.put_along_axis(out, chosen, True, axis=1)
@@ -77,6 +89,7 @@ def knn_cells(
     similarity: str | None = "COSINE",
     id_col: str = "chunk_id",
     vector_col: str = "vector",
+    unit: bool = False,
 ) -> DataFrame:
     """Like ``knn`` over the probed cells only.
 
@@ -87,7 +100,7 @@ def knn_cells(
         raise ValueError("nprobe must be at least 1")
     return knn(
         vectors, queries, k, similarity, id_col, vector_col, "cell",
-        nearest_cells(centres, nprobe),
+        nearest_cells(centres, nprobe, unit),
     )
 
 
