@@ -6,7 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docvec.llm import chat, decontaminate, mixing, neighbors, passages, quality, secrets, sharding, simhash, tokens
+from docvec.llm import (
+    chat,
+    decontaminate,
+    mixing,
+    neighbors,
+    passages,
+    pii,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    tokens,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +35,7 @@ def registry() -> dict[str, Query]:
         secrets.op8_secrets,
         simhash.op9_simhash,
         tokens.op10_tokens,
+        pii.op13_pii,
     )
     return {f.__name__: f for f in found}
 
@@ -32,4 +45,5 @@ def oracles() -> dict[str, str]:
         "op3_decontamination": decontaminate.OP3_SQL,
         "op4_mixing": mixing.OP4_SQL,
         "op8_secrets": secrets.OP8_SQL,
+        "op13_pii": pii.OP13_SQL,
     }

@@ -189,7 +189,7 @@ def op8_secrets(spark, sf):
     )
 
 
-def _spans_sql(pattern: str, text: str = "text") -> str:
+def spans_sql(pattern: str, text: str = "text") -> str:
     quoted = pattern.replace("'", "''")
     return (
         f"list_transform(regexp_extract_all({text}, '{quoted}'), lambda m, i: {{"
@@ -217,9 +217,9 @@ def _kind_sql(candidate: str) -> str:
 OP8_SQL = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 m AS (
-  SELECT doc_id, 0 AS rank, 'assign' AS kind, unnest({_spans_sql(ASSIGN)}) AS s FROM d
-  UNION ALL SELECT doc_id, 1, 'access', unnest({_spans_sql(ACCESS)}) FROM d
-  UNION ALL SELECT doc_id, 2, 'hex', unnest({_spans_sql(HEX)}) FROM d
+  SELECT doc_id, 0 AS rank, 'assign' AS kind, unnest({spans_sql(ASSIGN)}) AS s FROM d
+  UNION ALL SELECT doc_id, 1, 'access', unnest({spans_sql(ACCESS)}) FROM d
+  UNION ALL SELECT doc_id, 2, 'hex', unnest({spans_sql(HEX)}) FROM d
 ),
 base AS (
   SELECT doc_id, rank, kind, s.start::BIGINT AS a, (s.start + len(s.match))::BIGINT AS b FROM m
@@ -227,7 +227,7 @@ base AS (
 ),
 c AS (
   SELECT doc_id, s.match AS match, s.start::BIGINT AS a, (s.start + len(s.match))::BIGINT AS b
-  FROM (SELECT doc_id, unnest({_spans_sql(CANDIDATE)}) AS s FROM d)
+  FROM (SELECT doc_id, unnest({spans_sql(CANDIDATE)}) AS s FROM d)
 ),
 added AS (
   SELECT doc_id, {len(KINDS)} AS rank, {_kind_sql("match")} AS kind, a, b FROM c
