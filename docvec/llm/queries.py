@@ -12,8 +12,10 @@ from docvec.llm import (
     mixing,
     neighbors,
     passages,
+    phrases,
     pii,
     quality,
+    ranking,
     secrets,
     sharding,
     simhash,
@@ -35,6 +37,8 @@ def registry() -> dict[str, Query]:
         secrets.op8_secrets,
         simhash.op9_simhash,
         tokens.op10_tokens,
+        phrases.op11_phrases,
+        ranking.op12_search,
         pii.op13_pii,
     )
     return {f.__name__: f for f in found}
@@ -45,5 +49,7 @@ def oracles() -> dict[str, str]:
         "op3_decontamination": decontaminate.OP3_SQL,
         "op4_mixing": mixing.OP4_SQL,
         "op8_secrets": secrets.OP8_SQL,
+        "op11_phrases": phrases.OP11_SQL,
+        "op12_search": ranking.OP12_SQL,
         "op13_pii": pii.OP13_SQL,
     }
