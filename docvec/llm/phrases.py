@@ -45,9 +45,10 @@ WORD = r"[^\x20\x09]+"
 LEAST, LONGEST, COVERED, TOP = 10, 3, 50, 2000
 UNKNOWN = "und"
 
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 500_000
 STRETCH_BYTES = 4_000_000  # of a text, split at a time
 BUCKET_BYTES = 16_000_000  # of text, for each bucket
+PARTS = 32
 BITS = 1 << 23  # of the bitmap of frequent phrases
 _BREAK = b"."
 _MARKS = bytes(
@@ -105,10 +106,9 @@ def quicksort(words: list[np.ndarray], weight: np.ndarray, least: int) -> Iterat
                 todo.append((some, goes_to))
 
 
-SUFFIXES = "bucket int, lang string, weight long, words binary, entries binary"
-_SUFFIXES = pa.schema(
-    [("bucket", pa.int32()), ("lang", pa.string()), ("weight", pa.int64()), ("words", pa.binary()), ("entries", pa.binary())]
-)
+# The words of a row's suffixes one after the other, and how often each suffix comes.
+SUFFIXES = "bucket int, lang string, words binary, times binary"
+_SUFFIXES = pa.schema([("bucket", pa.int32()), ("lang", pa.string()), ("words", pa.binary()), ("times", pa.binary())])
 
 
 class Block:
@@ -157,14 +157,12 @@ class Block:
         order = np.argsort(bucket, kind="stable")
         edges = np.flatnonzero(np.diff(bucket[order].astype(np.int64), prepend=-1))
         for picked in np.split(order, edges[1:]) if len(order) else []:
-            used, inverse = np.unique(np.concatenate([c[picked] for c in columns]), return_inverse=True)
-            entries = np.r_[inverse, times[picked]].astype(np.int32)
+            in_turn = np.stack([c[picked] for c in columns], axis=1).ravel().tolist()
             yield (
                 int(bucket[picked[0]]),
                 self.lang,
-                int(times[picked].sum()),
-                b"\n".join(words[u] for u in used),
-                entries.tobytes(),
+                b" ".join([words[i] for i in in_turn]),
+                times[picked].astype(np.int32).tobytes(),
             )
 
 
@@ -209,17 +207,17 @@ class Bucket:
     def __init__(self, lang: str):
         self.lang = lang
         self.numbers: dict[bytes, int] = defaultdict(count().__next__)
-        self.columns: list[list[np.ndarray]] = []
+        self.words: list[np.ndarray] = []
         self.weights: list[np.ndarray] = []
 
-    def add(self, depth: int, words: bytes, entries: bytes) -> None:
-        number = np.fromiter(map(self.numbers.__getitem__, words.split(b"\n")), np.int64)
-        held = np.frombuffer(entries, np.int32).reshape(depth + 1, -1)
-        self.columns.append([number[c].astype(np.int32) for c in held[:depth]])
-        self.weights.append(held[depth])
+    def add(self, words: bytes, times: bytes) -> None:
+        self.words.append(np.fromiter(map(self.numbers.__getitem__, words.split(b" ")), np.int32))
+        self.weights.append(np.frombuffer(times, np.int32))
 
     def counted(self, depth: int, least: int) -> pa.RecordBatch:
-        columns = [np.concatenate([c[d] for c in self.columns]) for d in range(depth)]
+        """The frequent phrases, and a row without a phrase that has the weight of all."""
+        every = np.concatenate(self.words).reshape(-1, depth)
+        columns = [np.ascontiguousarray(every[:, d]) for d in range(depth)]
         weight = np.concatenate(self.weights).astype(np.int64)
         groups = list(quicksort(columns, weight, least))
         words = list(self.numbers)
@@ -228,10 +226,10 @@ class Bucket:
             [np.array([word_key(self.lang, of[d]) for of in chosen], np.uint64) for d in range(depth)]
         )
         arrays = [
-            pa.array([self.lang] * len(groups), pa.string()),
-            pa.array([b" ".join(of).decode() for of in chosen], pa.string()),
-            pa.array([n for _, n in groups], pa.int64()),
-            pa.array(keys.view(np.int64), pa.int64()),
+            pa.array([self.lang] * (len(groups) + 1), pa.string()),
+            pa.array([None, *(b" ".join(of).decode() for of in chosen)], pa.string()),
+            pa.array([int(weight.sum()), *(n for _, n in groups)], pa.int64()),
+            pa.array(np.r_[0, keys.view(np.int64)], pa.int64()),
         ]
         return pa.RecordBatch.from_arrays(arrays, schema=_COUNTED)
 
@@ -242,13 +240,13 @@ def _routed(depth: int, least: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, held = None, None
         for batch in batches:
-            for place, lang, words, entries in zip(*(batch.column(c) for c in ("bucket", "lang", "words", "entries"))):
+            for place, lang, words, times in zip(*batch.columns):
                 place, lang = place.as_py(), lang.as_py()
                 if (place, lang) != now:
                     if held is not None:
                         yield held.counted(depth, least)
                     now, held = (place, lang), Bucket(lang)
-                held.add(depth, words.as_py(), entries.as_py())
+                held.add(words.as_py(), times.as_py())
         if held is not None:
             yield held.counted(depth, least)
 
@@ -278,18 +276,19 @@ def phrases(
     (lang, phrase, n), stored."""
     spark = docs.sparkSession
     text = F.col(text_col).cast("binary")
-    rows = docs.filter(F.length(text) > 0).select(F.coalesce(F.col(lang_col), F.lit(UNKNOWN)), text)
+    rows = docs.select(F.coalesce(F.col(lang_col), F.lit(UNKNOWN)), text).filter(F.length(text) > 0)
     total = rows.agg(F.sum(F.length(text))).first()[0] or 0
     buckets = max(-(-total // bucket_bytes), 1)
     tasks = min(buckets, int(spark.conf.get("spark.sql.shuffle.partitions")) * 4)
     totals, levels, bitmap = None, [], None
     for depth in range(1, longest + 1):
-        sent = stored(rows.mapInArrow(_local(depth, bitmap, buckets, block_words), SUFFIXES), "suffixes")
-        if totals is None:
-            totals = stored(sent.groupBy("lang").agg(F.sum("weight").alias("n")), "totals")
+        sent = rows.mapInArrow(_local(depth, bitmap, buckets, block_words), SUFFIXES)
         dealt = sent.repartitionById(tasks, F.pmod("bucket", F.lit(tasks)))
         in_order = dealt.sortWithinPartitions("bucket", "lang")
-        counted = stored(in_order.mapInArrow(_routed(depth, least), COUNTED), "phrases")
+        found = stored(in_order.mapInArrow(_routed(depth, least), COUNTED), "phrases")
+        counted = found.filter("phrase is not null")
+        if totals is None:
+            totals = found.filter("phrase is null").groupBy("lang").agg(F.sum("n").alias("n"))
         levels.append(counted.select("lang", "phrase", "n"))
         bitmap = _bitmap(counted) if depth < longest else None
     return totals, levels
@@ -344,9 +343,13 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     )
     lowest = F.min(F.struct("score", "k", "l", "r")).alias("cut")
     best = scored.groupBy("lang", "phrase", "a").agg(lowest).select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
+    # In two steps, so that one task ranks no more than what is best in the parts.
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    within = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+    some = best.withColumn("part", part).withColumn("rank", within).filter(F.col("rank") <= top).drop("part", "rank")
     place = F.row_number().over(Window.partitionBy("lang").orderBy(*order))
-    ranked = best.withColumn("rank", place).filter(F.col("rank") <= top)
+    ranked = some.withColumn("rank", place).filter(F.col("rank") <= top)
     return ranked.join(F.broadcast(totals), "lang").select(  # a row for each language
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )
