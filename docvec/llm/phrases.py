@@ -45,7 +45,8 @@ WORD = r"[^\x20\x09]+"
 LEAST, LONGEST, COVERED, TOP = 10, 3, 50, 2000
 UNKNOWN = "und"
 
-BLOCK_WORDS = 500_000
+BLOCK_WORDS = 700_000
+SMALL = 256  # suffixes of a part that is not sorted further
 STRETCH_BYTES = 4_000_000  # of a text, split at a time
 BUCKET_BYTES = 16_000_000  # of text, for each bucket
 PARTS = 32
@@ -66,8 +67,8 @@ def tokens_of(text: bytes) -> Iterator[list[bytes]]:
             last = max(text.rfind(b" ", first, first + STRETCH_BYTES), text.rfind(b"\n", first, first + STRETCH_BYTES)) + 1
             if last <= first:  # one word longer than a stretch
                 last = text.find(b" ", first + STRETCH_BYTES) + 1 or len(text)
-        spaced = text[first:last].translate(_MARKS).replace(_BREAK, b" . ").replace(b"\t", b" ")
-        yield [w for w in spaced.split(b" ") if w]
+        # No other blank than these two is left by then, so a plain split will do.
+        yield text[first:last].translate(_MARKS).replace(_BREAK, b" . ").split()
         first = last
 
 
@@ -89,7 +90,7 @@ def quicksort(words: list[np.ndarray], weight: np.ndarray, least: int) -> Iterat
     """(a pointer, weight) of each group of equal suffixes that weighs ``least`` or more.
 
     ``words[d][p]`` is word ``d`` of suffix ``p``. Parts are kept on a stack, not sorted
-    into place: only their sizes are asked for.
+    into place: only their sizes are asked for. Small parts are counted as they are.
     """
     depth = len(words)
     todo = [(np.arange(len(weight)), 0)] if len(weight) else []
@@ -98,6 +99,15 @@ def quicksort(words: list[np.ndarray], weight: np.ndarray, least: int) -> Iterat
         if at == depth:
             yield int(part[0]), int(weight[part].sum())
             continue
+        if len(part) <= SMALL:
+            sums: dict[tuple, int] = {}
+            rest = list(zip(*(words[d][part].tolist() for d in range(at, depth))))
+            for suffix, n in zip(rest, weight[part].tolist()):
+                sums[suffix] = sums.get(suffix, 0) + n
+            for suffix, n in sums.items():
+                if n >= least:
+                    yield int(part[rest.index(suffix)]), n
+            continue
         of = words[at][part]
         pivot = of[len(of) >> 1]
         for side, goes_to in ((of < pivot, at), (of == pivot, at + 1), (of > pivot, at)):
@@ -148,7 +158,12 @@ class Block:
         packed = at[first]
         for d in range(1, depth):
             packed = packed * base + at[first + d]
-        packed, times = np.unique(packed, return_counts=True)
+        if depth == 1:
+            times = np.bincount(packed, minlength=base)
+            packed = np.flatnonzero(times)
+            times = times[packed]
+        else:
+            packed, times = np.unique(packed, return_counts=True)
         columns = []
         for _ in range(depth):
             packed, last = np.divmod(packed, base)

@@ -94,7 +94,9 @@ def test_stretches_give_all_words(monkeypatch):
         assert got == [w for w in text.translate(P._MARKS).replace(b".", b" . ").replace(b"\t", b" ").split(b" ") if w]
 
 
-def test_quicksort_counts_equal_suffixes():
+@pytest.mark.parametrize("small", [0, 7, 256, 10_000])
+def test_quicksort_counts_equal_suffixes(monkeypatch, small):
+    monkeypatch.setattr(P, "SMALL", small)
     rng = np.random.default_rng(4)
     columns = [rng.integers(0, 12, 4000).astype(np.int32) for _ in range(3)]
     weight = rng.integers(1, 5, 4000)
