@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import itertools
 import math
+import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -46,8 +49,10 @@ TEXTS = [
 
 @pytest.fixture(scope="module")
 def scanned(docs_of):
-    docs = docs_of(TEXTS, base=["clash"] * len(TEXTS)).drop("base")
-    return {r.doc_id: r for r in S.scan(docs).collect()}
+    extra = {n: ["clash"] * len(TEXTS) for n in ("base", "added", "match", "start", "candidates")}
+    rows = S.scan(docs_of(TEXTS, **extra)).collect()
+    assert all(r.base == r.added == r.start == "clash" for r in rows)
+    return {r.doc_id: r.secrets for r in rows}
 
 
 def test_base_spans_against_plain_search(scanned):
@@ -61,15 +66,73 @@ def test_entropy_finds_keys_and_leaves_words(scanned):
     assert not any(added[i] for i in (0, 1, 2, 8, 13, 14, 15, 17, 18, 19))
 
 
-def test_entropy_by_counts_is_the_entropy_of_each_window(spark):
-    of = S.CLASSES[1]
-    texts = ["Zx9Qp2LmT7vB4nKc8RwY1sDf6GhJ", "a" * 20, "ab" * 30, "abcdefghijklmnopqrst", "Aa0-_=" * 9 + "zzzz"]
+@pytest.mark.parametrize("of", S.CLASSES, ids=lambda of: of.kind)
+def test_entropy_by_counts_is_the_entropy_of_each_window(spark, of):
+    rng = random.Random(of.kind)
+    plain = ["".join(rng.choice(of.alphabet) for _ in range(n)) for n in (20, 21, 40, 333)]
+    texts = plain + [of.alphabet[3] * 20, of.alphabet[1:3] * 30, of.alphabet[:20], plain[0] + of.alphabet[0] * 40]
     rows = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [r[0] for r in rows.select(S.highest_entropy(F.col("t"), of)).collect()]
-    assert got == pytest.approx([plain_entropy(t, of.window) for t in texts], abs=2e-9)
+    assert got == pytest.approx([plain_entropy(t, S.WINDOW) for t in texts], abs=2e-9)
+    short = spark.createDataFrame([("abc",), ("",)], "t string").select(S.highest_entropy(F.col("t"), of))
+    assert all(r[0] < 0 for r in short.collect())
+
+
+KEYS = {
+    "hex20": ("0123456789abcdef", 20), "hex24": ("0123456789abcdef", 24), "HEX32": ("0123456789ABCDEF", 32),
+    "lower20": (S.LOWER + S.DIGITS, 20), "lower32": (S.LOWER + S.DIGITS, 32), "base32": (S.UPPER + "234567", 20),
+    "base32long": (S.UPPER + "234567", 32), "upper24": (S.UPPER + S.DIGITS, 24),
+    "alnum20": (S.UPPER + S.LOWER + S.DIGITS, 20), "alnum32": (S.UPPER + S.LOWER + S.DIGITS, 32),
+    "base64": (S.UPPER + S.LOWER + S.DIGITS + "+/", 40),
+}
+NAMES = """internationalization2024 getHttpResponseCodeForUser_v2 my_very_long_variable_name_12 2024-01-01-2024-01-01-2024
+    some/path/to/a/deep/directory/file2 ABSOLUTELY_LONG_CONSTANT_NAME_3 550e8400-e29b-41d4-a716-446655440000
+    Rindfleischetikettierungsueberwachung1 --------------------------- 0000000000000000000000000001
+    src/main/python/module_name/test_file_01 kebab-case-identifier-number-7 EXAMPLE-a1b2c3d4e5f6g7h8i9j0 key=placeholder-a1b2c3d4e5
+    aaaaaaaaaaaaaaaaaaaa1a1a1a1a TheQuickBrownFoxJumpsOverTheLazyDog99 user_id=1234567890 order/2024/12/31/0001234567""".split()
+
+
+def test_random_keys_are_found_and_names_are_left(spark, docs_of):
+    rng = random.Random(2024)
+    made = {k: ["".join(rng.choice(of) for _ in range(n)) for _ in range(400)] for k, (of, n) in KEYS.items()}
+    texts = [t for of in made.values() for t in of] + NAMES
+    rows = {r.doc_id: r.secrets for r in S.scan(docs_of([f"key {t} end" for t in texts])).collect()}
+    hit = [any((s.start, s.end) == (4, 4 + len(t)) for s in [*rows[i].base, *rows[i].added]) for i, t in enumerate(texts)]
+    shares = {k: sum(hit[400 * n : 400 * n + 400]) / 400 for n, k in enumerate(made)}
+    assert min(shares.values()) >= 0.95, shares
+    assert not any(hit[400 * len(made) :]), [t for t, h in zip(NAMES, hit[400 * len(made) :]) if h]
+
+
+def test_running_sums_and_maxima(spark):
+    rng = random.Random(6)
+    lists = [[rng.randint(0, 99) for _ in range(n)] for n in (0, 1, 255, 256, 257, 1000)]
+    rows = spark.createDataFrame([(i, v) for i, v in enumerate(lists)], "i int, v array<long>")
+    for fn, plain in ((lambda a, b: a + b, lambda a, b: a + b), (F.greatest, max)):
+        got = {r.i: r.x for r in rows.select("i", S.running(F.col("v"), fn).alias("x")).collect()}
+        assert got == {i: list(itertools.accumulate(v, plain)) for i, v in enumerate(lists)}
+
+
+LONG = {
+    "base64": "".join(random.Random(1).choice(S.UPPER + S.LOWER + S.DIGITS + "+/") for _ in range(1_000_000)),
+    "matches": "password: abcdefgh12345 " * 100_000,
+    "candidates": " ".join(f"a1B2c3D4e5F6g7H8i9J{i}" for i in range(30_000)),
+    "slashes": "a1/" * 300_000,
+}
+
+
+@pytest.mark.parametrize("name", LONG)
+def test_long_texts_and_many_matches_take_seconds(spark, docs_of, name):
+    text = LONG[name]
+    docs = docs_of([text])
+    started = time.perf_counter()
+    row = S.scan(docs).select(F.size("secrets.base").alias("b"), F.size("secrets.added").alias("a")).first()
+    assert time.perf_counter() - started < 30
+    assert (row.b, row.a) == {"base64": (0, 1), "matches": (100_000, 0), "candidates": (0, 30_000), "slashes": (0, 0)}[name]
 
 
 def test_edge_rows(edge_docs):
     rows = S.scan(edge_docs)
-    assert rows.columns == [*edge_docs.columns, "base", "added"] and rows.count() == edge_docs.count()
+    assert rows.columns == [*edge_docs.columns, "secrets"] and rows.count() == edge_docs.count()
     assert S.scan(edge_docs.filter("false")).count() == 0
+    with pytest.raises(ValueError, match="secrets"):
+        S.scan(rows)
