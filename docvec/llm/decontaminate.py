@@ -7,8 +7,11 @@ tokens only (a test tries all patterns). Hashes of both masks at every place of
 document are joined with those of the benchmark. Around each hit the aligned tokens are
 compared: an item is in a document when thirteen aligned tokens agree in eleven.
 
-Shorter items are compared whole: ten to twelve tokens may differ in one, seven to nine
-in none. Items under seven tokens say nothing about a document and are not searched.
+Shorter items are compared whole: ten to twelve tokens may differ in one, fewer in none.
+Items of four to six tokens are found by one hash of the whole sequence. One to three tokens
+occur in any text by chance: such an item is in a document that consists of it alone. Items
+without a token are in none. Scripts that are written without blanks (Chinese, Japanese,
+Thai, Lao, Khmer, Burmese) are split into characters.
 
 The benchmark side of the join is broadcast in blocks of a bounded number of seeds, one
 pass each; document tokens never leave their task, and only verified hits are shuffled.
@@ -30,14 +33,20 @@ from docvec.llm.common import stored, table
 MASKS = ((0, 1, 2, 4, 5, 6), (0, 1, 3, 6, 8, 10))
 WINDOW = 13
 NEEDED = 11
-SHORTEST = 7
+SHORTEST = 7  # tokens that the masks are for
+ALONE = 3  # items of up to so many tokens have to be the whole document
 BLOCK_SEEDS = 100_000  # seeds in one broadcast, about 30 MB
 
 TOKEN_GAP = r"[^\p{L}\p{N}]+"
+SCRIPTS = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
 
 
 def token_hashes(text: Column) -> Column:
-    tokens = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), TOKEN_GAP), lambda t: t != "")
+    lowered = F.lower(F.coalesce(text, F.lit("")))
+    unspaced = f"([{''.join(rf'\p{{Is{s}}}' for s in SCRIPTS)}])"
+    # Texts without such a script, told by a plain search, are split as they are.
+    apart = F.when(F.rlike(lowered, F.lit(unspaced)), F.regexp_replace(lowered, unspaced, " $1 ")).otherwise(lowered)
+    tokens = F.filter(F.split(apart, TOKEN_GAP), lambda t: t != "")
     return F.transform(tokens, lambda t: F.xxhash64(t))
 
 
@@ -48,26 +57,46 @@ def needed(size: Column) -> Column:
     )
 
 
-def _places(rows: DataFrame, tokens: str) -> DataFrame:
-    """Rows by place and mask, with the hash of the tokens that the mask sees there."""
-    n = len(MASKS)
+def _places(rows: DataFrame, tokens: str, short: list[int]) -> DataFrame:
+    """Rows by place and mask, with the hash of the tokens that the mask sees there.
+
+    After the spaced masks come the whole sequences of ``short`` lengths, those up to
+    ``ALONE`` only where the row has no other tokens.
+    """
+    masks = [*MASKS, *(tuple(range(size)) for size in short)]
+    n = len(masks)
     # No filter on the tokens here: it would move below and split the text twice.
     at = F.sequence(F.lit(0), F.greatest(n * F.size(tokens) - 1, F.lit(0)))
     out = rows.select("*", F.explode(at).alias("__p"))
     mask, place = F.col("__p") % n, F.expr(f"cast(__p div {n} as int)")
     key, fits = F.lit(None).cast("long"), F.lit(False)
-    for m, mask_places in enumerate(MASKS):
-        seen = F.xxhash64(F.lit(m), *[F.get(tokens, place + o) for o in mask_places])
+    for m, mask_places in enumerate(masks):
+        size = len(mask_places)
+        label = m if m < len(MASKS) else 100 + size
+        seen = F.xxhash64(F.lit(label), *[F.get(tokens, place + o) for o in mask_places])
         key = F.when(mask == m, seen).otherwise(key)
-        fits = fits | ((mask == m) & (place + mask_places[-1] < F.size(tokens)))
+        whole = F.size(tokens) == size if m >= len(MASKS) and size <= ALONE else F.lit(True)
+        fits = fits | ((mask == m) & whole & (place + mask_places[-1] < F.size(tokens)))
     return out.filter(fits).select(*rows.columns, place.alias("place"), mask.alias("mask"), key.alias("key"))
 
 
-def seeds(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
+def short_lengths(benchmark: DataFrame, text_col: str = "text") -> list[int]:
+    """Which lengths below the masks' the items have: at most ``SHORTEST - 1`` numbers."""
+    size = F.size(token_hashes(F.col(text_col))).alias("n")
+    return sorted(r.n for r in benchmark.select(size).distinct().filter(f"n between 1 and {SHORTEST - 1}").collect())
+
+
+def seeds(
+    benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", short: list[int] | None = None
+) -> DataFrame:
     """(key, block, item, around, left, window): the item's tokens around each seed, of
     which ``left`` come before it, and the size of the window to agree in."""
+    short = short_lengths(benchmark, text_col) if short is None else short
     rows = benchmark.select(F.col(id_col).alias("item"), token_hashes(F.col(text_col)).alias("t"))
-    found = _places(rows.filter(F.size("t") >= SHORTEST), "t")
+    own = (F.size("t") >= SHORTEST) & (F.col("mask") < len(MASKS))
+    for i, size in enumerate(short):
+        own = own | ((F.size("t") == size) & (F.col("mask") == len(MASKS) + i))
+    found = _places(rows, "t", short).filter(own)
     reach = WINDOW - 1
     left = F.least("place", F.lit(reach))
     size = F.least(F.size("t") - F.col("place") + left, left + WINDOW)
@@ -118,10 +147,11 @@ def contaminated(
     """(k0, k1, ..., item): which benchmark items are in which rows, told by ``keys``."""
     names = [f"k{i}" for i in range(len(keys))]
     rows = docs.select(*[k.alias(n) for k, n in zip(keys, names)], token_hashes(F.col("text")).alias("t"))
-    found = stored(seeds(benchmark, id_col, text_col), "seeds")
+    short = short_lengths(benchmark, text_col)
+    found = stored(seeds(benchmark, id_col, text_col, short), "seeds")
     blocks = max(1, -(-found.count() // BLOCK_SEEDS))
     block = F.pmod(F.xxhash64("key", "item", "left", "around"), F.lit(blocks))
-    places = _places(rows, "t")
+    places = _places(rows, "t", short)
     hits = [
         _verified(
             places.join(F.broadcast(found.filter(block == i)), "key").select(*_around_hit(names)), names
@@ -148,9 +178,11 @@ def op3_decontamination(spark, sf):
 
 
 def _tokens_sql(name: str, key: str) -> str:
+    unspaced = "".join(rf"\p{{{s}}}" for s in SCRIPTS)
+    apart = f"regexp_replace(lower(text), '([{unspaced}])', ' \\1 ', 'g')"
     return f"""
       SELECT {key}, unnest(t) AS w, generate_subscripts(t, 1) - 1 AS p, len(t) AS n FROM (
-        SELECT {key}, list_filter(regexp_split_to_array(lower(text), '{TOKEN_GAP}'), lambda x: x <> '') AS t
+        SELECT {key}, list_filter(regexp_split_to_array({apart}, '{TOKEN_GAP}'), lambda x: x <> '') AS t
         FROM {name} WHERE text IS NOT NULL)"""
 
 
@@ -159,7 +191,7 @@ WITH d AS ({_tokens_sql("documents", "doc_id")}),
 b AS ({_tokens_sql("benchmark", "item_id")}),
 e AS (
   SELECT doc_id, item_id, d.p AS dp, b.p AS bp, d.p - b.p AS diagonal, d.n AS dn, b.n AS bn
-  FROM d JOIN b ON d.w = b.w WHERE b.n >= {SHORTEST}
+  FROM d JOIN b ON d.w = b.w WHERE b.n > {ALONE} OR b.n = d.n
 ),
 c AS (
   SELECT *,

@@ -11,13 +11,14 @@ from tests.llm.conftest import words
 
 
 def tokens(text):
-    return [t for t in re.split(r"[^\w]+|_", (text or "").lower()) if t]
+    apart = re.sub("([\u0e01-\u0e30\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fff])", r" \1 ", (text or "").lower())
+    return [t for t in re.split(r"[^\w]+|_", apart) if t]
 
 
 def plain(doc, item):
     """Whether some aligned window agrees enough, by trying all alignments."""
     a, b = tokens(doc), tokens(item)
-    if len(b) < D.SHORTEST:
+    if not b or (len(b) <= D.ALONE and len(a) != len(b)):
         return False
     size = min(D.WINDOW, len(b))
     need = 11 if size == 13 else size - 1 if size >= 10 else size
@@ -48,13 +49,16 @@ def found(docs, items):
 
 
 def test_against_all_alignments(spark, docs_of):
-    items = [words(n, 1000 + n) for n in (3, 7, 8, 9, 10, 11, 12, 13, 14, 20, 40)] + ["", None, words(20, 77)]
+    items = [words(n, 1000 + n) for n in (3, 4, 6, 7, 8, 9, 10, 11, 12, 13, 14, 20, 40)] + ["", None, words(20, 77)]
+    items += ["yes", "日本語の文章です", "北京是中国的首都也是全国的政治文化中心城市", "ภาษาไทย", "一二三", "。、！"]
     texts = [words(60, 1)]
     for n, item in enumerate(items):
         for share in (0, 0.05, 0.1, 0.15, 0.25):
             start, end = words(n % 5, n), words((n + 3) % 7, n + 50)
             texts.append(f"{start} {changed(item or '', n, share)} {end}")
             texts.append(f"{start} {changed(item or '', n + 99, share).upper().replace(' ', ', ')}. {end}")
+    texts += ["Yes!", "yes no", "前文北京是中国的首都也是全国的政治文化中心城市后文", "北京是美国的首都也是全国的经济文化中心城市"]
+    texts += ["x日本語の文章です。y", "日本語の文", "一二三", "一二三四", "（一）二、三"]
     texts += [None, "", items[9][: len(items[9]) // 2]]
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     got = found(docs_of(texts), bench)
