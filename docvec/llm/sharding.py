@@ -12,11 +12,11 @@ Then sizes are made even. Shards that linked nodes alone would overfill give som
 Free nodes larger than a thousandth of a shard are placed largest first on the driver;
 there can be no more than a thousand per shard. The rest is cut along 65,536 hash
 buckets into stretches that fill the shards to one level. So shards differ by less than
-the larger of one such node and a bucket, unless a single node is larger than a shard.
+the larger of one such node and a bucket, unless a single row is larger than a shard.
 
 Hubs and copies with a third of all rows meet one-row sides in the joins, which adaptive
-execution splits. Wholly repeated rows (same id and text) are one node and stay
-together. Null and empty texts are texts like any other, with size one. An empty table
+execution splits. A row that is repeated is one node with the size of all its copies, or
+several when these are more than a thousandth of a shard. Null and empty texts are texts like any other, with size one. An empty table
 gives no rows.
 """
 
@@ -189,24 +189,73 @@ def text_size(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
 
 
+def _row_hash(columns: list[str]) -> Column:
+    """A hash of a whole row; nulls count, wherever they are."""
+    nulls = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in columns])
+    return F.xxhash64(*[F.col(c) for c in columns], nulls, F.lit("node"))
+
+
 def shard_documents(
-    docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text",
+    more_links: DataFrame | None = None,
 ) -> DataFrame:
-    """``docs`` with a column ``shard``; equal texts stay together as far as sizes allow."""
+    """``docs`` with a column ``shard``; equal texts stay together as far as sizes allow.
+
+    ``more_links`` (id, hub) links documents through other things that they share.
+    A row that comes so often that its copies are more than 1/``HEAVY`` of a shard is cut
+    into pieces of copies, each a node of its own; there are few such rows.
+    """
     text = F.col(text_col)
-    node = F.xxhash64(F.col(id_col), text, F.lit("node"))
-    rows = docs.select(node.alias("node"), F.xxhash64(text, F.length(text)).alias("hub"), text_size(text).alias("size"))
-    whole = stored(rows.groupBy("node", "hub").agg(F.sum("size").alias("size")), "nodes")
-    shared = whole.groupBy("hub").agg(F.count("*").alias("n")).filter("n > 1").select("hub")
-    links = stored(whole.join(shared, "hub", "left_semi").select("node", "hub"), "links")
-    nodes = whole.groupBy("node").agg(F.sum("size").alias("size"))
-    found = stored(balance(nodes, links, shards).select(F.col("node").alias("__node"), "shard"), "shards")
-    found = found.withColumnRenamed("shard", "__shard")
-    return (
-        docs.withColumn("__node", node)
-        .join(found, "__node")
-        .select(*[F.col(c) for c in docs.columns if c != "shard"], F.col("__shard").alias("shard"))
+    names = [c for c in docs.columns if c != "shard"]
+    node = _row_hash(names)
+    rows = docs.select(
+        node.alias("node"), F.xxhash64(text, F.length(text)).alias("hub"), text_size(text).alias("size"),
+        F.col(id_col).alias("id"),
+    )
+    whole = rows.groupBy("node", "hub", "id").agg(F.sum("size").alias("size"), F.count("*").alias("copies"))
+    whole = stored(whole, "nodes")
+    total = whole.agg(F.sum("size")).first()[0] or 0
+    most = total / shards / HEAVY
+    often = whole.filter((F.col("copies") > 1) & (F.col("size") > most))
+    parts = F.least(F.col("copies"), F.ceil(F.col("size") / most)).cast("int")
+    pieces = often.select("node", "hub", "id", "size", "copies", parts.alias("parts")).select(
+        "*", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("nth")
+    )
+    # The first pieces have one copy more where the copies do not come out even.
+    own = F.expr("copies div parts") + F.when(F.col("nth") < F.col("copies") % F.col("parts"), 1).otherwise(0)
+    pieces = stored(
+        pieces.select(
+            F.col("node").alias("row"), F.xxhash64("node", "nth").alias("node"), "hub", "id",
+            (own * F.expr("size div copies")).alias("size"), own.cast("int").alias("own"),
+        ),
+        "pieces",
+    )
+    single = whole.filter((F.col("copies") == 1) | (F.col("size") <= most))
+    units = stored(
+        single.select("node", "hub", "id", "size").unionByName(pieces.select("node", "hub", "id", "size")), "units"
+    )
+    links = units.select("node", "hub")
+    if more_links is not None:
+        named = more_links.select(F.col("id").alias("__id"), F.xxhash64(F.col("hub"), F.lit("more")).alias("hub"))
+        links = links.unionByName(units.select("node", "id").join(named, F.col("id") == F.col("__id")).select("node", "hub"))
+    links = links.distinct()
+    shared = links.groupBy("hub").agg(F.count("*").alias("n")).filter("n > 1").select("hub")
+    links = stored(links.join(shared, "hub", "left_semi").select("node", "hub"), "links")
+    nodes = units.groupBy("node").agg(F.sum("size").alias("size"))
+    found = stored(balance(nodes, links, shards).select("node", "shard"), "shards")
+    placed = found.select(F.col("node").alias("__node"), F.col("shard").alias("__shard"))
+    marked = docs.select(*names, node.alias("__node"))
+    out = [F.col(c) for c in names] + [F.col("__shard").alias("shard")]
+    if not pieces.limit(1).count():
+        return marked.join(placed, "__node").select(*out)
+    # Equal rows stand for each other: one of them comes for every copy of every piece.
+    several = F.broadcast(pieces.select(F.col("row").alias("__node")).distinct())  # HEAVY * shards rows at most
+    dealt = pieces.join(found, "node").select(
+        F.col("row").alias("__node"), F.col("shard").alias("__shard"), F.explode(F.sequence(F.lit(1), "own")).alias("__n")
     )
+    one = marked.join(several, "__node", "left_semi").dropDuplicates([*names, "__node"])
+    copies = one.join(dealt, "__node").select(*out)
+    return marked.join(several, "__node", "left_anti").join(placed, "__node").select(*out).unionByName(copies)
 
 
 def with_slots(rows: DataFrame, order: list[Column]) -> DataFrame:

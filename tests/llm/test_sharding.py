@@ -1,6 +1,10 @@
 from __future__ import annotations
 
+import random
+
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from docvec.llm import sharding
 from tests.llm.conftest import words
@@ -59,9 +63,90 @@ def test_propagation_through_several_hubs(spark):
     assert cut <= 8  # by hash alone about 22
 
 
-def test_slots_are_gapless(docs_of):
-    from pyspark.sql import functions as F
+def plain_cut(links, shard):
+    """Neighbours through a hub that are in other shards, over all nodes."""
+    members = {}
+    for n, h in links:
+        members.setdefault(h, []).append(n)
+    return sum(shard[a] != shard[b] for of in members.values() for a in of for b in of)
+
+
+def plain_propagation(sizes, links, shards, start, rounds=10):
+    """Label propagation one node after the other under a strict capacity, as a yardstick."""
+    shard, members = dict(start), {}
+    for n, h in links:
+        members.setdefault(h, []).append(n)
+    hubs = {}
+    for n, h in links:
+        hubs.setdefault(n, []).append(h)
+    capacity = sum(sizes.values()) / shards * 1.02
+    load = [sum(sizes[n] for n in shard if shard[n] == s) for s in range(shards)]
+    for _ in range(rounds):
+        for n in sorted(sizes):
+            votes = [0] * shards
+            for h in hubs.get(n, []):
+                for m in members[h]:
+                    votes[shard[m]] += m != n
+            for s in sorted(range(shards), key=lambda s: -votes[s]):
+                if votes[s] > votes[shard[n]] and load[s] + sizes[n] <= capacity:
+                    load[shard[n]] -= sizes[n]
+                    load[s] += sizes[n]
+                    shard[n] = s
+                    break
+    return shard
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_propagation_cuts_about_as_few_links_as_one_node_at_a_time(spark, seed):
+    rng = random.Random(seed)
+    sizes = {i: rng.randint(1, 9) for i in range(240)}
+    links = sorted({(i, i // 12) for i in sizes} | {(rng.randrange(240), 100 + rng.randrange(30)) for _ in range(70)})
+    nodes = spark.createDataFrame(list(sizes.items()), "node long, size long")
+    hubs = spark.createDataFrame(links, "node long, hub long")
+    shard = {r.node: r.shard for r in sharding.balance(nodes, hubs, 4).collect()}
+    start = {r.node: r.s for r in nodes.select("node", sharding._start(F.col("node"), 4).alias("s")).collect()}
+    load = np.zeros(4)
+    for n, s in shard.items():
+        load[s] += sizes[n]
+    assert load.max() <= 1.06 * load.mean()
+    by_hash, best = plain_cut(links, start), plain_cut(links, plain_propagation(sizes, links, 4, start))
+    assert plain_cut(links, shard) <= max(1.5 * best, 0.6 * by_hash) < by_hash
+
+
+def test_repeated_rows_are_spread(docs_of):
+    """300 copies of one row among 600 others: sizes within a hundredth."""
+    texts = [words(60, i) for i in range(600)]
+    docs = docs_of([*texts, *[words(60, 9999)] * 300], ids=[*range(600), *[7777] * 300])
+    rows = sharding.shard_documents(docs).collect()
+    assert len(rows) == 900 and sum(r.doc_id == 7777 for r in rows) == 300
+    size = np.zeros(8)
+    for r in rows:
+        size[r.shard] += len(r.text.encode()) + 1
+    assert size.max() <= 1.01 * size.mean() and size.min() >= 0.99 * size.mean()
+    again = sharding.shard_documents(docs.repartition(5)).collect()
+    key = lambda of: sorted((r.doc_id, r.shard) for r in of)
+    assert key(rows) == key(again)
 
+
+def test_repeated_rows_with_nulls_and_other_columns(docs_of):
+    docs = docs_of([None] * 200 + ["x y"] * 200 + [words(9, i) for i in range(50)], ids=[None] * 400 + list(range(50)),
+                   sources=(["a", None] * 200) + ["b"] * 50, node=["n"] * 450, hub=[None, "h"] * 225)
+    rows = sharding.shard_documents(docs)
+    same = lambda df: sorted(map(str, df.select(docs.columns).collect()))
+    assert same(rows) == same(docs)
+
+
+def test_more_links_bring_documents_together(docs_of, spark):
+    docs = docs_of([words(30, i) for i in range(320)])
+    links = spark.createDataFrame([(i, i // 10) for i in range(320)], "id long, hub long")
+    shard = {r.doc_id: r.shard for r in sharding.shard_documents(docs, more_links=links).collect()}
+    split = sum(len({shard[i] for i in range(10 * h, 10 * h + 10)}) > 1 for h in range(32))
+    assert split <= 10
+    counts = np.bincount(list(shard.values()), minlength=8)
+    assert counts.max() <= 1.1 * counts.mean()
+
+
+def test_slots_are_gapless(docs_of):
     docs = docs_of([words(3, i) for i in range(300)]).withColumn("shard", (F.col("doc_id") % 3).cast("int"))
     docs = docs.union(docs.filter("doc_id < 5"))
     rows = sharding.with_slots(docs, [F.col("doc_id")]).collect()
