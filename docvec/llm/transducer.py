@@ -13,9 +13,14 @@ met, and a table of them runs thousands of places at once in numpy.
 No piece holds a blank mark after another character, and none holds a character outside
 the vocabulary. After such a symbol the state is always the same: it synchronizes. A
 chunk's map from entry state to exit state is therefore a constant behind its first
-synchronizing symbol. Chunks run independently from there; a prefix scan over the
-constants gives every chunk its entry state, with which its head is run. Chunks without
-any such symbol keep a map that is not constant, and are composed one after the other.
+synchronizing symbol, and chunks run independently from there.
+
+A chunk without any such symbol has a map that is not constant. It is worked out for the
+entry states that may occur: that which some characters before the chunk lead to, and
+every state in which the chunk before may end by its own map, until no new one comes. All
+chunks run side by side in this; encodings that begin apart soon meet, so there are few
+states a chunk (tested). The maps are composed by doubling, which marks the state each
+chunk is really entered in. Heads of the chunks with a constant are run last.
 """
 
 from __future__ import annotations
@@ -25,6 +30,7 @@ import numpy as np
 BLANK = "▁"  # U+2581, the mark of a blank in pieces
 END, SYNC = 0, 8  # symbols below SYNC synchronize; END also stands for unknown characters
 CHUNK = 512
+WARM = 48  # characters before a chunk that tell a likely entry state
 BIAS = 1 << 7
 MOST_STATES = 400_000  # kept; beyond, they are compiled anew, with the same results
 
@@ -94,6 +100,7 @@ class Transducer:
         self.symbol_of = np.full(0x110000, -1, np.int32)  # by code point
         self.chars: list[str] = [""] * SYNC
         self.shifts = [0]  # of the blank symbols from 1 on
+        self.most_entries = 0.0  # entry states a chunk, where a map is not constant
         self._clear()
 
     # -- compilation -------------------------------------------------------
@@ -208,16 +215,20 @@ class Transducer:
 
     # -- running -----------------------------------------------------------
 
-    def _run(self, symbols: np.ndarray, weights: np.ndarray, at: np.ndarray, size: np.ndarray, state: np.ndarray):
+    def _run(
+        self, symbols: np.ndarray, weights: np.ndarray, at: np.ndarray, size: np.ndarray, state: np.ndarray,
+        to: np.ndarray | None = None,
+    ):
         """Runs places of the stream side by side: ``size`` symbols each from ``at`` on,
-        beginning in ``state``. Writes weights and returns the states at the end."""
+        beginning in ``state``. Writes weights, from place ``to`` on if it is not ``at``, and
+        returns the states at the end."""
         order = np.argsort(-size, kind="stable")
         at, size, now = at[order], size[order], state[order].astype(np.int64)
+        to = at if to is None else to[order]
         ends = np.searchsorted(-size, -np.arange(1, (size[0] if len(size) else 0) + 1), side="right")
         for t, n in enumerate(ends):
-            place = at[:n] + t
-            cell = self._arcs(now[:n], symbols[place])
-            weights[place] = (cell & 0xFF) - BIAS
+            cell = self._arcs(now[:n], symbols[at[:n] + t])
+            weights[to[:n] + t] = (cell & 0xFF) - BIAS
             now[:n] = cell >> 8
         out = np.empty_like(now)
         out[order] = now
@@ -241,22 +252,54 @@ class Transducer:
         exits[constant] = self._run(
             symbols, weights, (first + head)[constant], (last - first - head)[constant], begin[constant]
         )
-        # Scan: a chunk is entered in the exit state of the one before; where that one's
-        # map is not constant, it has to be entered first.
-        entry = np.full(len(first), self.root, np.int64)
-        open_ = np.ones(len(first), bool)
-        known = np.r_[True, constant[:-1]]
-        while open_.any():
-            ready = np.flatnonzero(open_ & known)
-            entry[ready] = np.where(ready > 0, exits[ready - 1], self.root)
-            out = self._run(symbols, weights, first[ready], head[ready], entry[ready])
-            moving = ~constant[ready]
-            exits[ready[moving]] = out[moving]
-            open_[ready] = False
-            after = ready[moving] + 1
-            known[after[after < len(known)]] = True
+        self._moving(symbols, weights, first, last, constant, exits)
+        entry = np.r_[self.root, exits[:-1]][: len(first)]
+        self._run(symbols, weights, first[constant], head[constant], entry[constant])
         return weights
 
+    def _moving(self, symbols, weights, first, last, constant, exits) -> None:
+        """Weights and exits of the chunks without a synchronizing symbol, by their maps."""
+        moving = np.flatnonzero(~constant)
+        if not len(moving):
+            return
+        told = (moving == 0) | constant[moving - 1]  # entered in a state that is known
+        entry = np.where(moving == 0, self.root, exits[moving - 1])
+        warm = np.maximum(first[moving] - WARM, 0)
+        spare = np.zeros(len(symbols), np.int16)
+        guess = self._run(symbols, spare, warm[~told], (first[moving] - warm)[~told], np.full((~told).sum(), self.root))
+        entry[~told] = guess
+        # Nodes are the pairs of a chunk and an entry state that its map is known for.
+        chunk, state = moving, entry
+        nodes: dict[tuple[int, int], int] = {}
+        chunks, ends, held = [], [], []
+        while len(chunk):
+            for pair in zip(chunk.tolist(), state.tolist()):
+                nodes[pair] = len(nodes)
+            part = np.zeros((len(chunk), CHUNK), np.int16)
+            out = self._run(
+                symbols, part.reshape(-1), first[chunk], (last - first)[chunk], state, np.arange(len(chunk)) * CHUNK
+            )
+            chunks.append(chunk)
+            ends.append(out)
+            held.append(part)
+            after = np.append(~constant, False)[chunk + 1]
+            following = dict.fromkeys(zip((chunk[after] + 1).tolist(), out[after].tolist()))
+            new = [pair for pair in following if pair not in nodes]
+            chunk, state = (np.array([p[i] for p in new], np.int64) for i in (0, 1))
+        self.most_entries = max(self.most_entries, len(nodes) / len(moving))
+        chunk, out, part = np.concatenate(chunks), np.concatenate(ends), np.concatenate(held)
+        # Composition: a node leads to the one its exit enters; jumps double each round.
+        jump = np.array([nodes.get(pair, len(nodes)) for pair in zip((chunk + 1).tolist(), out.tolist())] + [len(nodes)])
+        real = np.zeros(len(nodes) + 1, bool)
+        real[[nodes[pair] for pair in zip(moving[told].tolist(), entry[told].tolist())]] = True
+        for _ in range(max(len(moving) - 1, 1).bit_length()):
+            real[jump[real]] = True
+            jump = jump[jump]
+        for node in np.flatnonzero(real[:-1]):
+            a, b = first[chunk[node]], last[chunk[node]]
+            weights[a:b] = part[node, : b - a]
+            exits[chunk[node]] = out[node]
+
     def count(self, texts: list[str]) -> np.ndarray:
         """Tokens of each text: a mark before it, blanks as marks, unknown characters as
         one token a byte."""

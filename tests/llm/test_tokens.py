@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -53,6 +54,41 @@ def test_counts_do_not_depend_on_neighbours_chunks_or_memory(machine, model, mon
     assert len(machine.count([])) == 0
 
 
+def unspaced(machine, n, seed):
+    """Chinese-like text: words of one to three characters from a small stock, as in a language.
+    All are in the vocabulary, as others would synchronize."""
+    rng = random.Random(seed)
+    chars = [c for c in map(chr, range(0x4E00, 0x9FA5)) if c in machine.scores]
+    stock = ["".join(rng.choice(chars) for _ in range(rng.randint(1, 3))) for _ in range(400)]
+    return "".join(rng.choice(stock) for _ in range(n // 2 + 1))[:n]
+
+
+@pytest.mark.parametrize("kind", ["chinese", "letters", "one letter", "two letters", "mixed"])
+def test_long_texts_without_a_blank(machine, model, kind):
+    rng = random.Random(kind)
+    text = {
+        "chinese": unspaced(machine, 40_000, 5),
+        "letters": "".join(rng.choice("abcdefgh0123") for _ in range(20_000)),
+        "one letter": "a" * 30_001,
+        "two letters": "ab" * 15_000,
+        "mixed": " word " + unspaced(machine, 9_000, 6) + " the end " + "xyz" * 3000 + "\n" + unspaced(machine, 3000, 7),
+    }[kind]
+    machine.most_entries = 0.0
+    assert machine.count([text, "x", text[:1000]]).tolist() == [len(model.encode(t)) for t in (text, "x", text[:1000])]
+    assert 1 <= machine.most_entries < 16
+
+
+def test_a_megabyte_without_a_blank_is_about_as_fast_as_english(machine):
+    chinese, english = unspaced(machine, 1_000_000, 9), words(100_000, 2)
+    took = []
+    for text in (english, chinese):
+        machine.count([text])
+        started = time.perf_counter()
+        machine.count([text])
+        took.append((time.perf_counter() - started) / len(text))
+    assert took[1] < 5 * took[0], took
+
+
 def test_arcs_find_what_was_put():
     rng = np.random.default_rng(0)
     arcs, keys = transducer.Arcs(4), np.unique(rng.integers(0, 1 << 40, 5000))
