@@ -39,11 +39,11 @@ def words(text: Column) -> Column:
     return F.filter(pieces, lambda w: w != "")
 
 
-def hash_unit(*parts: Column) -> Column:
+def hash_unit(*parts: Column | str) -> Column:
     """A number in (0, 1) that depends on the parts alone: 52 bits of an MD5 digest.
 
     MD5 and not xxhash64, so that plain SQL engines give the same number.
     """
-    text = F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("")) for p in parts])
+    text = F.concat_ws("|", *[F.coalesce((F.col(p) if isinstance(p, str) else p).cast("string"), F.lit("")) for p in parts])
     bits = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double")
     return (bits + F.lit(0.5)) / F.lit(float(2**52))

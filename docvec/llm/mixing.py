@@ -1,14 +1,20 @@
 """Mixing sources to target weights by Pareto order sampling.
 
 Each source gets a target in words; a document of it is wanted ``target / size of the
-source`` times. The whole part of that is taken for certain, the rest is the chance of
-one more copy. Documents are ranked by their random odds over the odds of inclusion
-(Pareto order sampling), and the ranking is cut where the words still missing are
+source`` times. The whole part of that is taken for certain. The words still missing come
+from a sample of one more copy, in which documents have unequal chances: a document's
+chance falls with the logarithm of its size, is one at most, and all chances of a source
+together give the missing words. Documents are ranked by their random odds over the odds
+of inclusion (Pareto order sampling), and the ranking is cut where the missing words are
 reached, so the sample has a fixed size in words and not just an expected one.
 
-A cut stops before the document that would pass it, which leaves a gap. Further rounds
-fill the gap in the same order from documents of at most a quarter of it, so the words
-taken end near the target even where some documents are very long.
+A cut stops before the document that would pass it, which leaves a gap. One more document
+is taken, a little above or below, that brings the words nearest to the target. Where that
+is not near, further rounds first fill the gap in the same order from documents that fit in
+it, and the round is chosen after which one more document comes nearest. Where a source
+has many documents, hardly anything but the ranking decides who is in. Where nearly all
+of a small source is wanted, what is left may be one long document that is neither taken
+nor left without a gap of up to half its size.
 
 No source is sorted as a whole. Words are summed per source and bucket of the rank
 value, buckets are cumulated, and exact ranks are needed in the bucket that holds the
@@ -35,7 +41,7 @@ WEIGHTS = (5, 2, 1)  # by source in code point order, repeating
 SHARE = 1.5  # of all words
 MOST = 2.0  # times the words of a source
 ROUNDS = 4
-PART = 4  # a later round takes documents of at most this part of the gap
+NEAR = 0.002  # of a target: so near that no further round is tried
 BUCKETS = 4096
 SEED = "mix"
 
@@ -73,35 +79,65 @@ def targets(
     )
 
 
-def _plan(sizes: DataFrame, **kw) -> DataFrame:
-    """Targets with whole copies, the chance of one more, and the words that it is to give."""
+def size_class(size: Column) -> Column:
+    """Binary digits of a size: documents of one class are at most twice as long as another."""
+    return F.length(F.bin(size))
+
+
+def _plan(rows: DataFrame, **kw) -> DataFrame:
+    """Targets with whole copies, the words still missing, and the level of the chances.
+
+    A document of class c has the chance ``least(1, level / c)``. The level at which all
+    chances give the missing words is found like that of the targets: classes fill up in
+    order, smallest first, and it is the largest of the levels at which those before are
+    full. There are 63 classes at most.
+    """
+    sums = rows.groupBy("source", size_class(F.col("size")).alias("c")).agg(F.sum("size").alias("words"))
+    sums = stored(sums, "mix_sizes")
+    sizes = sums.groupBy("source").agg(F.sum("words").alias("source_size"))
     wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    return (
-        targets(sizes, **kw)
-        .withColumn("copies", F.floor(wanted))
-        .withColumn("chance", wanted - F.col("copies"))
-        .withColumn("gap_1", F.col("target") - F.col("copies") * F.col("source_size"))
+    plan = targets(sizes, **kw).withColumn("copies", F.floor(wanted)).withColumn(
+        "gap_1", F.col("target") - F.col("copies") * F.col("source_size")
     )
+    plan = stored(plan, "mix_targets")
+    smaller = W.partitionBy("source").orderBy("c").rowsBetween(W.unboundedPreceding, -1)
+    whole = W.partitionBy("source")
+    spread = F.col("words") / F.col("c")
+    rest = F.sum(spread).over(whole) - F.coalesce(F.sum(spread).over(smaller), F.lit(0.0))
+    full = F.coalesce(F.sum("words").over(smaller), F.lit(0))
+    classes = sums.filter("words > 0").select("source", full.alias("full"), rest.alias("rest"))
+    gaps = plan.select(F.col("source").alias("s"), F.col("gap_1").alias("gap"))
+    levels = (
+        classes.join(gaps, F.col("source").eqNullSafe(F.col("s")))
+        .groupBy("s")
+        .agg(F.max((F.col("gap") - F.col("full")) / F.col("rest")).alias("level"))
+    )
+    joined = plan.join(levels, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+    return joined.withColumn("level", F.coalesce("level", F.lit(0.0)))
 
 
 def _rank() -> Column:
     """Random odds over inclusion odds; null where nothing more is wanted."""
-    u, p = F.col("u"), F.col("chance")
-    return F.when(p > 0, (u / (1 - u)) * ((1 - p) / p))
+    u, p = F.col("u"), F.least(F.lit(1.0), F.col("level") / size_class(F.col("size")))
+    return F.when((p > 0) & (F.col("size") > 0), (u / (1 - u)) * ((1 - p) / p))
 
 
 def _open(k: int) -> Column:
-    """Whether a row can be taken in round k: it was not before, and it is small enough."""
-    free = F.col("rank").isNotNull() & (F.col("size") > 0)
+    """Whether a row can be taken in round k: it was not before, and it fits in the gap."""
+    free = F.col("rank").isNotNull()
     for i in range(1, k):
         free = free & ~_taken(i)
-    return free if k == 1 else free & (F.col("size") <= F.col(f"gap_{k}") / PART)
+    return free if k == 1 else free & (F.col("size") <= F.col(f"gap_{k}"))
 
 
 def _taken(k: int) -> Column:
-    small = F.lit(True) if k == 1 else F.col("size") <= F.col(f"gap_{k}") / PART
-    cut = F.coalesce(F.col("rank") <= F.col(f"cut_{k}"), F.lit(False))
-    return cut & small & (F.col("size") > 0)
+    small = F.lit(True) if k == 1 else F.col("size") <= F.col(f"gap_{k}")
+    return F.coalesce(F.col("rank") <= F.col(f"cut_{k}"), F.lit(False)) & small
+
+
+def _bucket() -> Column:
+    """Buckets in the order of ranks, which go from zero up without end."""
+    return F.floor(F.col("rank") / (1 + F.col("rank")) * BUCKETS)
 
 
 def _cut(rows: DataFrame, plan: DataFrame, k: int) -> DataFrame:
@@ -110,7 +146,7 @@ def _cut(rows: DataFrame, plan: DataFrame, k: int) -> DataFrame:
     found = (
         _with_plan(rows, plan)
         .filter(_open(k))
-        .select("source", "rank", "size", gap.alias("gap"), F.floor(F.col("u") * BUCKETS).alias("bucket"))
+        .select("source", "rank", "size", gap.alias("gap"), _bucket().alias("bucket"))
     )
     sums = found.groupBy("source", "bucket").agg(F.sum("size").alias("words"), F.first("gap").alias("gap"))
     running = W.partitionBy("source").orderBy("bucket")
@@ -149,7 +185,7 @@ def _cut(rows: DataFrame, plan: DataFrame, k: int) -> DataFrame:
         .join(first, F.col("s").eqNullSafe(first.source), "left")
         .drop("source")
     )
-    below = F.col("lowest") * F.lit(1.0 - 1e-12)
+    below = F.when(F.col("lowest") > 0, F.col("lowest") * F.lit(1.0 - 1e-12)).otherwise(-1.0)
     cut = (
         F.when(F.col("at").isNull(), F.lit(float("inf")))
         .when(F.col("last_rank").isNotNull(), F.col("last_rank"))
@@ -176,36 +212,67 @@ def _with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
     return rows.join(plan, on).drop("__of").withColumn("rank", _rank())
 
 
+MIXED = ("mix_size", "mix_source_size", "mix_target", "mix_copies")
+
+
+def _nearest(rows: DataFrame, plan: DataFrame, k: int) -> DataFrame:
+    """The plan with ``last_k``, the rank of the document with which the words end nearest to
+    the target after round k, null where they end nearer without one, and ``off_k``, how
+    far off they are then. Ties go to the smaller rank."""
+    gap = F.col(f"gap_{k + 1}")
+    free = _with_plan(rows, plan).filter(F.col("rank").isNotNull())
+    for i in range(1, k + 1):
+        free = free.filter(~_taken(i))
+    # Repeated rows share a rank, and are one document here.
+    each = free.groupBy("source", "rank").agg(F.sum("size").alias("size"), F.first(gap).alias("gap"))
+    off = F.abs(F.col("size") - F.col("gap"))
+    best = (
+        each.filter(off < F.col("gap"))
+        .groupBy(F.col("source").alias("s"))
+        .agg(F.min_by(F.struct(off.alias("off"), F.col("rank")), F.struct(off.alias("off"), F.col("rank"))).alias("b"))
+    )
+    joined = plan.join(best, F.col("source").eqNullSafe(F.col("s")), "left")
+    joined = joined.withColumns({f"last_{k}": F.col("b.rank"), f"off_{k}": F.coalesce("b.off", gap)}).drop("s", "b")
+    return stored(joined, "mix_plan")
+
+
 def mix_plan(rows: DataFrame, **kw) -> DataFrame:
-    """The plan of every source from rows (source, size, u)."""
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
-    plan = stored(_plan(sizes, **kw), "mix_plan")
+    """The plan of every source from rows (source, size, u). ``stop`` is the round it ends
+    with: the first that is near enough, or else that which is nearest."""
+    plan = stored(_plan(rows, **kw), "mix_plan")
     for k in range(1, ROUNDS + 1):
-        plan = _cut(rows, plan, k)
-    return plan
+        plan = _nearest(rows, _cut(rows, plan, k), k)
+    rounds = range(1, ROUNDS + 1)
+    off = F.least(*[F.col(f"off_{k}") for k in rounds])
+    nearest = F.coalesce(*[F.when(F.col(f"off_{k}") == off, k) for k in rounds])
+    enough = F.coalesce(*[F.when(F.col(f"off_{k}") <= NEAR * F.col("target"), k) for k in rounds])
+    plan = plan.withColumn("stop", F.coalesce(enough, nearest))
+    last = F.coalesce(*[F.when(F.col("stop") == k, F.col(f"last_{k}")) for k in rounds])
+    return stored(plan.withColumn("last", last), "mix_plan")
 
 
 def _extra() -> Column:
-    taken = F.lit(False)
+    taken = F.coalesce(F.col("rank") == F.col("last"), F.lit(False))
     for k in range(1, ROUNDS + 1):
-        taken = taken | _taken(k)
+        taken = taken | ((F.col("stop") >= k) & _taken(k))
     return F.when(taken, 1).otherwise(0)
 
 
 def mix(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **kw
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    seed: str = SEED, **kw,
 ) -> DataFrame:
     """``docs`` with ``mix_size``, ``mix_source_size``, ``mix_target`` and ``mix_copies``
-    (how often the mix takes the row: 0, 1 or 2)."""
+    (how often the mix takes the row: 0, 1 or 2). Columns of these names are replaced."""
     size = word_count(F.col(text_col))
-    u = hash_unit(F.lit(SEED), F.col(id_col), F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+    u = hash_unit(F.lit(seed), F.col(id_col), F.md5(F.coalesce(F.col(text_col), F.lit(""))))
     rows = docs.select(F.col(source_col).alias("source"), size.alias("size"), u.alias("u"))
     plan = mix_plan(stored(rows, "mix_rows"), **kw)
     inner = docs.select(
-        F.struct(*docs.columns).alias("row"), F.col(source_col).alias("source"), size.alias("size"), u.alias("u")
+        F.struct(*docs.columns).alias("__row"), F.col(source_col).alias("source"), size.alias("size"), u.alias("u")
     )
     return _with_plan(inner, plan).select(
-        "row.*",
+        *[F.col("__row")[c].alias(c) for c in docs.columns if c not in MIXED],
         F.col("size").alias("mix_size"),
         F.col("source_size").alias("mix_source_size"),
         F.col("target").alias("mix_target"),
@@ -216,11 +283,12 @@ def mix(
 def take(docs: DataFrame, **kw) -> DataFrame:
     """The mix itself: rows of ``docs``, as often as the mix takes them."""
     n = F.col("mix_copies")
+    inner = docs.select(F.struct(*docs.columns).alias("__docs"), *[F.col(c) for c in ("doc_id", "text", "source")])
     return (
-        mix(docs, **kw)
+        mix(inner, **kw)
         .filter(n > 0)
         .withColumn("__copy", F.explode(F.sequence(F.lit(1), n)))
-        .select(*docs.columns)
+        .select("__docs.*")
     )
 
 
@@ -238,20 +306,29 @@ def op4_mixing(spark, sf):
 
 def _round_sql(k: int) -> str:
     """Round k over the plain ranking: a running sum per source, stopped before the gap."""
-    small = "" if k == 1 else f"AND size <= gap / {PART}.0"
+    small = "" if k == 1 else "AND size <= gap"
     return f"""
-    o{k} AS (
-      SELECT *, chance > 0 AND size > 0 AND extra = 0 {small} AS free FROM r{k - 1}
-    ),
+    o{k} AS (SELECT *, rank IS NOT NULL AND turn IS NULL {small} AS free FROM r{k - 1}),
     c{k} AS (
       SELECT *, CASE WHEN free THEN sum(size) OVER (
         PARTITION BY source, free ORDER BY rank RANGE UNBOUNDED PRECEDING) END AS after FROM o{k}
     ),
     r{k} AS (
-      SELECT doc_id, source, size, source_size, target, copies, chance, rank,
-        CASE WHEN free AND after <= gap THEN 1 ELSE extra END AS extra,
+      SELECT doc_id, source, size, source_size, target, copies, rank,
+        CASE WHEN free AND after <= gap THEN {k} ELSE turn END AS turn,
         gap - coalesce(sum(CASE WHEN free AND after <= gap THEN size END) OVER (PARTITION BY source), 0) AS gap
       FROM c{k}
+    ),
+    e{k} AS (SELECT source, rank, sum(size) AS size, any_value(gap) AS gap FROM r{k}
+      WHERE rank IS NOT NULL AND turn IS NULL GROUP BY source, rank),
+    n{k} AS (
+      SELECT source, rank AS last, abs(size - gap) AS off FROM e{k} WHERE abs(size - gap) < gap
+      QUALIFY row_number() OVER (PARTITION BY source ORDER BY abs(size - gap), rank) = 1
+    ),
+    a{k} AS (
+      SELECT g.source AS source, {k} AS k, n.last AS last, coalesce(n.off, g.gap) AS off, target
+      FROM (SELECT source, any_value(gap) AS gap, any_value(target) AS target FROM r{k} GROUP BY source) g
+      LEFT JOIN n{k} n ON g.source IS NOT DISTINCT FROM n.source
     )"""
 
 
@@ -277,13 +354,37 @@ l AS (
 ),
 t AS (SELECT source, source_size, least(room, (max(level) OVER ()) * w) AS target FROM l),
 p AS (
-  SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0.0 END AS wanted FROM t
+  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0.0 END AS copies,
+    target - copies * source_size AS gap
+  FROM t
+),
+z AS (
+  SELECT source, length(bin(size)) AS c, sum(size)::DOUBLE AS words FROM d GROUP BY ALL HAVING sum(size) > 0
+),
+y AS (
+  SELECT source, c, coalesce(sum(words) OVER b, 0.0) AS filled,
+    sum(words / c) OVER (PARTITION BY source) - coalesce(sum(words / c) OVER b, 0.0) AS rest
+  FROM z WINDOW b AS (PARTITION BY source ORDER BY c ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+v AS (
+  SELECT p.source AS source, max((gap - filled) / rest) AS level
+  FROM y JOIN p ON y.source IS NOT DISTINCT FROM p.source GROUP BY p.source
+),
+q AS (
+  SELECT doc_id, d.source AS source, size, u, source_size, target, copies, gap,
+    least(1.0::DOUBLE, level / length(bin(size))) AS chance
+  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN v ON d.source IS NOT DISTINCT FROM v.source
 ),
 r0 AS (
-  SELECT doc_id, d.source, size, source_size, target, floor(wanted) AS copies, wanted - floor(wanted) AS chance,
-    (u / (1 - u)) * ((1 - (wanted - floor(wanted))) / nullif(wanted - floor(wanted), 0)) AS rank, 0 AS extra,
-    target - floor(wanted) * source_size AS gap
-  FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source
-),{",".join(_round_sql(k) for k in range(1, ROUNDS + 1))}
-SELECT doc_id, size, source_size, target, (size * (copies + extra))::BIGINT AS taken FROM r{ROUNDS}
+  SELECT *, CASE WHEN chance > 0 AND size > 0 THEN (u / (1 - u)) * ((1 - chance) / chance) END AS rank, NULL::INT AS turn FROM q
+),{",".join(_round_sql(k) for k in range(1, ROUNDS + 1))},
+a AS ({" UNION ALL ".join(f"SELECT * FROM a{k}" for k in range(1, ROUNDS + 1))}),
+n AS (
+  SELECT source, k AS stop, last FROM a
+  QUALIFY row_number() OVER (PARTITION BY source ORDER BY
+    CASE WHEN off <= {NEAR} * target THEN 0 ELSE 1 END, CASE WHEN off <= {NEAR} * target THEN k ELSE off END, k) = 1
+)
+SELECT doc_id, size, source_size, target,
+  (size * (copies + CASE WHEN coalesce(rank = last, false) OR coalesce(turn <= stop, false) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM r{ROUNDS} r LEFT JOIN n ON r.source IS NOT DISTINCT FROM n.source
 """
