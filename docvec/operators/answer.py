@@ -5,7 +5,7 @@ Lists are grouped per query only after the search cut them to k rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docvec.operators.embed import EmbedFn, hashed_embed
-from docvec.operators.search import embed_queries, search_vectors, stored
-from docvec.options import TOP_K
+from docvec.operators.search import embed_queries, search_vectors, stored, with_defaults
+from docvec.options import TOP_K, Options
+from docvec.sources.tables import ManagedTable
 
 Generate = Callable[[list[dict[str, str]]], str]
 
@@ -83,19 +84,60 @@ def first_sentence(messages: list[dict[str, str]]) -> str:
     return best.split(".", 1)[0].strip() + "."
 
 
+Index = DataFrame | ManagedTable
+
+
+def route_answers(
+    queries: DataFrame,
+    indexes: Mapping[str, Index],
+    embedders: Mapping[str, EmbedFn],
+    generators: Mapping[str, Generate],
+    options: Options = Options(),
+) -> DataFrame:
+    """``query_id``, ``status`` and ``answer`` of requests that name their models.
+
+    ``queries`` holds ``query_id`` and ``text``, and may hold ``top_k``, ``embed_model`` and
+    ``chat_model``; what is absent or null comes from the options. A request is embedded by
+    its model and searched in that model's index, so vectors of two models never meet. The
+    registries bound the number of passes. A model that is not registered fails the request
+    with a message and no other.
+    """
+    asked = stored(with_defaults(queries, options.embed_model, options.chat_model, options.top_k), "requests")
+    known = F.col("embed_model").isin(list(embedders)) & F.col("chat_model").isin(list(generators))
+    wrong = F.when(
+        ~F.col("embed_model").isin(list(embedders)), F.concat(F.lit("unknown model "), "embed_model")
+    ).otherwise(F.concat(F.lit("unknown model "), "chat_model"))
+    result = asked.filter(~known).select(
+        "query_id", F.lit("failed").alias("status"), F.concat(F.lit(FAILED), wrong).alias("answer")
+    )
+    for model, embed in embedders.items():
+        own = asked.filter(known & (F.col("embed_model") == model))
+        found = _answers(own, indexes[model], generators, options.top_k, embed, options.similarity)
+        result = result.unionByName(found)
+    return result
+
+
 def batch_answer(
     queries: DataFrame,
-    index: DataFrame,
+    index: Index,
     generate: Generate = first_sentence,
     k: int = TOP_K,
     embed: EmbedFn = hashed_embed,
     similarity: str | None = "COSINE",
 ) -> DataFrame:
-    """``query_id``, ``status`` and ``answer`` for every query.
+    """``query_id``, ``status`` and ``answer`` for every query, all by one model.
 
     ``status`` is ``ok``, ``no_vector``, ``no_hits`` or ``failed``; the last three come
     with a message, so a bad query never stops the others.
     """
+    named = queries.withColumn("chat_model", F.lit(""))
+    return _answers(named, index, {"": generate}, k, embed, similarity)
+
+
+def _answers(
+    queries: DataFrame, index: Index, generators: Mapping[str, Generate], k: int, embed: EmbedFn, similarity: str | None
+) -> DataFrame:
+    """Answers of queries with one embedder; each is generated by its ``chat_model``."""
     vectors = stored(embed_queries(queries, embed), "vectors")
     hits = search_vectors(vectors, index, k, similarity)
     packed = hits.groupBy("query_id").agg(_context().alias("context"), _sources().alias("sources"))
@@ -112,9 +154,9 @@ def batch_answer(
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             replies, errors = [], []
-            for messages in frame["messages"]:
+            for model, messages in zip(frame["chat_model"], frame["messages"]):
                 try:
-                    replies.append(generate([dict(m) for m in messages]))
+                    replies.append(generators[model]([dict(m) for m in messages]))
                     errors.append(None)
                 except Exception as exc:
                     replies.append(None)
@@ -126,7 +168,9 @@ def batch_answer(
                 }
             )
 
-    prompts = queries.join(packed, "query_id").select("query_id", "sources", _messages().alias("messages"))
+    prompts = queries.join(packed, "query_id").select(
+        "query_id", "chat_model", "sources", _messages().alias("messages")
+    )
     replies = prompts.mapInPandas(run, schema)
     ready = vectors.select(
         "query_id", (F.size("vector") > 0).alias("_ready")

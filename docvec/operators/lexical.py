@@ -22,6 +22,11 @@ B = 0.75
 _WORD = re.compile(r"[^\W_]+")
 
 
+def term_counts(text: str | None) -> Counter[str]:
+    """How often each word of a text is in it."""
+    return Counter(_WORD.findall((text or "").lower()))
+
+
 def term_index(rows: DataFrame, id_col: str = "chunk_id", text_col: str = "text") -> DataFrame:
     """``term``, ``id_col``, ``tf``, ``length`` (words of the row) and ``nth``.
 
@@ -36,10 +41,9 @@ def term_index(rows: DataFrame, id_col: str = "chunk_id", text_col: str = "text"
         for batch in batches:
             out = []
             for text in batch.to_pylist():
-                words = _WORD.findall((text or "").lower())
-                out.append(
-                    [(t, n, len(words)) for t, n in Counter(words).items()]
-                )
+                words = term_counts(text)
+                length = words.total()
+                out.append([(t, n, length) for t, n in words.items()])
             yield pa.array(out, pa.list_(entry))
 
     terms = rows.select(id_col, counted(F.col(text_col)).alias("_t"))

@@ -1,12 +1,11 @@
 """Top-k vector search over tables of queries.
 
-Every task scores the vectors of its own partitions against the query matrix and
-keeps the k best per query; the short lists are merged by a ranked window. Vectors
-are never shuffled and text is fetched for the hits alone.
-
-The query matrix goes to the executors as a broadcast of bounded size. A larger
-query table is cut by a hash into slices below the bound, with one pass over the
-vectors for each, so no step holds more than a slice.
+Vectors and queries meet in tiles. Vectors are dealt to groups by a hash of their id, so
+groups are of one size whatever the ids; queries are dealt to blocks of bounded size, and
+each block goes to every group. A task holds one block of queries at a time, streams the
+group's vectors past it and keeps the k best of each query; the short lists are merged by
+ranked windows. Nothing passes through the driver but counts. Text is fetched for the hits
+alone, from the buckets that hold their documents.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -24,12 +23,14 @@ from docvec.functions.vectors import is_valid, similarity_name
 from docvec.operators.embed import EmbedFn, embed_texts, hashed_embed
 from docvec.options import TOP_K
 from docvec.sources.storage import work_folder
-
-# Bounds of one query slice: numbers in its matrix, and hits kept per task.
-MAX_SLICE_NUMBERS = 8_000_000
-MAX_SLICE_HITS = 1_000_000
-# Tables of hits up to this many rows are broadcast when fetching their texts.
-MAX_BROADCAST_HITS = 200_000
+from docvec.sources.tables import ManagedTable
+
+# Bounds of a tile: numbers in its query matrix, hits it keeps, and vectors of its group.
+TILE_NUMBERS = 8_000_000
+TILE_HITS = 1_000_000
+TILE_VECTORS = 250_000
+# Tasks that tiles are dealt to; beyond it a task has several, one after the other.
+MOST_TASKS = 20_000
 # Scores are ranked after rounding, so that equal vectors tie whatever the order
 # in which their products were summed.
 SCORE_DIGITS = 9
@@ -56,20 +57,26 @@ def _scores(queries: np.ndarray, vectors: np.ndarray, similarity: str) -> np.nda
 
 
 class _Best:
-    """The k best (score, id) of a set of queries, ties by ascending id."""
+    """The best (score, id) of a set of queries, ties by ascending id: ``k[q]`` of query q.
 
-    def __init__(self, queries: int, k: int):
+    ``row`` says which of the rows offered so far a hit is.
+    """
+
+    def __init__(self, k: np.ndarray):
         self.k = k
-        self.floor = np.full(queries, -np.inf)
+        self.most = int(k.max(initial=1))
+        self.floor = np.full(len(k), -np.inf)
         self.query = np.empty(0, dtype=np.int64)
         self.score = np.empty(0)
+        self.row = np.empty(0, dtype=np.int64)
         self.id: np.ndarray | None = None
 
-    def add(self, first: int, scores: np.ndarray, ids: np.ndarray) -> None:
+    def add(self, first: int, scores: np.ndarray, ids: np.ndarray, row: int = 0) -> None:
+        """Scores of queries ``first``.. against rows ``row``.. with these ids."""
         span = slice(first, first + scores.shape[0])
         floor = self.floor[span]
-        if scores.shape[1] > self.k and np.isneginf(floor).any():
-            kth = np.partition(scores, -self.k, axis=1)[:, -self.k]
+        if scores.shape[1] > self.most and np.isneginf(floor).any():
+            kth = np.partition(scores, -self.most, axis=1)[:, -self.most]
             floor = np.maximum(floor, kth)
         rows, cols = np.nonzero(scores >= (floor - 2 * _SLACK)[:, None])
         if not rows.size:
@@ -78,54 +85,102 @@ class _Best:
         rows, cols = rows[found], cols[found]
         query = np.concatenate([self.query, rows + first])
         score = np.concatenate([self.score, np.round(scores[rows, cols], SCORE_DIGITS)])
+        place = np.concatenate([self.row, cols + row])
         new = ids[cols]
         both = new if self.id is None else np.concatenate([self.id, new])
         order = np.lexsort((both, -score, query))
-        query, score, both = query[order], score[order], both[order]
+        query, score, both, place = query[order], score[order], both[order], place[order]
         starts = np.flatnonzero(np.r_[True, query[1:] != query[:-1]]) if query.size else []
-        place = np.arange(query.size) - np.repeat(starts, np.diff(np.r_[starts, query.size]))
-        keep = place < self.k
-        last = place == self.k - 1
+        nth = np.arange(query.size) - np.repeat(starts, np.diff(np.r_[starts, query.size]))
+        keep = nth < self.k[query]
+        last = nth == self.k[query] - 1
         self.floor[query[last]] = score[last]
-        self.query, self.score, self.id = query[keep], score[keep], both[keep]
+        self.query, self.score, self.id, self.row = query[keep], score[keep], both[keep], place[keep]
+
+
+class _Tile:
+    """One block of queries, and their best of the vectors that have passed."""
+
+    def __init__(self, similarity: str):
+        self.similarity = similarity
+        self.ids: list = []
+        self.k: list[int] = []
+        self.parts: list[np.ndarray] = []
+        self.best: _Best | None = None
+        self.matrix = np.empty((0, 0))
+        self.offered = 0
+        self.carried: dict[int, tuple] = {}
+
+    def ask(self, rows: pa.RecordBatch) -> None:
+        self.ids += rows.column("query_id").to_pylist()
+        self.k += rows.column("_k").to_pylist()
+        flat = rows.column("_query").flatten().to_numpy(zero_copy_only=False)
+        self.parts.append(flat.reshape(rows.num_rows, -1))
+
+    def offer(self, rows: pa.RecordBatch, carry: Sequence[str]) -> None:
+        if not self.ids:
+            return
+        if self.best is None:
+            self.matrix = np.concatenate(self.parts)
+            self.best = _Best(np.array(self.k))
+        flat = rows.column("_vec").flatten().to_numpy(zero_copy_only=False)
+        vectors = flat.astype(np.float64).reshape(rows.num_rows, self.matrix.shape[1])
+        ids = np.array(rows.column("_id").to_pylist())
+        sizes = np.einsum("ij,ij->i", vectors, vectors)
+        usable = np.flatnonzero(np.isfinite(sizes) & (sizes > 0))
+        if not usable.size:
+            return
+        kept = vectors[usable]
+        for first in range(0, len(self.matrix), _BLOCK_QUERIES):
+            scores = _scores(self.matrix[first : first + _BLOCK_QUERIES], kept, self.similarity)
+            self.best.add(first, scores, ids[usable], self.offered)
+        if carry:
+            now = self.best.row[self.best.row >= self.offered]
+            picked = rows.select(list(carry)).take(pa.array(usable[now - self.offered]))
+            self.carried.update(zip(now.tolist(), zip(*(c.to_pylist() for c in picked.columns))))
+            if len(self.carried) > 4 * self.best.row.size + _BLOCK_ROWS:
+                held = set(self.best.row.tolist())
+                self.carried = {r: c for r, c in self.carried.items() if r in held}
+        self.offered += usable.size
+
+    def found(self, names: list[str], types: list[pa.DataType]) -> pa.RecordBatch | None:
+        best = self.best
+        if best is None or best.id is None or not best.id.size:
+            return None
+        carried = zip(*(self.carried[r] for r in best.row.tolist())) if self.carried else []
+        columns = [
+            [self.ids[q] for q in best.query],
+            [self.k[q] for q in best.query],
+            best.id.tolist(),
+            *carried,
+            best.score,
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
 
-def _local_top_k(query_ids, matrix, k, similarity, probes, types):
-    """Function for mapInArrow: partitions of (id, vector[, cell]) to their best."""
+def _tiles(carry: Sequence[str], similarity: str, names: list[str], types: list[pa.DataType]):
+    """Function for mapInArrow: rows by place, queries before vectors, to the best of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q = matrix.value
-        best = _Best(len(q), k)
+        place, tile = None, _Tile(similarity)
         for batch in batches:
-            for start in range(0, batch.num_rows, _BLOCK_ROWS):
-                part = batch.slice(start, _BLOCK_ROWS)
-                flat = part.column("_vec").flatten().to_numpy(zero_copy_only=False)
-                vectors = flat.astype(np.float64).reshape(part.num_rows, q.shape[1])
-                ids = np.array(part.column("_id").to_pylist())
-                sizes = np.einsum("ij,ij->i", vectors, vectors)
-                usable = np.isfinite(sizes) & (sizes > 0)
-                cells = None
-                if probes is not None:
-                    cells = part.column("_cell").to_numpy(zero_copy_only=False)[usable]
-                vectors, ids = vectors[usable], ids[usable]
-                if not len(ids):
+            keys = 2 * batch.column("_place").to_numpy() + batch.column("_turn").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+            for start, end in zip(edges, edges[1:]):
+                if start == end:
+                    continue
+                now, turn = divmod(int(keys[start]), 2)
+                if now != place:
+                    if (out := tile.found(names, types)) is not None:
+                        yield out
+                    place, tile = now, _Tile(similarity)
+                if not turn:
+                    tile.ask(batch.slice(start, end - start))
                     continue
-                for first in range(0, len(q), _BLOCK_QUERIES):
-                    block = q[first : first + _BLOCK_QUERIES]
-                    scores = _scores(block, vectors, similarity)
-                    if cells is not None:
-                        wanted = probes.value[first : first + _BLOCK_QUERIES]
-                        scores = np.where(wanted[:, cells], scores, -np.inf)
-                    best.add(first, scores, ids)
-        if best.id is not None and best.id.size:
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([query_ids.value[i] for i in best.query], types[0]),
-                    pa.array(best.id.tolist(), types[1]),
-                    pa.array(best.score),
-                ],
-                names=["query_id", "id", "score"],
-            )
+                for first in range(start, end, _BLOCK_ROWS):
+                    tile.offer(batch.slice(first, min(_BLOCK_ROWS, end - first)), carry)
+        if (out := tile.found(names, types)) is not None:
+            yield out
 
     return run
 
@@ -155,35 +210,100 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _query_slices(queries: DataFrame, k: int) -> Iterator[list]:
-    """Lists of (query id, vector), each below the bounds of a slice."""
-    usable = stored(queries.filter(is_valid("vector")).select("query_id", "vector"), "queries")
-    if usable.groupBy("query_id").count().filter("count > 1").limit(1).collect():
+def usable_queries(queries: DataFrame, k: int) -> tuple[DataFrame, Row]:
+    """``query_id``, ``vector`` and ``_k`` of queries with a direction, stored, and their
+    number ``n``, dimension ``dim``, hits asked for ``hits`` and most for one ``most``."""
+    check_k(k)
+    own = F.col("top_k").cast("int") if "top_k" in queries.columns else F.lit(None).cast("int")
+    asked = stored(
+        queries.select(
+            "query_id",
+            F.col("vector").cast("array<double>").alias("vector"),
+            F.coalesce(own, F.lit(k)).alias("_k"),
+            is_valid("vector").alias("_usable"),
+        ),
+        "queries",
+    )
+    usable = asked.filter("_usable").drop("_usable")
+    if usable.groupBy("query_id").count().filter("count > 1").limit(1).count():
         raise ValueError("query_id must be unique")
-    facts = usable.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.size("vector")).alias("low"),
-        F.max(F.size("vector")).alias("high"),
+    good = F.col("_usable")
+    size = F.when(good, F.size("vector"))
+    facts = asked.agg(
+        F.count_if(good).alias("n"),
+        F.min(size).alias("dim"),
+        F.max(size).alias("high"),
+        F.sum(F.when(good, F.col("_k"))).alias("hits"),
+        F.max("_k").alias("most"),
+        F.min("_k").alias("least"),
     ).first()
-    if not facts.n:
-        return
-    if facts.low != facts.high:
+    if facts.least is not None:
+        check_k(facts.least)
+    if facts.dim != facts.high:
         raise ValueError("query vectors must have one dimension")
-    limit = max(1, min(MAX_SLICE_NUMBERS // facts.high, MAX_SLICE_HITS // k))
-    if facts.n <= limit:
-        yield usable.collect()
-        return
-    # Hash slices are aimed at half the bound; one that still exceeds it is split again.
-    parts = -(-2 * facts.n // limit)
-    todo = [(parts, part) for part in range(parts)]
-    while todo:
-        parts, part = todo.pop()
-        chosen = usable.filter(F.pmod(F.xxhash64("query_id"), F.lit(parts)) == part)
-        rows = chosen.limit(limit + 1).collect()
-        if len(rows) > limit:
-            todo.extend((parts * 2, p) for p in (part, part + parts))
-        elif rows:
-            yield rows
+    return usable, facts
+
+
+def best_in_places(
+    vectors: DataFrame,
+    asked: DataFrame,
+    places: int,
+    facts: Row,
+    similarity: str | None,
+    id_col: str,
+    vector_col: str,
+    carry: Sequence[str] = (),
+) -> DataFrame:
+    """``query_id``, ``id_col``, ``carry``, ``score``, ``rank`` of the best vectors per query.
+
+    Both sides have ``_place``, below ``places``; a query meets the vectors of the places
+    that it has rows for. ``facts.n`` bounds the queries of one place.
+    """
+    blocks = max(-(-facts.n * facts.dim // TILE_NUMBERS), -(-facts.hits // TILE_HITS), 1)
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))) if blocks > 1 else F.lit(0)
+    id_type, vector_type = (vectors.schema[c].dataType for c in (id_col, vector_col))
+    fields = [T.StructField(c, vectors.schema[c].dataType) for c in carry]
+    query_type = asked.schema["query_id"].dataType
+
+    def none(of: T.DataType):
+        return F.lit(None).cast(of)
+
+    left = asked.select(
+        (F.col("_place") * blocks + block).alias("_place"), F.lit(0).alias("_turn"), "query_id", "_k",
+        F.col("vector").alias("_query"), none(id_type).alias("_id"), none(vector_type).alias("_vec"),
+        *[none(f.dataType).alias(f.name) for f in fields],
+    )
+    right = vectors.filter(F.size(vector_col) == facts.dim).select(
+        (F.col("_place") * blocks).alias("_p"), every.alias("_b"), F.col(id_col).alias("_id"),
+        F.col(vector_col).alias("_vec"), *[c for c in carry if c != id_col],
+    )
+    right = right.select(
+        (F.col("_p") + F.col("_b")).alias("_place"), F.lit(1).alias("_turn"), none(query_type).alias("query_id"),
+        none(T.IntegerType()).alias("_k"), none(T.ArrayType(T.DoubleType())).alias("_query"), "_id", "_vec", *carry,
+    )
+    tasks = min(places * blocks, MOST_TASKS)
+    met = left.unionByName(right).withColumn("_place", F.col("_place").cast("int"))
+    dealt = met.repartitionById(tasks, F.pmod("_place", F.lit(tasks))).sortWithinPartitions("_place", "_turn")
+    schema = T.StructType(
+        [
+            T.StructField("query_id", query_type),
+            T.StructField("_k", T.IntegerType()),
+            T.StructField("_id", id_type),
+            *fields,
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
+    types = [to_arrow_type(f.dataType) for f in schema.fields]
+    found = dealt.mapInArrow(_tiles(carry, similarity_name(similarity), schema.names, types), schema)
+    best = ranked(found, facts.most, ["query_id"], "_id").filter(F.col("rank") <= F.col("_k"))
+    return best.select("query_id", F.col("_id").alias(id_col), *carry, "score", "rank")
+
+
+def no_hits(spark: SparkSession, vectors: DataFrame, queries: DataFrame, id_col: str, carry: Sequence[str]) -> DataFrame:
+    columns = [queries.schema["query_id"], vectors.schema[id_col], *(vectors.schema[c] for c in carry)]
+    rest = [T.StructField("score", T.DoubleType()), T.StructField("rank", T.IntegerType())]
+    return spark.createDataFrame([], T.StructType([T.StructField(c.name, c.dataType) for c in columns] + rest))
 
 
 def knn(
@@ -193,51 +313,36 @@ def knn(
     similarity: str | None = "COSINE",
     id_col: str = "chunk_id",
     vector_col: str = "vector",
-    cell_col: str | None = None,
-    probes=None,
+    carry: Sequence[str] = (),
+    passed_over: Observation | None = None,
 ) -> DataFrame:
-    """``query_id``, ``id_col``, ``score``, ``rank``: the k best vectors per query.
+    """``query_id``, ``id_col``, ``carry``, ``score``, ``rank``: the k best vectors per query.
 
-    ``queries`` holds ``query_id`` (unique) and ``vector``. Exact, unless ``probes`` (a
-    function from the query matrix to a queries × cells mask) restricts the cells.
-    Vectors of another dimension, or without a direction, are passed over;
-    :func:`unusable_vectors` counts them.
+    ``queries`` holds ``query_id`` (unique) and ``vector``, and may hold a ``top_k`` of their
+    own. Exact. Vectors of another dimension, or without a direction, are passed over;
+    ``passed_over`` counts both in the same pass.
     """
-    check_k(k)
-    similarity = similarity_name(similarity)
     spark = vectors.sparkSession
-    id_field = vectors.schema[id_col]
-    schema = T.StructType(
-        [
-            T.StructField("query_id", queries.schema["query_id"].dataType),
-            T.StructField("id", id_field.dataType),
-            T.StructField("score", T.DoubleType()),
-        ]
-    )
-    types = to_arrow_type(schema["query_id"].dataType), to_arrow_type(id_field.dataType)
-    result = None
-    for rows in _query_slices(queries, k):
-        q = np.array([r.vector for r in rows], dtype=np.float64)
-        ids = spark.sparkContext.broadcast([r.query_id for r in rows])
-        matrix = spark.sparkContext.broadcast(q)
-        mask = None
-        columns = [F.col(id_col).alias("_id"), F.col(vector_col).alias("_vec")]
-        source = vectors.filter(F.size(vector_col) == q.shape[1])
-        if probes is not None:
-            wanted = probes(q)
-            mask = spark.sparkContext.broadcast(wanted)
-            columns.append(F.col(cell_col).alias("_cell"))
-            # Cells no query asks for are pruned before their vectors are read.
-            used = [int(c) for c in np.flatnonzero(wanted.any(axis=0))]
-            source = source.filter(F.col(cell_col).isin(used))
-        found = source.select(*columns).mapInArrow(
-            _local_top_k(ids, matrix, k, similarity, mask, types), schema
-        )
-        best = ranked(found, k, ["query_id"], "id")
-        result = best if result is None else result.unionByName(best)
-    if result is None:
-        result = spark.createDataFrame([], schema).withColumn("rank", F.lit(0))
-    return result.select("query_id", F.col("id").alias(id_col), "score", "rank")
+    asked, facts = usable_queries(queries, k)
+    if not facts.n:
+        return no_hits(spark, vectors, queries, id_col, carry)
+    groups = max(-(-vectors.count() // TILE_VECTORS), spark.sparkContext.defaultParallelism)
+    if passed_over is not None:
+        vectors = vectors.observe(passed_over, *_problems(vector_col, facts.dim))
+    group = F.pmod(F.xxhash64(id_col), F.lit(groups))
+    return best_in_places(
+        vectors.withColumn("_place", group),
+        asked.withColumn("_place", F.explode(F.sequence(F.lit(0), F.lit(groups - 1)))),
+        groups, facts, similarity, id_col, vector_col, carry,
+    )
+
+
+def _problems(vector_col: str, dim: int) -> list:
+    other = F.coalesce(F.size(vector_col), F.lit(-1)) != dim
+    return [
+        F.count_if(other).alias("dimension"),
+        F.count_if(~other & ~is_valid(vector_col)).alias("no_direction"),
+    ]
 
 
 def unusable_vectors(vectors: DataFrame, dim: int, vector_col: str = "vector") -> DataFrame:
@@ -248,20 +353,20 @@ def unusable_vectors(vectors: DataFrame, dim: int, vector_col: str = "vector") -
     return counted.groupBy("problem").agg(F.count(F.lit(1)).alias("n"))
 
 
-def with_rows(hits: DataFrame, index: DataFrame, n_queries: int | None, k: int) -> DataFrame:
-    """Search results: hits with document, text and offset from the index.
+def with_rows(hits: DataFrame, index: DataFrame | ManagedTable) -> DataFrame:
+    """Search results: stored hits with document, text and offset from the index.
 
-    The hits are broadcast when their number is known to be small; the join is a
-    shuffled one otherwise.
+    Of a stored index, only the shards are read that hold a document of some hit.
     """
-    small = n_queries is not None and n_queries * k <= MAX_BROADCAST_HITS
-    left = F.broadcast(hits) if small else hits
-    rows = index.select(
-        F.col("chunk_id"), F.col("doc_id").alias("docId"), "text", "offset"
-    )
-    return rows.join(left, "chunk_id").select(
-        "query_id", "rank", "docId", F.col("chunk_id").alias("chunkId"), "text", "score", "offset"
-    )
+    columns = ["doc_id", "chunk_id", "text", "offset"]
+    if isinstance(index, ManagedTable):
+        rows = index.read(*columns, within=hits.select("doc_id"))
+    else:
+        rows = index.select(*columns)
+    return rows.join(hits, ["doc_id", "chunk_id"]).select(
+        "query_id", "rank", F.col("doc_id").alias("docId"), F.col("chunk_id").alias("chunkId"),
+        "text", "score", "offset",
+    )
 
 
 def with_defaults(queries: DataFrame, model: str, chat_model: str, k: int = TOP_K) -> DataFrame:
@@ -281,48 +386,31 @@ def embed_queries(queries: DataFrame, embed: EmbedFn = hashed_embed) -> DataFram
 
 
 def search_vectors(
-    queries: DataFrame, index: DataFrame, k: int = TOP_K, similarity: str | None = "COSINE"
+    queries: DataFrame,
+    index: DataFrame | ManagedTable,
+    k: int = TOP_K,
+    similarity: str | None = "COSINE",
+    passed_over: Observation | None = None,
 ) -> DataFrame:
-    """Ranked index rows for a table of ``query_id`` and ``vector``.
-
-    A query may carry its own ``top_k``. Queries are then searched in bands of about the
-    same ``top_k``, so that one that asks for very many does not make all others do so.
-    """
-    check_k(k)
-    facts = [F.count(F.lit(1)).alias("n")]
-    if "top_k" in queries.columns:
-        facts += [F.max("top_k").alias("most"), F.min("top_k").alias("least")]
-    seen = queries.agg(*facts).first().asDict()
-    if seen.get("least") is not None:
-        check_k(seen["least"])
-    most = max(k, seen.get("most") or k)
-    if "top_k" not in queries.columns:
-        return with_rows(knn(index, queries, k, similarity), index, seen["n"], k)
-    asked = queries.withColumn("_k", F.coalesce("top_k", F.lit(k)))
-    asked = asked.withColumn("_band", F.ceil(F.log2("_k")).cast("int"))
-    bands = [r[0] for r in asked.select("_band").distinct().collect()]  # one a power of two
-    hits = None
-    for band in sorted(bands):
-        some = asked.filter(F.col("_band") == band)
-        found = knn(index, some, min(2**band, most), similarity)
-        found = found.join(some.select("query_id", "_k"), "query_id")
-        found = found.filter(F.col("rank") <= F.col("_k")).drop("_k")
-        hits = found if hits is None else hits.unionByName(found)
-    if hits is None:
-        hits = knn(index, queries, k, similarity)
-    return with_rows(hits, index, seen["n"], most)
+    """Ranked index rows for a table of ``query_id`` and ``vector``, and ``top_k`` if a
+    query has its own. The hits are stored before their texts are read."""
+    rows = index.read() if isinstance(index, ManagedTable) else index
+    hits = knn(rows, queries, k, similarity, carry=["doc_id"], passed_over=passed_over)
+    return with_rows(stored(hits, "hits"), index)
 
 
 def batch_search(
     queries: DataFrame,
-    index: DataFrame,
+    index: DataFrame | ManagedTable,
     k: int = TOP_K,
     similarity: str | None = "COSINE",
     embed: EmbedFn = hashed_embed,
+    passed_over: Observation | None = None,
 ) -> DataFrame:
     """Ranked index rows for a table of ``query_id`` and ``text``.
 
     Each text is embedded once. For ``top_k`` see :func:`search_vectors`.
     """
     check_k(k)
-    return search_vectors(stored(embed_queries(queries, embed), "vectors"), index, k, similarity)
+    vectors = stored(embed_queries(queries, embed), "vectors")
+    return search_vectors(vectors, index, k, similarity, passed_over)

@@ -32,6 +32,8 @@ class Options:
     table_buckets: int = 8
     # Leave embeddings as they are and go on to the index.
     skip_embedding: bool = False
+    # Keep a term table beside the index, for full-text search.
+    term_index: bool = False
     # Stop a run when not one of its texts could be embedded.
     stop_when_all_fail: bool = True
     # Drop documents that are no longer in the input.

@@ -4,10 +4,17 @@ Each stage compares keys and hashes with what is stored, works on the difference
 and upserts. A stage that finds no difference writes no table. Comparisons carry
 keys alone; texts and vectors are read only for the rows that go on. Computed rows
 are written once, where they stay, and counted from what was written.
+
+A stage notes with its own table which version of the tables it reads it has worked
+off. The next run asks those tables for what was written and deleted since, and compares
+the ids concerned alone, in the buckets that hold them; with nothing since it reads
+nothing. Where the versions do not tell, or more than ``NARROW`` of a table was written,
+all ids are compared.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -23,8 +30,10 @@ from docvec.operators.normalize import normalize_documents
 from docvec.operators.stats import shard_distribution, shard_operations
 from docvec.options import Options
 from docvec.plans.audit import Audit
+from docvec.sources.documents import Files
 from docvec.sources.storage import work_folder
-from docvec.sources.tables import Store, Write
+from docvec.sources.store import Store
+from docvec.sources.tables import Changes, ManagedTable, Write
 
 # A source gives ``uri`` and ``text`` (and ``language``) rows, each URI once; called
 # with a table of URIs it gives those alone, so that an expensive extraction is not
@@ -34,6 +43,12 @@ Source = Callable[[DataFrame | None], DataFrame]
 STAGES = ("normalize", "chunk", "embed", "index")
 
 
+# Share of a table up to which what changed is looked up on its own. Above it, one
+# comparison of all keys costs less than finding the few.
+NARROW = 0.1
+_PENDING = "chunkId string, docId string"
+
+
 class NoTexts(RuntimeError):
     """Every document of a run failed to be extracted."""
 
@@ -101,17 +116,111 @@ def _gone(keys: DataFrame, counts: dict[str, int], *columns) -> DataFrame | None
     return keys.filter(F.col("action") == "gone").select(*columns)
 
 
+def _notes(table: ManagedTable) -> dict:
+    """What earlier runs noted with a table."""
+    try:
+        found = json.loads(table.note() or "{}")
+    except ValueError:  # a note of another kind
+        return {}
+    return found if isinstance(found, dict) else {}
+
+
+def _changes(table: ManagedTable, since: int, until: int) -> Changes | None:
+    """What was written and deleted between two versions, if that is known and little."""
+    feed = table.changes(since, until)
+    return None if feed is not None and feed.share > NARROW else feed
+
+
+def _touched_chunks(store: Store, feed: Changes, pending: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Documents whose chunks were written or deleted, and the ids of all chunks that
+    they had or have. ``pending`` (chunkId, docId) names more."""
+    docs = feed.touched("docId")
+    if pending is not None:
+        docs = docs.unionByName(pending.select("docId")).distinct()
+    docs = _scratch(store, docs, "touched_docs")
+    ids = None
+    for version in (feed.since, feed.until):
+        had = store.chunks.read("chunkId", "docId", version=version, within=docs)
+        had = had.join(docs, "docId", "left_semi").select("chunkId")
+        ids = had if ids is None else ids.unionByName(had)
+    if pending is not None:
+        ids = ids.unionByName(pending.select("chunkId"))
+    return docs, _scratch(store, ids.distinct(), "touched_chunks")
+
+
 def _nothing(audit: Audit, stage: str) -> int:
     audit.note(stage, f"{stage}: nothing to do")
     return 0
 
 
+def _settle(store: Store, seen: DataFrame, gone: DataFrame | None) -> None:
+    """Keep the listing of files that were extracted; failed ones are tried again."""
+    table = store.sources
+    kept = seen.select("uri", "size", "modified")
+    write = table.put(kept)
+    table.show(write, ["uri"], gone)
+
+
+def _normalize_listed(store: Store, source: Files, options: Options, audit: Audit) -> int:
+    """Stage 1 over files: those whose size and time are as they were are not read.
+
+    Extraction runs once for each file that is; what it gives is stored, compared by hash
+    and normalized from there.
+    """
+    stage, table = "normalize", store.documents
+    listed = source.listing()
+    known = store.sources.read()
+    same = ["uri", "size", "modified"]
+    fresh = _scratch(store, not_in(listed, known, same), "listed")
+    lost = None
+    if options.prune and store.sources.exists():
+        lost = _scratch(store, not_in(known.select("uri"), listed, ["uri"]), "unlisted")
+        lost = lost if lost.limit(1).count() else None
+    if not fresh.limit(1).count() and lost is None:
+        for metric in ("failed", "new", "changed"):
+            audit.count(stage, metric, 0)
+        return _nothing(audit, stage)
+    raw = _scratch(store, source(fresh.select("uri")), "extracted")
+    lang = F.col("language") if "language" in raw.columns else options.language
+    good = raw.filter(F.coalesce(has_visible("text"), F.lit(False)))
+    facts = raw.agg(F.count("*").alias("n"), F.count_if(has_visible("text")).alias("good")).first()
+    audit.count(stage, "failed", facts.n - facts.good)
+    if facts.n and not facts.good and options.stop_when_all_fail and not table.exists():
+        raise NoTexts(f"none of {facts.n} documents could be extracted")
+    if not facts.good and lost is None:
+        audit.count(stage, "new", 0)
+        audit.count(stage, "changed", 0)
+        return _nothing(audit, stage)
+    keys = _extracted_keys(good)
+    have = table.read("docId", "contentHash", within=keys.select("docId"))
+    have = have.join(keys, "docId", "left_semi")
+    found, counts = _plan(store, compare(keys, have, "docId", "contentHash", ["uri"]))
+    audit.count(stage, "new", counts["new"])
+    audit.count(stage, "changed", counts["changed"])
+    gone = None if lost is None else lost.select(doc_id("uri").alias("docId"))
+    if gone is not None:
+        audit.count(stage, "pruned", gone.count())
+    write = None
+    if counts["new"] or counts["changed"]:
+        todo = good.join(_todo(found, "uri"), "uri", "left_semi")
+        rows = normalize_documents(todo, lang).withColumn("version_ts", F.current_timestamp())
+        write = table.put(rows)
+    if write is not None or gone is not None:
+        table.show(write, ["docId"] if counts["changed"] else None, gone)
+    # Only now, so that a run that is lost before reads the files again.
+    _settle(store, fresh.join(good.select("uri"), "uri", "left_semi"), lost)
+    return counts["new"] + counts["changed"]
+
+
 def run_normalize(store: Store, source: Source, options: Options, audit: Audit) -> int:
     """Stage 1; the number of new and changed documents.
 
     Texts are extracted to compare their hashes, and once more for the documents that
-    go on; on a first run once only.
+    go on; on a first run once only. ``Files`` are extracted once, and only those that
+    are new or have changed.
     """
+    if isinstance(source, Files):
+        return _normalize_listed(store, source, options, audit)
     stage, table = "normalize", store.documents
 
     def normalized(uris: DataFrame | None) -> DataFrame:
@@ -168,14 +277,27 @@ def run_chunk(store: Store, options: Options, audit: Audit) -> int:
     keeps no trailing ones, and every chunk carries the current document hash.
     """
     stage, table = "chunk", store.chunks
-    docs, first = store.documents.read(), not table.exists()
+    seen, first = store.documents.version(), not table.exists()
+    docs = store.documents.read(version=seen)
     old = None
     # Chunks of another split rule count as changed, so one rule holds for the table.
     rule = f"max_chars={options.max_chars} overlap={options.overlap} tail={options.tail}"
+    note = json.dumps({"rule": rule, "documents": seen})
     if not first:
-        have = table.read("docId", "docHash")
-        if table.note() != rule:
-            have = have.withColumn("docHash", F.lit("split by another rule"))
+        noted = _notes(table)
+        ruled = noted.get("rule") == rule
+        feed = _changes(store.documents, noted["documents"], seen) if ruled else None
+        if feed is not None and feed.empty:
+            audit.count(stage, "chunks", 0)
+            return _nothing(audit, stage)
+        if feed is None:
+            have = table.read("docId", "docHash")
+            if not ruled:
+                have = have.withColumn("docHash", F.lit("split by another rule"))
+        else:
+            touched = _scratch(store, feed.touched("docId"), "touched_docs")
+            docs = feed.written(*docs.columns)
+            have = table.read("docId", "docHash", within=touched).join(touched, "docId", "left_semi")
         found = compare(
             docs.select("docId", F.col("contentHash").alias("docHash")),
             have,
@@ -184,6 +306,7 @@ def run_chunk(store: Store, options: Options, audit: Audit) -> int:
         )
         keys, counts = _plan(store, found)
         if not any(counts.values()):
+            table.remember(note)
             audit.count(stage, "chunks", 0)
             return _nothing(audit, stage)
         docs = docs.join(_todo(keys, "docId"), "docId", "left_semi")
@@ -195,19 +318,19 @@ def run_chunk(store: Store, options: Options, audit: Audit) -> int:
     stamped = chunked.withColumn("version_ts", F.current_timestamp())
     write = table.put(stamped, placed=first)
     firsts = F.count_if(F.col("offset") == 0).alias("documents")
-    seen = table.written(write, "offset").agg(F.count(F.lit(1)).alias("chunks"), firsts).first()
-    audit.count(stage, "documents", seen.documents)
-    audit.count(stage, "chunks", seen.chunks)
-    changed = seen.chunks
+    counted = table.written(write, "offset").agg(F.count(F.lit(1)).alias("chunks"), firsts).first()
+    audit.count(stage, "documents", counted.documents)
+    audit.count(stage, "chunks", counted.chunks)
+    changed = counted.chunks
     if old is not None:
         # Chunks of a changed document that read as before are written, for their
         # document hash, but do not count as changed.
         pair = ["chunkId", "chunkHash"]
-        before = table.read("docId", *pair).join(old, "docId", "left_semi")
+        before = table.read("docId", *pair, within=old).join(old, "docId", "left_semi")
         changed = not_in(table.written(write, *pair), before, pair).count()
     audit.count(stage, "chunks_changed", changed)
-    table.show(write, delete=old, note=rule)
-    return seen.chunks
+    table.show(write, delete=old, note=note)
+    return counted.chunks
 
 
 def run_embed(
@@ -221,24 +344,44 @@ def run_embed(
     if options.skip_embedding:
         audit.note(stage, "embed: skipped")
         return 0
-    chunks = store.chunks.read("chunkId", "chunkHash", "chunk")
+    columns = ["chunkId", "docId", "chunkHash", "chunk"]
+    seen = store.chunks.version()
+    chunks = store.chunks.read(*columns, version=seen)
     model, version = options.embed_model, options.embed_ver
+    noted, mine = _notes(table), f"{model}/{version}"
     gone, replaces = None, False
     if table.exists():
-        have = table.read("chunkId", "chunkHash", "embedder", "embedder_ver")
-        mine = (F.col("embedder") == model) & (F.col("embedder_ver") == version)
+        last = noted.get(mine, {})
+        feed = _changes(store.chunks, last.get("chunks", 0), seen)
+        pending = None
+        if last.get("pending") is not None:
+            pending = store.spark.read.schema(_PENDING).parquet(table.side("pending", last["pending"]))
+        if feed is not None and feed.empty and pending is None:
+            audit.count(stage, "removed", 0)
+            audit.count(stage, "embedded", 0)
+            return _nothing(audit, stage)
+        have = ["chunkId", "chunkHash", "embedder", "embedder_ver"]
+        if feed is None:
+            held = table.read(*have)
+        else:
+            docs, ids = _touched_chunks(store, feed, pending)
+            chunks = store.chunks.read(*columns, version=seen, within=docs).join(ids, "chunkId", "left_semi")
+            held = table.read(*have, within=ids).join(ids, "chunkId", "left_semi")
         # Rows of other models keep their id, so that chunks gone from the text are
         # found whatever model they were embedded with.
-        held = have.select("chunkId", F.when(mine, F.col("chunkHash")).alias("chunkHash"))
+        own = (F.col("embedder") == model) & (F.col("embedder_ver") == version)
+        held = held.select("chunkId", F.when(own, F.col("chunkHash")).alias("chunkHash"))
         found = compare(chunks.select("chunkId", "chunkHash"), held, "chunkId", "chunkHash")
         keys, counts = _plan(store, found)
         audit.count(stage, "removed", counts["gone"])
         gone, replaces = _gone(keys, counts, "chunkId"), counts["changed"] > 0
         if not counts["new"] and not counts["changed"]:
             audit.count(stage, "embedded", 0)
+            note = json.dumps({**noted, mine: {"chunks": seen, "pending": None}})
             if gone is None:
+                table.remember(note)
                 return _nothing(audit, stage)
-            table.show(None, delete=gone)
+            table.show(None, delete=gone, note=note)
             return 0
         chunks = chunks.join(_todo(keys, "chunkId"), "chunkId", "left_semi")
         texts = counts["new"] + counts["changed"]
@@ -253,7 +396,14 @@ def run_embed(
     if texts and not good and options.stop_when_all_fail:
         table.discard(write)
         raise NoEmbeddings(f"none of {texts} texts could be embedded")
-    table.show(write, ["chunkId", "embedder", "embedder_ver"] if replaces else None, gone)
+    left = None
+    if texts > good:
+        # Failed texts are listed beside the table, for the next run.
+        failed = not_in(chunks.select("chunkId", "docId"), table.written(write, "chunkId"), ["chunkId"])
+        failed.write.mode("overwrite").parquet(table.side("pending", write.number))
+        left = write.number
+    note = json.dumps({**noted, mine: {"chunks": seen, "pending": left}})
+    table.show(write, ["chunkId", "embedder", "embedder_ver"] if replaces else None, gone, note)
     return good
 
 
@@ -261,29 +411,61 @@ def run_index(store: Store, options: Options, audit: Audit) -> int:
     """Stage 4; the number of chunks added to the index, updates included."""
     stage, meta, index = "index", store.indexed, store.index
     model, version = options.embed_model, options.embed_ver
-    chunks = store.chunks.read("chunkId", "chunkHash", "docId", "offset", "chunk")
-    vectors = store.embeddings.read("chunkId", "chunkHash", "embedder", "embedder_ver", "vector")
+    columns = ["chunkId", "chunkHash", "docId", "offset", "chunk"]
+    made = ["chunkId", "chunkHash", "embedder", "embedder_ver", "vector"]
+    seen = {"chunks": store.chunks.version(), "embeddings": store.embeddings.version()}
+    chunks = store.chunks.read(*columns, version=seen["chunks"])
+    vectors = store.embeddings.read(*made, version=seen["embeddings"])
+    noted, mine = _notes(meta), f"{model}/{version}"
+    last = noted.get(mine, {})
     gone, replaces, updates = None, False, None
+    # An index that was written to without its entries, by a run that was lost, may
+    # already hold rows that come again.
+    lost = index.version() not in (0, last.get("index"))
+
+    def publish(write: Write | None, gone: DataFrame | None) -> None:
+        _show_index(store, write, replaces, replaces or lost, gone, lambda: json.dumps(
+            {**noted, mine: {**seen, "index": index.version()}}
+        ))
+
     if meta.exists():
-        mine = (F.col("embedder") == model) & (F.col("embedder_ver") == version)
-        ready = vectors.filter(mine).select("chunkId", F.col("chunkHash").alias("_ready"))
+        have = meta.read("chunkId", "chunkHash", "docId")
+        pieces = _changes(store.chunks, last.get("chunks", 0), seen["chunks"])
+        fresh = _changes(store.embeddings, last.get("embeddings", 0), seen["embeddings"])
+        if pieces is not None and fresh is not None and not lost:
+            if pieces.empty and fresh.empty:
+                audit.count(stage, "removed", 0)
+                audit.count(stage, "indexed", 0)
+                return _nothing(audit, stage)
+            docs, ids = _touched_chunks(store, pieces)
+            embedded = fresh.touched("chunkId")
+            if not_in(embedded, ids, ["chunkId"]).limit(1).count():
+                # Vectors of chunks that did not change, say of texts that had failed.
+                ids = _scratch(store, ids.unionByName(embedded).distinct(), "touched_chunks")
+            else:
+                chunks = store.chunks.read(*columns, version=seen["chunks"], within=docs)
+            chunks = chunks.join(ids, "chunkId", "left_semi")
+            vectors = store.embeddings.read(*made, version=seen["embeddings"], within=ids)
+            vectors = vectors.join(ids, "chunkId", "left_semi")
+            have = meta.read("chunkId", "chunkHash", "docId", within=ids).join(ids, "chunkId", "left_semi")
+        own = (F.col("embedder") == model) & (F.col("embedder_ver") == version)
+        ready = vectors.filter(own).select("chunkId", F.col("chunkHash").alias("_ready"))
         # A chunk without a vector for its current text is not ready; joined on the
         # id alone, so that the next join on it needs no other shuffle.
         want = chunks.select("chunkId", "chunkHash", "docId").join(ready, "chunkId", "left")
         want = want.withColumn(
             "chunkHash", F.when(F.col("chunkHash") == F.col("_ready"), F.col("chunkHash"))
         )
-        found = compare(
-            want, meta.read("chunkId", "chunkHash", "docId"), "chunkId", "chunkHash", ["docId"]
-        )
+        found = compare(want, have, "chunkId", "chunkHash", ["docId"])
         keys, counts = _plan(store, found)
         audit.count(stage, "removed", counts["gone"])
         gone, replaces = _gone(keys, counts, "chunkId", "docId"), counts["changed"] > 0
         if not counts["new"] and not counts["changed"]:
             audit.count(stage, "indexed", 0)
             if gone is None:
+                meta.remember(json.dumps({**noted, mine: {**seen, "index": index.version()}}))
                 return _nothing(audit, stage)
-            _show_index(store, None, False, gone)
+            publish(None, gone)
             return 0
         pair = ["chunkId", "chunkHash"]
         todo = _todo(keys, *pair)
@@ -308,12 +490,13 @@ def run_index(store: Store, options: Options, audit: Audit) -> int:
         name = "total" if r.shard is None else f"shard {r.shard}"
         audit.note(stage, f"{name}: added = {r.added}, updated = {r.updated}")
     audit.count(stage, "indexed", indexed)
-    _show_index(store, write, replaces, gone)
+    publish(write, gone)
     return indexed
 
 
 def _show_index(
-    store: Store, write: Write | None, replaces: bool, gone: DataFrame | None
+    store: Store, write: Write | None, replaces: bool, replaces_rows: bool,
+    gone: DataFrame | None, note: Callable[[], str],
 ) -> None:
     """Publish index rows and then their entries in ``indexed_chunks``.
 
@@ -336,8 +519,25 @@ def _show_index(
     if gone is not None:
         drop = gone.select(F.col("docId").alias("doc_id"), F.col("chunkId").alias("chunk_id"))
         drop_entries = gone.select("chunkId")
-    index.show(write, ["chunk_id"], drop)
-    meta.show(entries, ["chunkId"] if replaces else None, drop_entries)
+    index.show(write, ["chunk_id"] if replaces_rows else None, drop)
+    meta.show(entries, ["chunkId"] if replaces else None, drop_entries, note())
+
+
+def run_terms(store: Store, options: Options, audit: Audit) -> bool:
+    """Second part of stage 4: bring the term table up to the index; whether it was written."""
+    terms, index = store.terms, store.index
+    if not options.term_index or not index.exists():
+        return False
+    seen, last = index.version(), terms.note().get("index")
+    if seen == last:
+        return False
+    feed = index.changes(last, seen) if last else None
+    if feed is None:
+        terms.build(index.read("chunk_id", "text", version=seen), index=seen)
+    else:
+        terms.update(feed.written("chunk_id", "text"), feed.touched("chunk_id"), index=seen)
+    audit.note("index", f"index: terms kept up to version {seen}")
+    return True
 
 
 def run_stages(
@@ -367,6 +567,7 @@ def run_stages(
             run_embed(store, options, audit, embed)
         if "index" in stages:
             run_index(store, options, audit)
+            run_terms(store, options, audit)
     except Exception as exc:
         audit.note("run", f"run failed: {exc}", channel="error")
         raise

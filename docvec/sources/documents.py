@@ -34,6 +34,36 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select(F.col("path").alias("uri"), "content")
 
 
+class Files:
+    """Source over files under a path, read by Spark and with its credentials.
+
+    ``listing`` gives ``uri``, ``size`` and ``modified`` without reading a file; called, it
+    extracts ``uri``, ``text`` and ``error`` of all files or of those in a table of URIs.
+    The first stage keeps the listing of files that it extracted and passes over those
+    that are still the same.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, extract: Extract | None = None, pattern: str | None = None):
+        self.spark, self.path, self.extract, self.pattern = spark, path, extract or decode, pattern
+
+    def _files(self) -> DataFrame:
+        reader = self.spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        if self.pattern:
+            reader = reader.option("pathGlobFilter", self.pattern)
+        return reader.load(self.path)
+
+    def listing(self) -> DataFrame:
+        return self._files().select(
+            F.col("path").alias("uri"), F.col("length").alias("size"), F.col("modificationTime").alias("modified")
+        )
+
+    def __call__(self, uris: DataFrame | None = None) -> DataFrame:
+        files = self._files().select(F.col("path").alias("uri"), "content")
+        if uris is not None:
+            files = files.join(uris, "uri", "left_semi")
+        return extract_files(files, self.extract)
+
+
 def fetch_uri(uri: str, timeout: float = FETCH_TIMEOUT_SEC) -> bytes:
     """Bytes behind a URI: a web address, a local file or an object store."""
     parts = urlsplit(uri)

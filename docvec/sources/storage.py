@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
 
@@ -13,11 +14,16 @@ def work_folder(spark: SparkSession, name: str) -> str:
     """A new folder under the shared folder of the cluster.
 
     The folder is the one named in ``spark.checkpoint.dir``. Where that is unset, it
-    lies in the warehouse, which executors share as well.
+    lies in the warehouse. On a cluster that must be a folder which executors share: one of
+    the driver's machine is refused.
     """
     base = spark.conf.get(CHECKPOINT_DIR, None)
     if not base:
-        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        local = spark.sparkContext.master.startswith("local")
+        if not local and urlsplit(warehouse).scheme in ("", "file"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a shared folder: {warehouse} is on the driver's machine")
+        base = f"{warehouse}/_work"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -61,6 +67,11 @@ class Storage:
         if not fs.rename(draft, p):
             raise FileExistsError(path)
 
+    def size(self, path: str) -> int:
+        """Bytes under a folder."""
+        fs, p = self._at(path)
+        return fs.getContentSummary(p).getLength()
+
     def delete(self, path: str) -> None:
         fs, p = self._at(path)
         fs.delete(p, True)

@@ -6,7 +6,8 @@ Layout of a table folder::
     deletes/ver=4/part-....parquet
     versions/00000002.json     {"next": 5, "buckets": 8, "bucket": {"7": [1, 3]},
                                 "note": null,
-                                "deletes": [{"ver": 4, "columns": ["k"], "own": false}]}
+                                "deletes": [{"ver": 4, "columns": ["k"], "own": false}],
+                                "did": {"write": 3, "deletes": [...], "whole": false}}
 
 A version lists, for each bucket, the writes that hold its rows; nothing that is
 being read is overwritten. New rows are written once, to the place where they stay.
@@ -15,6 +16,14 @@ the keys, and reading leaves out rows of earlier writes that have them. So an up
 writes what changed and no more. Once ``FOLD_AFTER`` sets of keys have gathered, the
 buckets that hold such rows are rewritten without them. One writer at a time.
 
+Writes have a size tier, each ``FAN`` times the one below. When a bucket holds ``FAN`` writes
+of one tier, their rows in it are merged into one write. So a bucket holds a number of
+writes that grows with the logarithm of its size, and a row is rewritten as often.
+
+A version also says what it did to the one before (``did``), so a reader that
+remembers the last version it saw gets the rows written and the keys gone since, and
+reads nothing else (:meth:`ManagedTable.changes`).
+
 The bucket is a hash of the key, so its size follows the number of keys; writes
 are rebalanced, which lets adaptive execution split a large bucket over several
 tasks and files. The number of buckets is kept in the version: a table is not written
@@ -25,7 +34,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +48,10 @@ _VECTOR = T.ArrayType(T.FloatType(), True)
 
 # Sets of deleted keys that a version may name before they are folded in.
 FOLD_AFTER = 8
+# Writes of one size tier that a bucket may hold before they are merged, and the bytes of
+# the lowest tier.
+FAN = 4
+TIER_BYTES = 1 << 16
 
 
 def _schema(**fields: T.DataType) -> T.StructType:
@@ -59,6 +72,7 @@ SCHEMAS = {
         chunkId=_STR, chunkHash=_STR, embedder=_STR, vector=_VECTOR,
         embedder_ver=_STR, version_ts=_TS,
     ),
+    "sources": _schema(uri=_STR, size=T.LongType(), modified=_TS),
     "indexed_chunks": _schema(
         chunkId=_STR, chunkHash=_STR, docId=_STR, indexed_ts=_TS,
     ),
@@ -87,6 +101,16 @@ class Deletes:
     own: bool
 
 
+@dataclass(frozen=True)
+class Step:
+    """What a version did to the one before: the write and the sets of keys that it
+    added. ``whole`` says that the table was written anew, so nothing can be told."""
+
+    write: int | None = None
+    deletes: tuple[Deletes, ...] = ()
+    whole: bool = False
+
+
 @dataclass(frozen=True)
 class State:
     """What a version file says."""
@@ -96,6 +120,60 @@ class State:
     deletes: tuple[Deletes, ...] = ()
     buckets: int | None = None
     note: str | None = None
+    did: Step = Step()
+    sizes: dict[int, int] = field(default_factory=dict)  # bytes of each write held
+
+
+def _tier(size: int) -> int:
+    tier = 0
+    while size > TIER_BYTES * FAN**tier:
+        tier += 1
+    return tier
+
+
+def _as_json(sets: Sequence[Deletes]) -> list[dict]:
+    return [{"ver": d.ver, "columns": list(d.columns), "own": d.own} for d in sets]
+
+
+def _from_json(sets: list[dict]) -> tuple[Deletes, ...]:
+    return tuple(Deletes(d["ver"], tuple(d["columns"]), d["own"]) for d in sets)
+
+
+@dataclass(frozen=True)
+class Changes:
+    """What happened to a table between two of its versions."""
+
+    table: ManagedTable
+    since: int
+    until: int
+    steps: tuple[Step, ...]
+    share: float = 0.0  # of the table's bytes that were written since
+
+    @property
+    def empty(self) -> bool:
+        return not any(s.write or s.deletes for s in self.steps)
+
+    def written(self, *columns: str) -> DataFrame:
+        """Rows written since that were neither replaced nor deleted since."""
+        deletes = [d for s in self.steps for d in s.deletes]
+        return self.table._rows(self._held(), columns, deletes)
+
+    def touched(self, column: str) -> DataFrame:
+        """The distinct values of a column in all that was written or deleted since.
+        Deletes are by this column or by keys of the writes themselves."""
+        found = self.table._files_of(self._held()).select(column)
+        for step in self.steps:
+            for d in step.deletes:
+                if not d.own:
+                    found = found.unionByName(self.table._deleted(d).select(F.col(f"_gone_{column}").alias(column)))
+        return found.distinct()
+
+    def _held(self) -> dict[int, list[int]]:
+        held: dict[int, list[int]] = {}
+        for step in self.steps:
+            for bucket in self.table._filled(step.write) if step.write else ():
+                held.setdefault(bucket, []).append(step.write)
+        return held
 
 
 class ManagedTable:
@@ -129,9 +207,11 @@ class ManagedTable:
         if version == 0:
             return State(1, {})
         text = json.loads(self._files.read(f"{self.path}/versions/{version:08d}.json"))
-        deletes = tuple(Deletes(d["ver"], tuple(d["columns"]), d["own"]) for d in text["deletes"])
         held = {int(b): w for b, w in text["bucket"].items()}
-        return State(text["next"], held, deletes, text["buckets"], text["note"])
+        did = text.get("did")
+        step = Step(did["write"], _from_json(did["deletes"]), did["whole"]) if did else Step(whole=True)
+        sizes = {int(w): n for w, n in text.get("sizes", {}).items()}
+        return State(text["next"], held, _from_json(text["deletes"]), text["buckets"], text["note"], step, sizes)
 
     def _publish(self, state: State) -> int:
         version = self.version() + 1
@@ -141,14 +221,23 @@ class ManagedTable:
                 "buckets": self.buckets,
                 "note": state.note,
                 "bucket": {str(b): w for b, w in sorted(state.held.items()) if w},
-                "deletes": [
-                    {"ver": d.ver, "columns": list(d.columns), "own": d.own} for d in state.deletes
-                ],
+                "sizes": {str(w): n for w, n in sorted(self._sizes(state).items())},
+                "deletes": _as_json(state.deletes),
+                "did": {
+                    "write": state.did.write,
+                    "deletes": _as_json(state.did.deletes),
+                    "whole": state.did.whole,
+                },
             }
         )
         self._files.publish(f"{self.path}/versions/{version:08d}.json", text)
         return version
 
+    def _sizes(self, state: State) -> dict[int, int]:
+        """Bytes of the writes held; those of new ones are looked up."""
+        writes = {w for ws in state.held.values() for w in ws}
+        return {w: state.sizes.get(w) or self._files.size(f"{self.path}/data/ver={w}") for w in writes}
+
     def stored_buckets(self) -> int | None:
         """The number of buckets (or shards) that the rows are placed by."""
         return self._state(self.version()).buckets
@@ -167,10 +256,47 @@ class ManagedTable:
 
     # -- reading -----------------------------------------------------------
 
-    def read(self, *columns: str, version: int | None = None) -> DataFrame:
-        """Rows of a version, the current one by default; empty before any write."""
+    def read(
+        self, *columns: str, version: int | None = None, within: DataFrame | None = None
+    ) -> DataFrame:
+        """Rows of a version, the current one by default; empty before any write.
+
+        ``within`` has values of the bucket key: only the buckets that these fall in are
+        read. The rows may have other keys still.
+        """
         state = self._state(self.version() if version is None else version)
-        return self._rows(state.held, columns or self._visible(), state.deletes)
+        held = state.held
+        if within is not None and held:
+            # At most one number per bucket comes back.
+            place = self._bucket(state.buckets).alias("b")
+            some = {r[0] for r in within.select(self.bucket_key).select(place).distinct().collect()}
+            held = {b: w for b, w in held.items() if b in some}
+        return self._rows(held, columns or self._visible(), state.deletes)
+
+    def read_buckets(self, numbers: Sequence[int], *columns: str) -> DataFrame:
+        """Rows of some buckets of the current version; the folders of others are not listed."""
+        state, wanted = self._state(self.version()), set(numbers)
+        held = {b: w for b, w in state.held.items() if b in wanted}
+        return self._rows(held, columns or self._visible(), state.deletes)
+
+    def changes(self, since: int, until: int | None = None) -> Changes | None:
+        """What happened after version ``since``; None when the versions do not tell,
+        because the table was written anew or old versions have expired."""
+        last = self.version() if until is None else until
+        if not 0 < since <= last:
+            return None
+        kept = {n for n in self._files.names(f"{self.path}/versions") if n.endswith(".json")}
+        numbers = range(since + 1, last + 1)
+        if any(f"{n:08d}.json" not in kept for n in (since, *numbers)):
+            return None
+        states = [self._state(n) for n in numbers]
+        steps = tuple(s.did for s in states)
+        if any(s.whole for s in steps):
+            return None
+        sizes = {w: n for s in states for w, n in s.sizes.items()}
+        total = sum(states[-1].sizes.values()) if states else 0
+        share = sum(sizes.get(s.write, 0) for s in steps) / total if total else 0.0
+        return Changes(self, since, last, steps, share)
 
     def _visible(self) -> list[str]:
         shown = [self.bucket_name] if self.bucket_name != "bucket" else []
@@ -218,10 +344,10 @@ class ManagedTable:
         reader = self.spark.read.schema(self._full()).option("basePath", f"{self.path}/data")
         return reader.parquet(*folders)
 
-    def _bucket(self) -> Column:
+    def _bucket(self, buckets: int | None = None) -> Column:
         if self.bucket_name == "shard":
-            return shard_of(self.bucket_key, self.buckets)
-        return F.pmod(F.xxhash64(self.bucket_key), F.lit(self.buckets))
+            return shard_of(self.bucket_key, buckets or self.buckets)
+        return F.pmod(F.xxhash64(self.bucket_key), F.lit(buckets or self.buckets))
 
     # -- writing -----------------------------------------------------------
 
@@ -247,8 +373,12 @@ class ManagedTable:
             .partitionBy(self.bucket_name)
             .parquet(target)
         )
+        return self._filled(write)
+
+    def _filled(self, write: int) -> list[int]:
+        """The buckets that a write has rows of."""
         prefix = f"{self.bucket_name}="
-        names = self._files.names(target)
+        names = self._files.names(f"{self.path}/data/ver={write}")
         return [int(n[len(prefix):]) for n in names if n.startswith(prefix)]
 
     def put(self, rows: DataFrame, placed: bool = False) -> Write:
@@ -288,17 +418,28 @@ class ManagedTable:
         number = write.number if write is not None else state.free
         if number < state.free:
             raise ValueError(f"write {number} of {self.path} came before what is shown already")
-        deletes = list(state.deletes)
+        new: list[Deletes] = []
         if state.held and write is not None and keys is not None:
-            deletes.append(Deletes(number, tuple(keys), True))
+            new.append(Deletes(number, tuple(keys), True))
         if state.held and delete is not None:
             delete.distinct().write.mode("overwrite").parquet(f"{self.path}/deletes/ver={number}")
-            deletes.append(Deletes(number, tuple(delete.columns), False))
+            new.append(Deletes(number, tuple(delete.columns), False))
         held = {b: list(w) for b, w in state.held.items()}
         for bucket in write.buckets if write is not None else []:
             held.setdefault(bucket, []).append(number)
-        after = State(number + 1, held, tuple(deletes), note=state.note if note is None else note)
-        return self._publish(self._folded(after) if len(deletes) > FOLD_AFTER else after)
+        after = State(
+            number + 1, held, (*state.deletes, *new), note=state.note if note is None else note,
+            did=Step(None if write is None else number, tuple(new)),
+        )
+        return self._publish(self._folded(after) if len(after.deletes) > FOLD_AFTER else self._merged(after))
+
+    def side(self, kind: str, number: int) -> str:
+        """A folder beside the rows, for what belongs to a write and is no row."""
+        return f"{self.path}/{kind}/ver={number}"
+
+    def remember(self, note: str) -> int:
+        """Keep a note with a version of the same rows."""
+        return self._publish(replace(self._writable(), note=note, did=Step()))
 
     def _folded(self, state: State) -> State:
         """The same rows without sets of deleted keys: buckets that hold rows with such
@@ -311,22 +452,49 @@ class ManagedTable:
             # At most one number per bucket comes back.
             touched.update(r[0] for r in hit.select(self.bucket_name).distinct().collect())
         if not touched:
-            return State(state.free, state.held, note=state.note)
+            return replace(state, deletes=())
         some = {b: state.held[b] for b in touched}
         kept = self._rows(some, self.schema.names, state.deletes)
         written = self._write(kept, state.free)
         moved = {b: [state.free] if b in written else [] for b in touched}
-        return State(state.free + 1, {**state.held, **moved}, note=state.note)
+        return replace(state, free=state.free + 1, held={**state.held, **moved}, deletes=())
+
+    def _merged(self, state: State) -> State:
+        """The same rows with full tiers merged, all buckets concerned in one write."""
+        sizes = self._sizes(state)
+        state = replace(state, sizes=sizes)
+        full: dict[int, list[int]] = {}
+        for bucket, writes in state.held.items():
+            tiers: dict[int, list[int]] = {}
+            for w in writes:
+                tiers.setdefault(_tier(sizes[w]), []).append(w)
+            some = [w for of in tiers.values() if len(of) >= FAN for w in of]
+            if some:
+                full[bucket] = some
+        if not full:
+            return state
+        # Rows that are deleted by now are left out; later deletes have higher numbers.
+        written = self._write(self._rows(full, self.schema.names, state.deletes), state.free)
+        held = {
+            b: [w for w in ws if w not in full.get(b, ())] + ([state.free] if b in full and b in written else [])
+            for b, ws in state.held.items()
+        }
+        return replace(state, free=state.free + 1, held=held)
 
     def overwrite(self, rows: DataFrame) -> int:
         """Write the whole table anew; the version number."""
-        write = self.put(rows)
-        return self._publish(State(write.number + 1, {b: [write.number] for b in write.buckets}))
+        return self.replace(self.put(rows))
+
+    def replace(self, write: Write, note: str | None = None) -> int:
+        """Publish a write as the whole table; the version number."""
+        held = {b: [write.number] for b in write.buckets}
+        return self._publish(State(write.number + 1, held, note=note, did=Step(write.number, whole=True)))
 
     def merge(
-        self, rows: DataFrame, keys: Sequence[str], delete: DataFrame | None = None
+        self, rows: DataFrame, keys: Sequence[str] | None = None, delete: DataFrame | None = None
     ) -> int:
-        """Upsert rows, unique on ``keys``, in one call; the version number."""
+        """Upsert rows, unique on ``keys``, in one call; the version number. Without keys
+        all rows are new."""
         write = self.put(rows)
         return self.show(write, keys, delete)
 
@@ -350,7 +518,8 @@ class ManagedTable:
         for name in names[-keep:]:
             state = self._state(int(name.split(".")[0]))
             used.update(w for writes in state.held.values() for w in writes)
-            used.update(d.ver for d in state.deletes)
+            used.update(d.ver for d in (*state.deletes, *state.did.deletes))
+            used.update([state.did.write] if state.did.write else [])
         for name in names[:-keep]:
             self._files.delete(f"{self.path}/versions/{name}")
         free = self._state(self.version()).free
@@ -362,36 +531,3 @@ class ManagedTable:
                     self._files.delete(f"{self.path}/{kind}/{name}")
                     dropped.add(number)
         return sorted(dropped)
-
-
-class Store:
-    """The four tables and the index under one folder."""
-
-    def __init__(self, spark: SparkSession, path: str, num_shards: int, buckets: int):
-        self.spark, self.path = spark, path.rstrip("/")
-        self.num_shards = num_shards
-        self.scratch: list[str] = []
-
-        def table(name: str, key: str) -> ManagedTable:
-            return ManagedTable(spark, f"{self.path}/{name}", SCHEMAS[name], key, buckets)
-
-        self.documents = table("doc_normalized", "docId")
-        self.chunks = ManagedTable(
-            spark, f"{self.path}/chunks", SCHEMAS["chunks"], "docId", buckets,
-            sort_by=["docId", "offset"],
-        )
-        self.embeddings = table("embeddings", "chunkId")
-        self.indexed = table("indexed_chunks", "chunkId")
-        self.index = ManagedTable(
-            spark, f"{self.path}/index", SCHEMAS["index"], "doc_id", num_shards,
-            bucket_name="shard", sort_by=["doc_id", "offset"],
-        )
-
-    def folder(self, name: str) -> str:
-        return f"{self.path}/{name}"
-
-    def drop_scratch(self) -> None:
-        """Delete the key lists that runs left in the shared work folder."""
-        files = Storage(self.spark)
-        while self.scratch:
-            files.delete(self.scratch.pop())

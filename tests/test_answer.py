@@ -48,3 +48,40 @@ def test_empty_index_gives_a_message(spark):
     index = index_of(spark, ["x"]).limit(0)
     row = answer.batch_answer(ask(spark, [(1, "red apple")]), index).first()
     assert (row.status, row.answer) == ("no_hits", answer.NO_HITS)
+
+
+def test_requests_go_to_their_models(spark):
+    from docvec.operators.embed import hashed_embed
+    from docvec.options import Options
+
+    one = index_of(spark, ["Red apple. More.", "blue sky"])
+    other = one.selectExpr("concat('o', doc_id) AS doc_id", "concat('o', chunk_id) AS chunk_id", "chunk_hash", "offset",
+                           "text", "array(float(0.0), float(1.0)) AS vector")
+    none = one.limit(0)
+
+    def busy(messages):
+        raise RuntimeError("busy")
+
+    rows = [
+        (1, "red apple", None, None, None), (2, "", "plain", None, 1), (3, "red apple", "flat", "first", 1),
+        (4, "red apple", "bare", None, None), (5, "red apple", "plain", "busy", None), (6, "x", "what", None, None),
+        (7, "x", "plain", "who", None),
+    ]
+    asked = spark.createDataFrame(rows, "query_id int, text string, embed_model string, chat_model string, top_k int")
+    got = answer.route_answers(
+        asked,
+        {"plain": one, "flat": other, "bare": none},
+        {"plain": hashed_embed, "flat": lambda texts: [[0.0, 2.0]] * len(texts), "bare": hashed_embed},
+        {"first": answer.first_sentence, "busy": busy},
+        Options(embed_model="plain", chat_model="first", top_k=1),
+    )
+    found = {r.query_id: (r.status, r.answer) for r in got.collect()}
+    assert found == {
+        1: ("ok", "Red apple.\n\n[Sources: d0 (chunk c0)]"),
+        2: ("no_vector", answer.NO_VECTOR),
+        3: ("ok", "Red apple.\n\n[Sources: od0 (chunk oc0)]"),
+        4: ("no_hits", answer.NO_HITS),
+        5: ("failed", answer.FAILED + "busy"),
+        6: ("failed", answer.FAILED + "unknown model what"),
+        7: ("failed", answer.FAILED + "unknown model who"),
+    }

@@ -3,6 +3,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 
 from docvec.operators import cells, lexical, search
 from docvec.operators.index import lookup, offset_range
@@ -60,14 +61,57 @@ def test_knn_is_exact(spark, data, similarity, k):
     assert found == brute(table, ids, queries, k, similarity)
 
 
-def test_slices_give_the_same(spark, data, monkeypatch):
+def test_tiles_of_any_size_give_the_same(spark, data, monkeypatch):
     table, queries = data
     df, qs = vectors(spark, table), questions(spark, queries * 5)
     whole = got(search.knn(df, qs, 5))
-    monkeypatch.setattr(search, "MAX_SLICE_NUMBERS", 8 * 3)
+    monkeypatch.setattr(search, "TILE_NUMBERS", 8 * 3)
     assert got(search.knn(df, qs, 5)) == whole
-    monkeypatch.setattr(search, "MAX_BROADCAST_HITS", 0)
+    monkeypatch.setattr(search, "TILE_VECTORS", 50)
+    monkeypatch.setattr(search, "MOST_TASKS", 7)
     assert got(search.knn(df, qs, 5)) == whole
+    monkeypatch.setattr(search, "TILE_HITS", 11)
+    assert got(search.knn(df, qs, 5)) == whole
+
+
+def test_one_query_and_ten_thousand_give_the_same(spark, data):
+    table, _ = data
+    rng = np.random.default_rng(8)
+    many = rng.normal(size=(10_000, 8)).tolist()
+    df = vectors(spark, table)
+    found = search.knn(df, questions(spark, many), 3)
+    of_one = {r for r in got(found) if r[0] == 4321}
+    alone = questions(spark, many).filter("query_id = 4321")
+    assert of_one == set(got(search.knn(df, alone, 3)))
+    assert found.count() == 30_000
+
+
+def test_nothing_but_counts_passes_the_driver(spark, data, monkeypatch):
+    table, queries = data
+    df, qs = vectors(spark, table), questions(spark, queries)
+    collected, whole = [], type(df).collect
+
+    def collect(self):
+        collected.append(self.dtypes)
+        return whole(self)
+
+    monkeypatch.setattr(type(df), "collect", collect)
+    found = search.knn(df, qs, 4)
+    assert not any("array" in t for of in collected for _, t in of)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "CartesianProduct" not in plan
+
+
+def test_own_k_and_carried_columns(spark, data):
+    table, queries = data
+    df = vectors(spark, table).selectExpr("*", "concat('d', chunk_id) AS doc_id", "length(chunk_id) AS n")
+    qs = questions(spark, queries).selectExpr("*", "CASE WHEN query_id % 2 = 0 THEN int(query_id + 1) END AS top_k")
+    rows = search.knn(df, qs, 4, carry=["doc_id", "n"]).collect()
+    assert Counter(r.query_id for r in rows) == {q: q + 1 if q % 2 == 0 else 4 for q in range(len(queries))}
+    assert all(r.doc_id == "d" + r.chunk_id and r.n == 5 for r in rows)
+    ids = [f"c{i:04d}" for i in range(len(table))]
+    want = {(q, i, p) for q, i, p in brute(table, ids, queries, 9, "COSINE") if p <= (q + 1 if q % 2 == 0 else 4)}
+    assert {(r.query_id, r.chunk_id, r["rank"]) for r in rows} == want
 
 
 def test_small_blocks_give_the_same(spark, data, monkeypatch):
@@ -75,14 +119,15 @@ def test_small_blocks_give_the_same(spark, data, monkeypatch):
 
     table, queries = np.array(data[0]), np.array(data[1])
     ids = np.array([f"c{i:04d}" for i in range(len(table))])
-    best = _Best(len(queries), 7)
+    best = _Best(np.full(len(queries), 7))
     for start in range(0, len(table), 13):
         for first in range(0, len(queries), 3):
             part = search._scores(queries[first : first + 3], table[start : start + 13], "COSINE")
-            best.add(first, part, ids[start : start + 13])
+            best.add(first, part, ids[start : start + 13], start)
     rows = list(zip(best.query.tolist(), best.id.tolist()))
     expected = [(q, i) for q, i, _ in brute(table.tolist(), ids.tolist(), queries.tolist(), 7, "COSINE")]
     assert sorted(rows) == sorted(expected)
+    assert (ids[best.row] == best.id).all()
 
 
 def test_bad_rows_are_passed_over_and_counted(spark):
@@ -92,6 +137,9 @@ def test_bad_rows_are_passed_over_and_counted(spark):
     assert found == [(0, "c0000", 1), (0, "c0001", 2)]
     counts = {r.problem: r.n for r in search.unusable_vectors(df, 2).collect()}
     assert counts == {"dimension": 2, "no direction": 2}
+    seen = Observation("passed over")
+    search.knn(df, questions(spark, [[1, 0]]), 10, passed_over=seen).collect()
+    assert seen.get == {"dimension": 2, "no_direction": 2}
 
 
 def test_edges(spark):

@@ -5,6 +5,7 @@ import hashlib
 import pytest
 
 from docvec.functions.text import shard_of
+from docvec.operators.changes import compare
 from docvec.operators.chunks import chunk_documents
 from docvec.operators.embed import hashed_embed
 from docvec.operators.index import lookup
@@ -17,6 +18,12 @@ LONG = " ".join(f"Sentence number {i} of the text." for i in range(120))
 OPTIONS = Options(tail="compact", num_shards=3, table_buckets=4)
 
 
+@pytest.fixture(autouse=True)
+def narrow(monkeypatch, request):
+    """Little tables: whatever changes is a large share. The scenario runs both ways."""
+    monkeypatch.setattr(stages, "NARROW", getattr(request, "param", 1.0))
+
+
 def docs(spark, texts):
     return spark.createDataFrame(sorted(texts.items()), "uri string, text string")
 
@@ -58,6 +65,7 @@ class Runner:
         assert rows(s.index.read(), "chunk_id", "doc_id", "shard") == rows(placed, "chunkId", "docId", "shard")
 
 
+@pytest.mark.parametrize("narrow", [1.0, 0.1], indirect=True)
 def test_scenario(spark):
     r, texts = Runner(spark), seven()
     seen = r.run(texts)
@@ -245,3 +253,167 @@ def test_an_edit_writes_in_proportion_to_itself(spark):
         fresh = {b: [w for w in ws if w >= old.free] for b, ws in now.held.items()}
         assert table._files_of(fresh).count() <= max(1, seen["chunk", "chunks"]) < n or n == 7
     r.check(texts)
+
+
+def test_files_that_did_not_change_are_not_read(spark, tmp_path):
+    from docvec.sources.documents import Files
+
+    reads = spark.sparkContext.accumulator(0)
+
+    def extract(content):
+        reads.add(1)
+        if b"broken" in content:
+            raise ValueError("broken")
+        return content.decode()
+
+    for i in range(5):
+        (tmp_path / f"{i}.txt").write_text(f"Text {i}. {LONG}")
+    (tmp_path / "bad.txt").write_text("broken")
+    (tmp_path / "left.csv").write_text("not a text")
+    path, options = work_folder(spark, "store"), Options(tail="compact", num_shards=2, table_buckets=2, prune=True)
+    source = Files(spark, str(tmp_path), extract, "*.txt")
+
+    def run():
+        before = reads.value
+        store, audit = stages.run_stages(spark, path, source, options)
+        seen = {(e[1], e[3]): e[4] for e in audit.events if e[3]}
+        return store, reads.value - before, [seen["normalize", m] for m in ("new", "changed", "failed")]
+
+    store, n, counts = run()
+    assert (n, counts) == (6, [5, 0, 1]) and store.documents.read().count() == 5
+    # The failed one alone is tried again, and again.
+    versions = store.documents.version(), store.sources.version()
+    assert run()[1:] == (1, [0, 0, 1]) == run()[1:]
+    assert versions == (store.documents.version(), store.sources.version())
+    (tmp_path / "bad.txt").write_text("mended")
+    assert run()[1:] == (1, [1, 0, 0])
+    versions = store.documents.version(), store.chunks.version(), store.index.version()
+    assert run()[1:] == (0, [0, 0, 0])
+    assert versions == (store.documents.version(), store.chunks.version(), store.index.version())
+    # Touched but with the same text, edited, and gone.
+    import os
+
+    os.utime(tmp_path / "0.txt", (1, 1))
+    (tmp_path / "1.txt").write_text("Other text.")
+    assert run()[1:] == (2, [0, 1, 0])
+    os.unlink(tmp_path / "2.txt")
+    store, n, counts = run()
+    assert (n, counts) == (0, [0, 0, 0]) and store.documents.read().count() == 5
+    assert store.index.read().count() == store.chunks.read().count()
+    assert store.index.read().filter("text like 'Text 2.%'").count() == 0
+
+
+def test_an_unchanged_run_reads_no_rows(spark, monkeypatch):
+    from docvec.sources.tables import ManagedTable
+
+    r, texts = Runner(spark), seven()
+    r.run(texts)
+    read, whole = [], ManagedTable._files_of
+
+    def files_of(self, held):
+        read.append((self.path.rsplit("/", 1)[1], len(held)))
+        return whole(self, held)
+
+    monkeypatch.setattr(ManagedTable, "_files_of", files_of)
+    opened = []
+    monkeypatch.setattr(stages, "compare", lambda *a, **k: opened.append(a) or compare(*a, **k))
+    r.run(texts)
+    assert len(opened) == 1  # the documents that were listed against those stored
+    assert r.store.index.read().count()
+
+
+def test_one_edit_reads_the_buckets_of_its_document(spark):
+    """The whole run with one edit, over tables of many buckets."""
+    options = Options(tail="compact", num_shards=3, table_buckets=64)
+    r, texts = Runner(spark, options), {f"doc://{i}": f"Document {i}. {LONG}" for i in range(40)}
+    r.run(texts)
+    total = r.store.chunks.read().count()
+    touched = []
+    plain = stages._touched_chunks
+
+    def spy(*args):
+        docs, ids = plain(*args)
+        touched.append((docs.count(), ids.count()))
+        return docs, ids
+
+    stages._touched_chunks = spy
+    try:
+        texts["doc://3"] = "E" + texts["doc://3"][1:]
+        r.run(texts)
+    finally:
+        stages._touched_chunks = plain
+    assert touched == [(1, total // 40)] * 2
+    r.check(texts)
+
+
+def test_stages_far_behind_or_with_expired_versions_catch_up(spark):
+    r, texts = Runner(spark), seven()
+    r.run(texts)
+    for n in range(3):
+        texts[f"doc://{n}"] = f"Changed {n}. {LONG}"
+        r.run(texts, stages=["normalize"])
+    texts["doc://9"] = "new"
+    r.run(texts, stages=["normalize", "chunk"])
+    r.store.documents.expire()
+    del_embed = texts["doc://0"]
+    texts["doc://0"] = "short now"
+    r.run(texts)
+    r.check(texts)
+    texts["doc://0"] = del_embed
+    r.run(texts, stages=["normalize", "chunk"])
+    for table in (r.store.documents, r.store.chunks, r.store.embeddings):
+        table.compact(1)
+        table.expire()
+    r.run(texts)
+    r.check(texts)
+
+
+def test_a_run_lost_between_index_and_its_entries_is_made_good(spark, monkeypatch):
+    from docvec.sources.tables import ManagedTable
+
+    r, texts = Runner(spark), seven()
+    r.run(texts)
+    texts |= {"doc://1": "Changed. " + LONG, "doc://8": "new " + LONG}
+    show = ManagedTable.show
+
+    def dies(self, *args, **kw):
+        if self.path.endswith("indexed_chunks"):
+            raise RuntimeError("lost")
+        return show(self, *args, **kw)
+
+    monkeypatch.setattr(ManagedTable, "show", dies)
+    with pytest.raises(RuntimeError):
+        r.run(texts)
+    monkeypatch.undo()
+    r.run(texts)
+    r.check(texts)
+    versions = r.versions()
+    r.run(texts)
+    assert r.versions() == versions
+
+
+def test_terms_are_kept_with_the_index(spark):
+    from tests.test_postings import got, plain_bm25
+
+    options = Options(tail="compact", num_shards=3, table_buckets=4, term_index=True)
+    r, texts = Runner(spark, options), seven()
+    queries = [(1, "sentence number 7"), (2, "document 3"), (3, "absent"), (4, "changed new text")]
+    asked = spark.createDataFrame(queries, "query_id long, text string")
+
+    def check():
+        rows = {x.chunk_id: x.text for x in r.store.index.read("chunk_id", "text").collect()}
+        assert got(r.store.terms.search(asked, 4)) == plain_bm25(rows, queries, 4)
+
+    r.run(texts)
+    check()
+    version = r.store.terms.table.version()
+    r.run(texts)
+    assert r.store.terms.table.version() == version
+    texts |= {"doc://1": "Changed. " + LONG, "doc://8": "new text"}
+    texts["doc://5"] = "Now short."
+    r.run(texts)
+    check()
+    texts["doc://9"] = "changed again"
+    r.run(texts, options=OPTIONS)
+    r.run(texts)
+    check()

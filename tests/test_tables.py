@@ -153,8 +153,8 @@ def test_put_is_not_visible_until_shown(spark):
 def test_compact(spark):
     table = make(spark, buckets=2)
     table.overwrite(frame(spark, [("a", "x", 1)]))
-    for i in range(4):
-        table.merge(frame(spark, [(f"b{i}", "x", i)]), ["k"])
+    for i in range(2):
+        table.merge(frame(spark, [(f"b{i}", "x", i), (f"c{i}", "x", i), (f"d{i}", "x", i)]), ["k"])
     before = rows(table)
     files = len(table.read().inputFiles())
     table.compact(1)
@@ -168,3 +168,84 @@ def test_hot_bucket_is_written(spark):
     df = spark.range(200_000).selectExpr("cast(id as string) k", "'x' m", "cast(id as int) v")
     table.overwrite(df)
     assert table.read().selectExpr("count(distinct k)").first()[0] == 200_000
+
+
+def test_many_small_inserts_leave_few_writes(spark):
+    from docvec.sources.tables import FAN
+
+    table = make(spark, buckets=2)
+    expect, most = {}, 0
+    for turn in range(22):
+        change = {f"{turn}-{i}": turn for i in range(3)} | ({f"{turn - 1}-0": -turn} if turn % 5 == 1 else {})
+        table.merge(frame(spark, [(k, "x", v) for k, v in change.items()]), ["k"] if turn % 5 == 1 else None)
+        expect |= change
+        most = max(most, *(len(w) for w in held(table).values()))
+    assert most <= 3 * FAN
+    assert {r.k: r.v for r in table.read().collect()} == expect
+    assert table.read().count() == len(expect)
+    assert {r.k for r in table.read(version=7).collect()} == {f"{t}-{i}" for t in range(7) for i in range(3)}
+    deletes = spark.createDataFrame([(k,) for k in sorted(expect)[:50]], "k string")
+    table.show(None, delete=deletes)
+    assert table.read().count() == len(expect) - 50
+
+
+def changed(table, since):
+    feed = table.changes(since)
+    written = sorted(tuple(r) for r in feed.written("k", "m", "v").collect())
+    return written, sorted(r.k for r in feed.touched("k").collect())
+
+
+def test_changes_between_versions(spark):
+    table = make(spark)
+    assert table.changes(0) is None
+    table.overwrite(frame(spark, [(str(i), "x", i) for i in range(10)]))
+    first = table.version()
+    assert table.changes(first).empty and changed(table, first) == ([], [])
+    table.merge(frame(spark, [("1", "y", 1), ("new", "y", 2)]), ["k"])
+    second = table.version()
+    table.show(None, delete=spark.createDataFrame([("5",), ("new",)], "k string"))
+    table.merge(frame(spark, [("new", "z", 3)]), ["k"])
+    assert changed(table, first) == ([("1", "y", 1), ("new", "z", 3)], ["1", "5", "new"])
+    assert changed(table, second) == ([("new", "z", 3)], ["5", "new"])
+    # A write that is not shown, a note and a compaction change nothing.
+    last = table.version()
+    table.put(frame(spark, [("lost", "x", 0)]))
+    table.remember("a note")
+    table.compact(1)
+    assert table.changes(last).empty and table.note() == "a note"
+    assert changed(table, first) == ([("1", "y", 1), ("new", "z", 3)], ["1", "5", "new"])
+    assert table.changes(first, second).until == second
+    # Old versions that are gone, and a table written anew, cannot be told apart.
+    table.expire(keep=2)
+    assert table.changes(first) is None and table.changes(last + 1).empty
+    at = table.version()
+    table.overwrite(frame(spark, [("a", "x", 1)]))
+    assert table.changes(at) is None
+
+
+def test_changes_survive_folding_and_merging(spark, monkeypatch):
+    from docvec.sources import tables
+
+    monkeypatch.setattr(tables, "FOLD_AFTER", 2)
+    table = make(spark, buckets=2)
+    table.overwrite(frame(spark, [(str(i), "x", i) for i in range(20)]))
+    since = table.version()
+    for turn in range(6):
+        table.merge(frame(spark, [(str(turn), "y", 100 + turn), (f"n{turn}", "y", turn)]), ["k"])
+    written, touched = changed(table, since)
+    assert written == sorted([(str(t), "y", 100 + t) for t in range(6)] + [(f"n{t}", "y", t) for t in range(6)])
+    assert touched == sorted([str(t) for t in range(6)] + [f"n{t}" for t in range(6)])
+    table.expire(keep=10)
+    assert changed(table, since) == (written, touched)
+
+
+def test_reading_within_keys_reads_their_buckets(spark):
+    table = make(spark, buckets=16)
+    table.overwrite(frame(spark, [(str(i), "x", i) for i in range(400)]))
+    keys = spark.createDataFrame([("7",), ("8",), ("none",)], "k string")
+    some = table.read("k", within=keys)
+    assert {"7", "8"} <= {r.k for r in some.collect()}
+    assert len(some.inputFiles()) <= 3 < len(table.read().inputFiles())
+    table.compact(4, buckets=5)
+    assert {"7", "8"} <= {r.k for r in table.read("k", within=keys).collect()}
+    assert {"7", "8"} <= {r.k for r in table.read("k", version=1, within=keys).collect()}
