@@ -5,6 +5,9 @@ Written from the rules of the operators, sharing no code with them.
 
 from __future__ import annotations
 
+NO_VECTOR = "The question could not be turned into a vector."
+NO_HITS = "No matching passage was found."
+FAILED = "The answer could not be produced: "
 SYSTEM_TEXT = (
     "Use the passages below and nothing else. Say so when they do not hold the "
     "answer. Be brief and name the passage numbers you used."
@@ -345,6 +348,22 @@ def oracles() -> dict[str, str]:
         + _SOURCES
         + """SELECT query_id, 'ok' AS status, trim(split_part(h.text, '.', 1)) || '.' || sources AS answer
              FROM hits h JOIN sources USING (query_id) WHERE h.rank = 1""",
+        "batch_answer_outcomes": hits
+        + _SOURCES
+        + f"""
+             , own AS (SELECT h.query_id, trim(split_part(h.text, '.', 1)) || '.' || s.sources AS answer
+                       FROM hits h JOIN sources s USING (query_id) WHERE h.rank = 1),
+             least_ids AS (SELECT row_number() OVER (ORDER BY "chunkId") AS rank, * FROM chunks_compact),
+             flat AS (SELECT max(CASE WHEN rank = 1 THEN trim(split_part(chunk, '.', 1)) || '.' END)
+                        || chr(10) || chr(10) || '[Sources: '
+                        || string_agg("docId" || ' (chunk ' || "chunkId" || ')', ', ' ORDER BY rank) || ']' AS answer
+                      FROM least_ids WHERE rank <= 5)
+             SELECT item_id AS query_id,
+               CASE item_id % 6 WHEN 1 THEN 'no_vector' WHEN 3 THEN 'no_hits' WHEN 4 THEN 'failed' WHEN 5 THEN 'failed'
+                 ELSE 'ok' END AS status,
+               CASE item_id % 6 WHEN 0 THEN own.answer WHEN 1 THEN '{NO_VECTOR}' WHEN 2 THEN flat.answer
+                 WHEN 3 THEN '{NO_HITS}' WHEN 4 THEN '{FAILED}unknown model other' ELSE '{FAILED}busy' END AS answer
+             FROM benchmark LEFT JOIN own ON own.query_id = item_id CROSS JOIN flat""",
         "stage_normalize": docs
         + 'SELECT "docId", "contentHash", uri, title, language, text FROM docs',
         "stage_chunk": compat
@@ -399,7 +418,9 @@ def oracles() -> dict[str, str]:
                 JOIN probed b ON b.query_id = p.query_id AND b.cell = c.cell"""
         )
     )
-    out["knn_ivf"] = out["knn_cosine"]
+    out["knn_ivf"] = out["knn_store"] = out["knn_cosine"]
+    out["knn_store_recall"] = "SELECT true AS reached"
+    out["bm25_stored"] = out["bm25_search"]
     out["knn_ivf_recall"] = "SELECT DISTINCT label AS query_id, true AS reached FROM embeddings"
     return out
 

@@ -23,7 +23,7 @@ from docvec.functions.vectors import (
     parse_chat,
     parse_embedding,
 )
-from docvec.operators import answer, cells, changes, index, lexical, search, stats
+from docvec.operators import answer, cells, changes, index, lexical, postings, search, stats
 from docvec.operators.chunks import chunk_documents, chunk_stats, split_documents
 from docvec.operators.embed import embed_texts, embedding_rows, hashed_embed
 from docvec.operators.normalize import normalize_documents
@@ -446,9 +446,11 @@ def index_build(spark, sf):
 
 
 def _keyed_index(spark: SparkSession, sf: str) -> DataFrame:
-    """Index rows without vectors, not stored."""
+    """A stored index of all pieces, without vectors, read back."""
     rows = chunks(spark, sf).withColumn("vector", F.lit(None).cast("array<float>"))
-    return index.index_rows(rows, SHARDS)
+    table = _index_table(spark)
+    table.overwrite(index.index_rows(rows, SHARDS))
+    return table.read()
 
 
 @query
@@ -574,6 +576,36 @@ def knn_ivf_recall(spark, sf):
     return reached.select("query_id", (F.col("recall") >= 0.9).alias("reached"))
 
 
+def cell_store(spark: SparkSession, sf: str, n_cells: int) -> cells.CellStore:
+    """Two thirds of the vectors stored by cell, the others and some again upserted."""
+    vectors = _table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vector"), "label")
+    store = cells.CellStore(
+        spark, work_folder(spark, "cells"), vectors.schema["vec_id"], [vectors.schema["label"]], n_cells
+    )
+    store.build(vectors.filter("vec_id % 3 > 0"))
+    store.upsert(vectors.filter("vec_id % 3 = 0 OR vec_id % 10 = 1"))
+    return store
+
+
+@query
+def knn_store(spark, sf):
+    """All cells of a store probed: the exact hits."""
+    found = cell_store(spark, sf, 16).search(_label_queries(spark, sf), 10, nprobe=16)
+    return _rounded(found.drop("label"))
+
+
+@query
+def knn_store_recall(spark, sf):
+    """Whether a store whose number of probes was tuned on other queries finds nine of ten
+    exact hits on average."""
+    store = cell_store(spark, sf, 32)
+    rows = store.read().filter("vec_id % 20 = 7").select(F.col("vec_id").alias("query_id"), "vector")
+    store.tune(rows, 0.95, 10)
+    exact = search.knn(store.read(), _label_queries(spark, sf), 10, "COSINE", "vec_id")
+    reached = cells.recall(store.search(_label_queries(spark, sf), 10), exact, "vec_id")
+    return reached.agg((F.avg("recall") >= 0.9).alias("reached"))
+
+
 def _ivf(spark: SparkSession, sf: str, nprobe: int) -> tuple[DataFrame, DataFrame]:
     vectors = _table(spark, sf, "embeddings")
     queries = _label_queries(spark, sf)
@@ -607,6 +639,20 @@ def term_index(spark, sf):
     return lexical.term_index(rows).drop("nth")
 
 
+@query
+def bm25_stored(spark, sf):
+    """The same search in stored postings, built of the earlier texts and brought up to date."""
+    def rows(df: DataFrame) -> DataFrame:
+        return df.select(F.col("chunkId").alias("chunk_id"), F.col("chunk").alias("text"))
+
+    before, now = earlier_chunks(spark, sf, "compact"), chunks(spark, sf, "compact")
+    pair = ["chunkId", "chunkHash"]
+    terms = postings.Postings(spark, work_folder(spark, "postings"))
+    terms.build(rows(before))
+    terms.update(rows(changes.not_in(now, before, pair)), rows(changes.not_in(before, now, ["chunkId"])))
+    return _rounded(terms.search(question_texts(spark, sf)))
+
+
 @query
 def bm25_search(spark, sf):
     rows = chunks(spark, sf, "compact").select(F.col("chunkId").alias("chunk_id"), F.col("chunk").alias("text"))
@@ -647,6 +693,34 @@ def batch_answer(spark, sf):
     return answer.batch_answer(question_texts(spark, sf), built_index(spark, sf))
 
 
+def _one_vector(texts: list[str]) -> list[list[float]]:
+    return [[1.0, 0.0] if t else [] for t in texts]
+
+
+def _busy(messages: list[dict[str, str]]) -> str:
+    raise RuntimeError("busy")
+
+
+@query
+def batch_answer_outcomes(spark, sf):
+    """Requests of two models and an empty index, with every outcome there is."""
+    stored = stored_index(spark, sf)
+    flat = stored.read().withColumn("vector", F.lit([1.0, 0.0]).cast("array<float>"))
+    n = F.col("query_id") % 6
+    requests = question_texts(spark, sf).select(
+        "query_id",
+        F.when(n == 1, "").otherwise(F.col("text")).alias("text"),
+        F.when(n == 2, "flat").when(n == 3, "bare").when(n == 4, "other").alias("embed_model"),
+        F.when(n == 5, "busy").alias("chat_model"),
+    )
+    return answer.route_answers(
+        requests,
+        {MODEL: stored, "flat": flat, "bare": flat.limit(0)},
+        {MODEL: hashed_embed, "flat": _one_vector, "bare": _one_vector},
+        {"extractive": answer.first_sentence, "busy": _busy},
+    )
+
+
 # -- stages and audit ----------------------------------------------------------------
 
 
