@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from docvec.llm import decontaminate, mixing, nearcopies, quality, sharding
+from docvec.llm import decontaminate, mixing, quality, sharding, simhash
 from docvec.llm.common import stored, table
 
 
@@ -19,8 +19,9 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word Jaccard of 0.8 or more."""
-    return nearcopies.keep_one(docs)
+    """One document of each group stays whose fingerprints of three-word shingles link at
+    three or fewer differing bits, as in ``op9_simhash``."""
+    return simhash.keep_one(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
