@@ -226,10 +226,10 @@ def near_duplicates(
 
 
 def keep_one(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", looks: int = 1, near=None
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", looks: int = 1
 ) -> DataFrame:
     """One row of each near-duplicate group, with all its columns: that of the smallest
-    id. ``near(docs, id_col, text_col)`` gives the groups, by fingerprints if left out. Rows without an id stand after those with one, and are told apart by their text;
+    id. Rows without an id stand after those with one, and are told apart by their text;
     of wholly repeated rows one stays.
     """
     me = F.struct(
@@ -238,7 +238,7 @@ def keep_one(
         F.xxhash64(F.col(text_col)).alias("hash"),
     )
     named = docs.select(me.alias("me"), F.col(text_col).alias("text"))
-    found = near(named, "me", "text") if near else near_duplicates(named, "me", "text", looks)
+    found = near_duplicates(named, "me", "text", looks)
     kept = found.filter("me = component_id").select("me.*").distinct()
     names = [f"__keep_{c}" for c in kept.columns]
     marked = docs.select("*", me.alias("__keep")).select(
