@@ -384,6 +384,8 @@ def oracles() -> dict[str, str]:
         + _CHAINED,
         "audit_summary": _with(_EVENT_LINES)
         + "SELECT channel, count(*) AS entries FROM lines GROUP BY channel",
+        "runs_reported": "SELECT * FROM (VALUES (1::BIGINT, 'normalize', 2::BIGINT), (1, 'chunk', 2), (2, 'normalize', 2), "
+        "(2, 'chunk', 2)) t(run, stage, n_lines) WHERE (SELECT count(*) FROM documents) > 0",
         "run_report": _with(_EVENT_LINES)
         + """, numbered AS (
               SELECT *, sum((channel = 'signup')::INT) OVER (PARTITION BY log ORDER BY ts
@@ -490,7 +492,10 @@ _CHAINED = """, again AS (
 gone AS (
   SELECT count(*) AS n FROM chunks_compact_before WHERE "chunkId" NOT IN (SELECT "chunkId" FROM chunks_compact)
 ),
-fresh AS (SELECT count(*) AS n FROM chunk_changes)
+fresh AS (SELECT count(*) AS n FROM chunk_changes),
+net AS (
+  SELECT (SELECT count(*) FROM chunks_compact) - (SELECT count(*) FROM chunks_compact_before) AS n
+)
 SELECT 'normalize' AS stage, 'new' AS metric, count(*) FILTER (NOT is_update) AS value FROM doc_changes
 UNION ALL SELECT 'normalize', 'changed', count(*) FILTER (is_update) FROM doc_changes
 UNION ALL SELECT 'normalize', 'failed', 0
@@ -502,4 +507,8 @@ UNION ALL SELECT 'embed', 'embedded', n FROM fresh
 UNION ALL SELECT 'embed', 'failed', 0
 UNION ALL SELECT 'embed', 'batches', ceil(n / 32)::BIGINT FROM fresh
 UNION ALL SELECT 'index', 'removed', n FROM gone
-UNION ALL SELECT 'index', 'indexed', n FROM fresh"""
+UNION ALL SELECT 'index', 'indexed', n FROM fresh
+UNION ALL SELECT 'normalize', 'net_change', count(*) FILTER (NOT is_update) FROM doc_changes
+UNION ALL SELECT 'chunk', 'net_change', n FROM net
+UNION ALL SELECT 'embed', 'net_change', n FROM net
+UNION ALL SELECT 'index', 'net_change', n FROM net"""

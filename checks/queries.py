@@ -12,7 +12,7 @@ import os
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docvec.functions.text import chunk_id, sha256_hex, shard_of
@@ -787,6 +787,20 @@ def audit_summary(spark, sf):
     return audit.audit_summary(_event_lines(spark, sf))
 
 
+@query
+def runs_reported(spark, sf):
+    """Two runs over one store, told from the events that they kept: how often each stage
+    began or ended in each run."""
+    store, _ = _two_runs(spark, sf, ["normalize", "chunk"], "compact")
+    events = spark.read.parquet(store.folder("audit_events"))
+    # A log for each run, as the log files are; runs are numbered by their first event.
+    first = events.groupBy("run_id").agg(F.min("ts").alias("began"))
+    order = first.select("run_id", F.row_number().over(Window.orderBy("began")).cast("bigint").alias("nth"))
+    lines = events.select(F.col("run_id").alias("log"), audit.log_line().alias("line"))
+    report = audit.run_report(lines, f"^{stages.RUN_START}$", stages.STAGE_LINE)
+    return report.join(order, report["log"] == order["run_id"]).select(F.col("nth").alias("run"), "stage", "n_lines")
+
+
 @query
 def run_report(spark, sf):
     return audit.run_report(_event_lines(spark, sf).drop("channel"), RUN_START, STAGE_LINE)

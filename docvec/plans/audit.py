@@ -5,12 +5,15 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docvec.sources.storage import Storage
+
 # The line format ``yyyy-MM-dd HH:mm:ss | message``.
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+_STRFTIME = "%Y-%m-%d %H:%M:%S"
 SEPARATOR = " | "
 LINE_PATTERN = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}) \| (.*)$"
 
@@ -42,7 +45,7 @@ class Audit:
         now = dt.datetime.now()
         self.events.append((self.run_id, stage, channel, metric, value, message, now))
         if self.echo:
-            print(f"{now:%Y-%m-%d %H:%M:%S}{SEPARATOR}{message}")
+            print(f"{now:{_STRFTIME}}{SEPARATOR}{message}")
 
     def count(self, stage: str, metric: str, value: int) -> None:
         self.note(stage, f"{stage}: {metric} = {value}", metric, int(value))
@@ -50,16 +53,27 @@ class Audit:
     def table(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(self.events, EVENTS_SCHEMA)
 
+    def publish_log(self, spark: SparkSession, folder: str, job: str) -> str:
+        """Write the run's lines as one text file; the path."""
+        at = int(self.events[0][-1].timestamp() * 1000) if self.events else 0
+        path = f"{folder.rstrip('/')}/{job}_{self.run_id}_{at}.log"
+        lines = [f"{ts:{_STRFTIME}}{SEPARATOR}{message}" for *_, message, ts in self.events]
+        Storage(spark).publish(path, "".join(f"{line}\n" for line in lines))
+        return path
+
     def store(self, spark: SparkSession, path: str) -> None:
         """Append the events to the ``audit_events`` table."""
         self.table(spark).coalesce(1).write.mode("append").parquet(path)
 
 
+def log_line() -> Column:
+    """An event in the line format."""
+    return F.concat(F.date_format("ts", TS_FORMAT), F.lit(SEPARATOR), "message")
+
+
 def log_lines(events: DataFrame) -> DataFrame:
     """One ``value`` per event in the line format."""
-    return events.select(
-        F.concat(F.date_format("ts", TS_FORMAT), F.lit(SEPARATOR), "message").alias("value")
-    )
+    return events.select(log_line().alias("value"))
 
 
 def write_log(events: DataFrame, folder: str, job: str, run_id: str, at_ms: int) -> str:

@@ -27,7 +27,7 @@ from docvec.operators.chunks import chunk_documents
 from docvec.operators.embed import EmbedFn, embed_texts, embedding_rows, hashed_embed
 from docvec.operators.index import index_candidates, index_rows
 from docvec.operators.normalize import normalize_documents
-from docvec.operators.stats import shard_distribution, shard_operations
+from docvec.operators.stats import changed_sample, shard_distribution, shard_operations
 from docvec.options import Options
 from docvec.plans.audit import Audit
 from docvec.sources.documents import Files
@@ -41,6 +41,9 @@ from docvec.sources.tables import Changes, ManagedTable, Write
 Source = Callable[[DataFrame | None], DataFrame]
 
 STAGES = ("normalize", "chunk", "embed", "index")
+# The line that opens a run, and the lines that open and close a stage.
+RUN_START = "RUN START"
+STAGE_LINE = f"^({'|'.join(STAGES)}): (?:start|end)$"
 
 
 # Share of a table up to which what changed is looked up on its own. Above it, one
@@ -148,6 +151,13 @@ def _touched_chunks(store: Store, feed: Changes, pending: DataFrame | None = Non
     return docs, _scratch(store, ids.distinct(), "touched_chunks")
 
 
+def _sample_changed(audit: Audit, stage: str, keys: DataFrame) -> None:
+    """Note the first changed documents in order."""
+    changed = keys.withColumn("is_update", F.col("action") == "changed")
+    for r in changed_sample(changed).collect():
+        audit.note(stage, f"{stage}: changed {r.uri}")
+
+
 def _nothing(audit: Audit, stage: str) -> int:
     audit.note(stage, f"{stage}: nothing to do")
     return 0
@@ -197,9 +207,13 @@ def _normalize_listed(store: Store, source: Files, options: Options, audit: Audi
     found, counts = _plan(store, compare(keys, have, "docId", "contentHash", ["uri"]))
     audit.count(stage, "new", counts["new"])
     audit.count(stage, "changed", counts["changed"])
+    if counts["changed"]:
+        _sample_changed(audit, stage, found)
     gone = None if lost is None else lost.select(doc_id("uri").alias("docId"))
+    pruned = 0 if gone is None else gone.count()
     if gone is not None:
-        audit.count(stage, "pruned", gone.count())
+        audit.count(stage, "pruned", pruned)
+    audit.count(stage, "net_change", counts["new"] - pruned)
     write = None
     if counts["new"] or counts["changed"]:
         todo = good.join(_todo(found, "uri"), "uri", "left_semi")
@@ -237,6 +251,7 @@ def run_normalize(store: Store, source: Source, options: Options, audit: Audit)
         table.show(write)
         audit.count(stage, "new", rows)
         audit.count(stage, "changed", 0)
+        audit.count(stage, "net_change", rows)
         return rows
     # A document that could not be extracted comes with a null hash: it is neither new nor
     # gone, so a failed fetch never removes what is stored. Only URIs that the source no
@@ -260,6 +275,8 @@ def run_normalize(store: Store, source: Source, options: Options, audit: Audit)
     audit.count(stage, "changed", counts["changed"])
     if options.prune:
         audit.count(stage, "pruned", counts["gone"])
+    if counts["changed"]:
+        _sample_changed(audit, stage, keys)
     write = None
     if counts["new"] or counts["changed"]:
         write = table.put(normalized(_todo(keys, "uri")))
@@ -267,6 +284,7 @@ def run_normalize(store: Store, source: Source, options: Options, audit: Audit)
     if write is None and gone is None:
         return _nothing(audit, stage)
     table.show(write, ["docId"] if counts["changed"] else None, gone)
+    audit.count(stage, "net_change", counts["new"] - counts["gone"])
     return counts["new"] + counts["changed"]
 
 
@@ -321,14 +339,16 @@ def run_chunk(store: Store, options: Options, audit: Audit) -> int:
     counted = table.written(write, "offset").agg(F.count(F.lit(1)).alias("chunks"), firsts).first()
     audit.count(stage, "documents", counted.documents)
     audit.count(stage, "chunks", counted.chunks)
-    changed = counted.chunks
+    changed, before_rows = counted.chunks, 0
     if old is not None:
         # Chunks of a changed document that read as before are written, for their
         # document hash, but do not count as changed.
         pair = ["chunkId", "chunkHash"]
         before = table.read("docId", *pair, within=old).join(old, "docId", "left_semi")
         changed = not_in(table.written(write, *pair), before, pair).count()
+        before_rows = before.count()
     audit.count(stage, "chunks_changed", changed)
+    audit.count(stage, "net_change", counted.chunks - before_rows)
     table.show(write, delete=old, note=note)
     return counted.chunks
 
@@ -349,7 +369,7 @@ def run_embed(
     chunks = store.chunks.read(*columns, version=seen)
     model, version = options.embed_model, options.embed_ver
     noted, mine = _notes(table), f"{model}/{version}"
-    gone, replaces = None, False
+    gone, replaces, replaced, counts = None, False, 0, {"changed": 0, "gone": 0}
     if table.exists():
         last = noted.get(mine, {})
         feed = _changes(store.chunks, last.get("chunks", 0), seen)
@@ -382,6 +402,7 @@ def run_embed(
                 table.remember(note)
                 return _nothing(audit, stage)
             table.show(None, delete=gone, note=note)
+            audit.count(stage, "net_change", -counts["gone"])
             return 0
         chunks = chunks.join(_todo(keys, "chunkId"), "chunkId", "left_semi")
         texts = counts["new"] + counts["changed"]
@@ -396,14 +417,18 @@ def run_embed(
     if texts and not good and options.stop_when_all_fail:
         table.discard(write)
         raise NoEmbeddings(f"none of {texts} texts could be embedded")
-    left = None
+    left, replaced = None, counts["changed"]
     if texts > good:
+        if replaced:
+            again = keys.filter(F.col("action") == "changed").select("chunkId")
+            replaced = table.written(write, "chunkId").join(again, "chunkId", "left_semi").count()
         # Failed texts are listed beside the table, for the next run.
         failed = not_in(chunks.select("chunkId", "docId"), table.written(write, "chunkId"), ["chunkId"])
         failed.write.mode("overwrite").parquet(table.side("pending", write.number))
         left = write.number
     note = json.dumps({**noted, mine: {"chunks": seen, "pending": left}})
     table.show(write, ["chunkId", "embedder", "embedder_ver"] if replaces else None, gone, note)
+    audit.count(stage, "net_change", good - replaced - counts["gone"])
     return good
 
 
@@ -418,7 +443,7 @@ def run_index(store: Store, options: Options, audit: Audit) -> int:
     vectors = store.embeddings.read(*made, version=seen["embeddings"])
     noted, mine = _notes(meta), f"{model}/{version}"
     last = noted.get(mine, {})
-    gone, replaces, updates = None, False, None
+    gone, replaces, updates, counts = None, False, None, {"changed": 0, "gone": 0}
     # An index that was written to without its entries, by a run that was lost, may
     # already hold rows that come again.
     lost = index.version() not in (0, last.get("index"))
@@ -466,6 +491,7 @@ def run_index(store: Store, options: Options, audit: Audit) -> int:
                 meta.remember(json.dumps({**noted, mine: {**seen, "index": index.version()}}))
                 return _nothing(audit, stage)
             publish(None, gone)
+            audit.count(stage, "net_change", -counts["gone"])
             return 0
         pair = ["chunkId", "chunkHash"]
         todo = _todo(keys, *pair)
@@ -491,6 +517,7 @@ def run_index(store: Store, options: Options, audit: Audit) -> int:
         audit.note(stage, f"{name}: added = {r.added}, updated = {r.updated}")
     audit.count(stage, "indexed", indexed)
     publish(write, gone)
+    audit.count(stage, "net_change", indexed - counts["changed"] - counts["gone"])
     return indexed
 
 
@@ -556,22 +583,26 @@ def run_stages(
         raise ValueError(f"unknown stages: {sorted(unknown)}")
     store = open_store(spark, path, options)
     audit = Audit(run_id or uuid.uuid4().hex, echo=echo)
+    steps = {
+        "normalize": lambda: run_normalize(store, source, options, audit),
+        "chunk": lambda: run_chunk(store, options, audit),
+        "embed": lambda: run_embed(store, options, audit, embed),
+        "index": lambda: (run_index(store, options, audit), run_terms(store, options, audit)),
+    }
+    audit.note("run", RUN_START)
     try:
-        if "normalize" in stages:
-            if source is None:
-                raise ValueError("the normalize stage needs a source")
-            run_normalize(store, source, options, audit)
-        if "chunk" in stages:
-            run_chunk(store, options, audit)
-        if "embed" in stages:
-            run_embed(store, options, audit, embed)
-        if "index" in stages:
-            run_index(store, options, audit)
-            run_terms(store, options, audit)
+        if "normalize" in stages and source is None:
+            raise ValueError("the normalize stage needs a source")
+        for stage in STAGES:
+            if stage in stages:
+                audit.note(stage, f"{stage}: start")
+                steps[stage]()
+                audit.note(stage, f"{stage}: end")
     except Exception as exc:
         audit.note("run", f"run failed: {exc}", channel="error")
         raise
     finally:
         audit.store(spark, store.folder("audit_events"))
+        audit.publish_log(spark, store.folder("logs"), "run")
         store.drop_scratch()
     return store, audit
