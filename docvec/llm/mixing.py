@@ -12,9 +12,9 @@ A cut stops before the document that would pass it, which leaves a gap. One more
 is taken, a little above or below, that brings the words nearest to the target. Where that
 is not near, further rounds first fill the gap in the same order from documents that fit in
 it, and the round is chosen after which one more document comes nearest. Where a source
-has many documents, hardly anything but the ranking decides who is in. Where nearly all
-of a small source is wanted, what is left may be one long document that is neither taken
-nor left without a gap of up to half its size.
+has many documents, hardly anything but the ranking decides who is in. Where it still does
+not end near, as when nearly all of a small source is wanted and one long document is
+left, a free document first in rank takes the place of a taken one.
 
 No source is sorted as a whole. Words are summed per source and bucket of the rank
 value, buckets are cumulated, and exact ranks are needed in the bucket that holds the
@@ -41,6 +41,7 @@ WEIGHTS = (5, 2, 1)  # by source in code point order, repeating
 SHARE = 1.5  # of all words
 MOST = 2.0  # times the words of a source
 ROUNDS = 4
+OFFERED = 8  # free documents that may take the place of a taken one
 NEAR = 0.002  # of a target: so near that no further round is tried
 BUCKETS = 4096
 SEED = "mix"
@@ -248,16 +249,53 @@ def mix_plan(rows: DataFrame, **kw) -> DataFrame:
     enough = F.coalesce(*[F.when(F.col(f"off_{k}") <= NEAR * F.col("target"), k) for k in rounds])
     plan = plan.withColumn("stop", F.coalesce(enough, nearest))
     last = F.coalesce(*[F.when(F.col("stop") == k, F.col(f"last_{k}")) for k in rounds])
-    return stored(plan.withColumn("last", last), "mix_plan")
+    plan = stored(plan.withColumns({"last": last, "off": off}), "mix_plan")
+    return _exchanged(rows, plan)
+
+
+def _exchanged(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """The plan with ``swap_in`` and ``swap_out``: where a source does not end near its target,
+    one of the ``OFFERED`` free documents first in rank takes the place of a taken one, if
+    that brings the words nearer. Each of the few is compared with the taken ones alone."""
+    needy = plan.filter(F.col("off") > NEAR * F.col("target"))
+    each = (
+        _with_plan(rows, needy)
+        .filter(F.col("rank").isNotNull())
+        .groupBy("source", "rank")
+        .agg(F.sum("size").alias("size"), F.first(_chosen()).alias("e"), F.first("gap_1").alias("gap"))
+    )
+    each = stored(each, "mix_needy")
+    left = each.groupBy(F.col("source").alias("s")).agg((F.first("gap") - F.sum(F.col("size") * F.col("e"))).alias("left"))
+    nth = F.row_number().over(W.partitionBy("source").orderBy("rank"))
+    offered = each.filter("e = 0").withColumn("nth", nth).filter(F.col("nth") <= OFFERED)
+    offered = offered.select(F.col("source").alias("f"), F.col("rank").alias("rank_in"), F.col("size").alias("size_in"))
+    taken = each.filter("e = 1").select("source", F.col("rank").alias("rank_out"), F.col("size").alias("size_out"))
+    off = F.abs(F.col("left") - F.col("size_in") + F.col("size_out"))
+    choice = F.struct(off.alias("off"), "rank_in", "rank_out")
+    best = (
+        taken.join(offered, F.col("source").eqNullSafe(F.col("f")))
+        .join(left, F.col("source").eqNullSafe(F.col("s")))
+        .filter(off < F.abs("left"))
+        .groupBy(F.col("source").alias("of"))
+        .agg(F.min(choice).alias("swap"))
+    )
+    joined = plan.join(best, F.col("source").eqNullSafe(F.col("of")), "left")
+    joined = joined.withColumns({"swap_in": F.col("swap.rank_in"), "swap_out": F.col("swap.rank_out")})
+    return stored(joined.drop("of", "swap"), "mix_plan")
 
 
-def _extra() -> Column:
+def _chosen() -> Column:
+    """Whether the rounds and the last document have a row: 0 or 1."""
     taken = F.coalesce(F.col("rank") == F.col("last"), F.lit(False))
     for k in range(1, ROUNDS + 1):
         taken = taken | ((F.col("stop") >= k) & _taken(k))
     return F.when(taken, 1).otherwise(0)
 
 
+def _extra() -> Column:
+    return F.when(F.col("rank") == F.col("swap_in"), 1).when(F.col("rank") == F.col("swap_out"), 0).otherwise(_chosen())
+
+
 def mix(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     seed: str = SEED, **kw,
@@ -380,11 +418,28 @@ r0 AS (
 ),{",".join(_round_sql(k) for k in range(1, ROUNDS + 1))},
 a AS ({" UNION ALL ".join(f"SELECT * FROM a{k}" for k in range(1, ROUNDS + 1))}),
 n AS (
-  SELECT source, k AS stop, last FROM a
+  SELECT source, k AS stop, last, min(off) OVER (PARTITION BY source) > {NEAR} * target AS needy FROM a
   QUALIFY row_number() OVER (PARTITION BY source ORDER BY
     CASE WHEN off <= {NEAR} * target THEN 0 ELSE 1 END, CASE WHEN off <= {NEAR} * target THEN k ELSE off END, k) = 1
+),
+g AS (
+  SELECT r.*, needy,
+    CASE WHEN coalesce(rank = last, false) OR coalesce(turn <= stop, false) THEN 1 ELSE 0 END AS e
+  FROM r{ROUNDS} r LEFT JOIN n ON r.source IS NOT DISTINCT FROM n.source
+),
+h AS (
+  SELECT source, rank, sum(size) AS size, any_value(e) AS e, any_value(target - copies * source_size) AS gap
+  FROM g WHERE needy AND rank IS NOT NULL GROUP BY source, rank
+),
+j AS (SELECT source, any_value(gap) - sum(size * e) AS missing FROM h GROUP BY source),
+i AS (SELECT * FROM h WHERE e = 0 QUALIFY row_number() OVER (PARTITION BY source ORDER BY rank) <= {OFFERED}),
+x AS (
+  SELECT h.source AS source, i.rank AS swap_in, h.rank AS swap_out
+  FROM h JOIN i ON h.source IS NOT DISTINCT FROM i.source JOIN j ON h.source IS NOT DISTINCT FROM j.source
+  WHERE h.e = 1 AND abs(missing - i.size + h.size) < abs(missing)
+  QUALIFY row_number() OVER (PARTITION BY h.source ORDER BY abs(missing - i.size + h.size), i.rank, h.rank) = 1
 )
 SELECT doc_id, size, source_size, target,
-  (size * (copies + CASE WHEN coalesce(rank = last, false) OR coalesce(turn <= stop, false) THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM r{ROUNDS} r LEFT JOIN n ON r.source IS NOT DISTINCT FROM n.source
+  (size * (copies + CASE WHEN rank = swap_in THEN 1 WHEN rank = swap_out THEN 0 ELSE e END))::BIGINT AS taken
+FROM g LEFT JOIN x ON g.source IS NOT DISTINCT FROM x.source
 """
