@@ -118,3 +118,53 @@ def count_clean(
                 yield pa.array([count(t or "") for t in texts], pa.int32())
 
     return counts(text)
+
+
+COMPARED = "struct<pieces: array<string>, same: array<int>, had: int>"
+
+
+def compare_clean(
+    text: Column,
+    earlier: Column,
+    max_chars: int = MAX_CHARS,
+    overlap: int = OVERLAP,
+    tail: str = "compat",
+) -> Column:
+    """A text's pieces beside those of its earlier texts (``array<string>``, or null).
+
+    ``pieces`` leaves out the suffixes at the end where they follow from the last piece;
+    ``same`` has the ordinals, suffixes included, at which an earlier text has the same piece,
+    and ``had`` the most pieces that an earlier text has.
+    """
+    check_split(max_chars, overlap, tail)
+    follow = tail == "compat" and tails_follow(max_chars, overlap)
+
+    def folded(t: str) -> tuple[list[str], int]:
+        found = walk(t, max_chars, overlap, tail == "compact" or follow)
+        return found, tail_count(len(found[-1]), overlap) if follow and found else 0
+
+    def piece(found: list[str], tails: int, i: int) -> str:
+        return found[i] if i < len(found) else found[-1][i - len(found) - tails :]
+
+    def row(t: str, olds: list[str]) -> tuple[list[str], list[int], int]:
+        now, tails = folded(t)
+        same, had = set(), 0
+        for old in olds:
+            before, more = folded(old)
+            had = max(had, len(before) + more)
+            both = range(min(len(now) + tails, len(before) + more))
+            same.update(i for i in both if piece(now, tails, i) == piece(before, more, i))
+        return now, sorted(same), had
+
+    kinds = [("pieces", pa.list_(pa.string())), ("same", pa.list_(pa.int32())), ("had", pa.int32())]
+
+    @F.arrow_udf(COMPARED)
+    def compared(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for texts, olds in batches:
+            pair = pa.StructArray.from_arrays([texts, olds], ["text", "olds"])
+            for rows in slices(pair):
+                made = [row(r["text"] or "", r["olds"] or []) for r in rows]
+                columns = [pa.array([m[i] for m in made], kind) for i, (_, kind) in enumerate(kinds)]
+                yield pa.StructArray.from_arrays(columns, [name for name, _ in kinds])
+
+    return compared(text, earlier)

@@ -61,6 +61,11 @@ def updates_then_inserts(
     return updates.unionByName(inserts)
 
 
+def updates_first(found: DataFrame) -> DataFrame:
+    """Classified rows as the union of updates and inserts. The parts share the shuffles."""
+    return found.filter("is_update").unionByName(found.filter(~F.col("is_update")))
+
+
 def settled_documents(chunks: DataFrame) -> DataFrame:
     """(docId, docHash) of documents whose chunks all carry one hash.
 
