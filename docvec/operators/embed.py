@@ -12,13 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docvec.functions.chunking import slices
 from docvec.options import BATCH_SIZE
 
 Vectors = Sequence[Sequence[float]] | np.ndarray
 EmbedFn = Callable[[list[str]], Vectors]
 
 HASHED_DIM = 64
-MAX_CACHED_WORDS = 500_000
+# Frequent words; the memory of a worker must not follow the vocabulary of the input.
+MAX_CACHED_WORDS = 50_000
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -101,14 +103,14 @@ def embed_texts(
     @F.arrow_udf(T.ArrayType(T.FloatType()))
     def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            texts = batch.to_pylist()
-            parts = [
-                _call(embed, texts[start : start + batch_size])
-                for start in range(0, len(texts), batch_size)
-            ]
-            flat = np.concatenate([np.empty(0, dtype=np.float32), *[p[0] for p in parts]])
-            ends = np.cumsum(np.concatenate([[0], *[p[1] for p in parts]]))
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.float32()))
+            for texts in slices(batch, step=batch_size):
+                parts = [
+                    _call(embed, texts[start : start + batch_size])
+                    for start in range(0, len(texts), batch_size)
+                ]
+                flat = np.concatenate([np.empty(0, dtype=np.float32), *[p[0] for p in parts]])
+                ends = np.cumsum(np.concatenate([[0], *[p[1] for p in parts]]))
+                yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.float32()))
 
     # Declared nondeterministic, so that a later filter on the vector is not pushed down
     # as a second call of the model.

@@ -121,3 +121,23 @@ def test_model_is_called_once_per_text(spark):
     made = embedding_rows(embed_texts(chunk_rows(spark, ["a", "b"])), "m", "1")
     plan = made._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
+
+
+def test_workers_embed_by_slices_of_whole_calls(spark):
+    """A worker holds the vectors of some texts, not of a whole Arrow batch; the calls of the
+    function stay as they were."""
+    import pyarrow as pa
+
+    from docvec.functions.chunking import SLICE_BYTES
+    from docvec.operators import embed as E
+
+    def measured(texts):
+        return [[float(len(texts)), 1.0] for _ in texts]
+
+    df = spark.range(0, 2500, 1, 1).selectExpr("id", "repeat('ab ', 400) AS chunk")
+    found = E.embed_texts(df, measured, keep=["id"], batch_size=32).orderBy("id").collect()
+    called = [round(r.vector[0] / r.vector[1]) for r in found]
+    assert called == [32] * 2496 + [4] * 4
+    sizes = [sum(map(len, p)) for p in E.slices(pa.array(["ab " * 400] * 2500), step=32)]
+    assert len(sizes) > 1 and max(sizes) <= SLICE_BYTES
+    assert E.MAX_CACHED_WORDS <= 50_000
