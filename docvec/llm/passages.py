@@ -43,8 +43,23 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    digest = xxhash.xxh64_intdigest
-    return np.fromiter((digest(w) for w in words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+
+
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, ``n`` or more of each; kept per worker for the
+    longest text so far."""
+    held = max(_POWERS, default=0)
+    if held < n:
+        _POWERS.clear()
+        held = max(n, 4096)
+        _POWERS[held] = tuple(
+            np.cumprod(np.r_[np.uint64(1), np.full(held - 1, np.uint64(x))], dtype=np.uint64) for x in (_BASE, _INVERSE)
+        )
+    return _POWERS[held]
 
 
 def gram_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
@@ -52,11 +67,10 @@ def gram_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     n = len(hashes) - size + 1
     if n < 1:
         return np.empty(0, np.int64)
-    one = np.uint64(1)
-    powers = np.cumprod(np.r_[one, np.full(len(hashes) - 1, np.uint64(_BASE))], dtype=np.uint64)
-    back = np.cumprod(np.r_[one, np.full(n - 1, np.uint64(_INVERSE))], dtype=np.uint64)
-    sums = np.r_[np.uint64(0), np.cumsum(hashes * powers, dtype=np.uint64)]
-    grams = (sums[size:] - sums[:-size]) * back
+    powers, back = _powers(len(hashes))
+    sums = np.zeros(len(hashes) + 1, np.uint64)
+    np.cumsum(hashes * powers[: len(hashes)], dtype=np.uint64, out=sums[1:])
+    grams = (sums[size:] - sums[:-size]) * back[:n]
     grams ^= grams >> np.uint64(29)
     grams *= np.uint64(0xBF58476D1CE4E5B9)
     grams ^= grams >> np.uint64(32)
@@ -154,13 +168,14 @@ class Automaton:
 
     def spans(self, doc: int, words: list[str]) -> list[tuple[int, int]]:
         """Stretches of words that an earlier document has, merged, in order."""
-        at, starts = 0, {}
-        for i, word in enumerate(words):
-            starts[at] = i
-            at += len(word) + 1
+        text, at, place = f" {' '.join(words)} ", 0, 0
         found = []
-        for end, phrase in self.machine.iter(f" {' '.join(words)} "):
-            place = starts[end + 1 - len(phrase)]
+        for end, phrase in self.machine.iter(text):
+            # Phrases are of one number of words, so they begin in the order they end in;
+            # as many words lie before as blanks.
+            begin = end + 1 - len(phrase)
+            place += text.count(" ", at, begin)
+            at = begin
             entered = self.windows[phrase]
             i = max(0, place - WINDOW + PHRASE)
             while i <= min(place, len(words) - WINDOW):

@@ -86,3 +86,15 @@ def test_query(spark):
         kept, removed = want[r.doc_id]
         assert (r.n_words, r.n_removed) == (len(texts[r.doc_id].encode().split()), removed)
         assert r.kept_sha256 == hashlib.sha256(kept.encode()).hexdigest()
+
+
+def test_gram_hashes_do_not_depend_on_what_came_before():
+    words = [b"w%d" % (i % 97) for i in range(6000)]
+    hashes = P.word_hashes(words)
+    short = P.gram_hashes(hashes[:60], 50)
+    P._POWERS.clear()
+    long = P.gram_hashes(hashes, 50)
+    assert (long[:11] == short).all() and (long[97:108] == short).all()
+    # A longer text has its powers worked out once, not those of every text anew.
+    held = P._powers(10)
+    assert P._powers(6000) is held and len(held[0]) == 6000
