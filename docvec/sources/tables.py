@@ -52,6 +52,8 @@ FOLD_AFTER = 8
 # the lowest tier.
 FAN = 4
 TIER_BYTES = 1 << 16
+# Bytes of deleted keys, as stored, up to which they are sent to the rows.
+BROADCAST_BYTES = 64 << 20
 
 
 def _schema(**fields: T.DataType) -> T.StructType:
@@ -313,10 +315,19 @@ class ManagedTable:
             gone = self._deleted(sets[0])
             for d in sets[1:]:
                 gone = gone.unionByName(self._deleted(d))
+            if self._small(sets):
+                gone = F.broadcast(gone)
             same = [F.col(k) == F.col(f"_gone_{k}") for k in keys]
             found = found.join(gone, [*same, F.col("ver") < F.col("_at")], "left_anti")
         return found.select(*columns)
 
+    def _small(self, sets: Sequence[Deletes]) -> bool:
+        """Whether the keys are few enough to go to every task, so that the rows stay where
+        they are. Keys that a write holds beside its rows are not told by its size."""
+        if any(d.own for d in sets):
+            return False
+        return sum(self._files.size(f"{self.path}/deletes/ver={d.ver}") for d in sets) <= BROADCAST_BYTES
+
     def _deleted(self, d: Deletes) -> DataFrame:
         """The keys of a set, with the write before which they hold."""
         if d.own:

@@ -249,3 +249,24 @@ def test_reading_within_keys_reads_their_buckets(spark):
     table.compact(4, buckets=5)
     assert {"7", "8"} <= {r.k for r in table.read("k", within=keys).collect()}
     assert {"7", "8"} <= {r.k for r in table.read("k", version=1, within=keys).collect()}
+
+
+def test_few_deleted_keys_go_to_the_rows(spark, tmp_path, monkeypatch):
+    """Reading a table with deletes must not shuffle its rows."""
+    from docvec.sources import tables as W
+
+    schema = W._schema(k=W._STR, v=W._STR)
+    table = W.ManagedTable(spark, f"{tmp_path}/t", schema, "k", 2)
+    rows = spark.range(20).selectExpr("cast(id as string) k", "'a' v")
+    table.overwrite(rows)
+    table.merge(rows.filter("k < 3"), delete=spark.range(5).selectExpr("cast(id as string) k"))
+    expected = sorted(str(i) for i in range(20) if i not in (3, 4))
+
+    def plan():
+        return table.read()._jdf.queryExecution().optimizedPlan().toString()
+
+    assert sorted(r.k for r in table.read().collect()) == expected
+    assert "broadcast" in plan()
+    monkeypatch.setattr(W, "BROADCAST_BYTES", 0)
+    assert "broadcast" not in plan()
+    assert sorted(r.k for r in table.read().collect()) == expected
