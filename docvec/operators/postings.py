@@ -22,7 +22,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
@@ -56,6 +56,17 @@ SCHEMA = T.StructType(
 _ARROW = to_arrow_schema(SCHEMA)
 
 
+class _Numbers(dict):
+    """Terms to numbers, in the order in which they are first asked for."""
+
+    def __missing__(self, term: str) -> int:
+        self[term] = number = len(self)
+        return number
+
+    def of(self, terms, n: int) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, terms), np.int64, n)
+
+
 @dataclass
 class PartRows:
     """The rows of one part while they are gathered: each term of each row, with its count."""
@@ -64,24 +75,29 @@ class PartRows:
     row: list[np.ndarray] = field(default_factory=list)
     term: list[np.ndarray] = field(default_factory=list)
     times: list[np.ndarray] = field(default_factory=list)
-    numbers: dict[str, int] = field(default_factory=dict)
-
-    def number(self, term: str) -> int:
-        return self.numbers.setdefault(term, len(self.numbers))
+    numbers: _Numbers = field(default_factory=_Numbers)
 
     def add(self, row_id: str, counts: dict[str, int]) -> None:
         if counts:
             n = len(counts)
-            self.row.append(np.full(n, len(self.ids)))
-            self.term.append(np.fromiter(map(self.number, counts), np.int64, n))
-            self.times.append(np.fromiter(counts.values(), np.int64, n))
+            self.row.append(np.full(n, len(self.ids), np.int32))
+            self.term.append(self.numbers.of(counts, n))
+            self.times.append(np.fromiter(counts.values(), np.int32, n))
             self.ids.append(row_id)
 
-    def add_block(self, first: int, term: str, rows: bytes, times: bytes) -> None:
-        held = np.frombuffer(rows, np.int32)
-        self.row.append(held.astype(np.int64) + first)
-        self.term.append(np.full(len(held), self.number(term)))
-        self.times.append(np.frombuffer(times, np.int32).astype(np.int64))
+    def add_blocks(self, terms: list[str], sizes: list[int], rows: list[bytes], times: list[bytes]) -> None:
+        """Stored blocks; their rows have the numbers that they had."""
+        self.row.append(np.frombuffer(b"".join(rows), np.int32))
+        self.term.append(np.repeat(self.numbers.of(terms, len(terms)), sizes))
+        self.times.append(np.frombuffer(b"".join(times), np.int32))
+
+    def add_rows(self, other: PartRows) -> None:
+        """The rows of another, numbered after those here."""
+        if other.ids:
+            self.row.append(np.concatenate(other.row) + np.int32(len(self.ids)))
+            self.term.append(self.numbers.of(other.numbers, len(other.numbers))[np.concatenate(other.term)])
+            self.times.append(np.concatenate(other.times))
+            self.ids += other.ids
 
     def blocks(self, part: int, gone: set[str] = frozenset()) -> pa.RecordBatch | None:
         """The part as it is stored, without rows that are gone. Of rows with one id the
@@ -90,30 +106,49 @@ class PartRows:
         kept = sorted((i for i, row_id in enumerate(self.ids) if last[row_id] == i and row_id not in gone), key=self.ids.__getitem__)
         if not kept:
             return None
-        place = np.full(len(self.ids), -1)
+        place = np.full(len(self.ids), -1, np.int32)
         place[kept] = np.arange(len(kept))
         row = place[np.concatenate(self.row)]
         term, times = np.concatenate(self.term)[row >= 0], np.concatenate(self.times)[row >= 0]
         row = row[row >= 0]
-        order = np.lexsort((row, term))
-        row, term, times = row[order].astype(np.int32), term[order], times[order].astype(np.int32)
+        order = np.argsort(term * len(kept) + row)
+        row, term, times = row[order], term[order], times[order]
         lengths = np.bincount(row, weights=times, minlength=len(kept)).astype(np.int32)
         # Where a term begins, and within it every so many rows.
         begins = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
         nth = np.arange(len(term)) - np.repeat(begins, np.diff(np.r_[begins, len(term)]))
         starts = np.flatnonzero(nth % BLOCK_ROWS == 0)
-        ends = [*starts[1:].tolist(), len(term)]
-        words = list(self.numbers)
+        n, ends = len(starts), np.r_[starts, len(term)]
+        words = pa.array(self.numbers, pa.string()).take(pa.array(term[starts]))
         most, shortest = np.maximum.reduceat(times, starts), np.minimum.reduceat(lengths[row], starts)
-        rows = [(part, "", len(kept), b"", lengths.tobytes(), 0, 0, int(lengths.sum()), [self.ids[i] for i in kept])]
-        for i, (a, b) in enumerate(zip(starts.tolist(), ends)):
-            rows.append((part, words[term[a]], b - a, row[a:b].tobytes(), times[a:b].tobytes(), int(most[i]), int(shortest[i]), None, None))
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
+        first = [part, "", len(kept), b"", lengths.tobytes(), 0, 0, int(lengths.sum()), [self.ids[i] for i in kept]]
+        rest = [np.full(n, part), words, np.diff(ends), _cut(row, ends), _cut(times, ends), most, shortest, pa.nulls(n), pa.nulls(n)]
+        columns = [
+            pa.concat_arrays([pa.array([a], f.type), (b if isinstance(b, pa.Array) else pa.array(b)).cast(f.type)])
+            for a, b, f in zip(first, rest, _ARROW)
+        ]
+        return pa.RecordBatch.from_arrays(columns, schema=_ARROW)
+
+
+def _cut(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Whole numbers as one string of bytes for each stretch between ``ends``."""
+    values = np.ascontiguousarray(values, np.int32)
+    places = pa.py_buffer((ends * values.itemsize).astype(np.int64))
+    return pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, places, pa.py_buffer(values)])
 
 
 _GATHERED = "part int, turn int, id string, text string, term string, n int, rows binary, times binary, ids array<string>"
 
 
+def _stretches(*columns: pa.Array) -> Iterator[tuple[int, int]]:
+    """Where the values of the columns stay the same, as (first, number of rows)."""
+    held = [c.to_numpy(zero_copy_only=False) for c in columns]
+    if len(held[0]):
+        ends = np.flatnonzero(np.any([v[1:] != v[:-1] for v in held], axis=0)) + 1
+        bounds = [0, *ends.tolist(), len(held[0])]
+        yield from ((a, b - a) for a, b in zip(bounds, bounds[1:]))
+
+
 def _built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come by part: its row list (turn 0), its blocks (1), ids that are gone (2), new
     rows (3)."""
@@ -121,31 +156,27 @@ def _built(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def finished():
         # New rows replace those with their id; ids that are gone and come again stay.
-        for i, row_id in enumerate(new.ids):
-            gone.discard(row_id)
-        first = len(held.ids)
-        held.ids += new.ids
-        names = list(new.numbers)
-        for row, term, times in zip(new.row, new.term, new.times):
-            held.row.append(row + first)
-            held.term.append(np.fromiter((held.number(names[t]) for t in term), np.int64, len(term)))
-            held.times.append(times)
+        gone.difference_update(new.ids)
+        held.add_rows(new)
         return held.blocks(now, gone)
 
     for batch in batches:
-        for part, turn, row_id, text, term, _, rows, times, ids in zip(*(c.to_pylist() for c in batch.columns)):
+        for start, size in _stretches(batch["part"], batch["turn"]):
+            some = batch.slice(start, size)
+            part, turn = some["part"][0].as_py(), some["turn"][0].as_py()
             if part != now:
                 if now is not None and (out := finished()) is not None:
                     yield out
                 now, held, gone, new = part, PartRows(), set(), PartRows()
             if turn == 0:
-                held.ids = ids
+                held.ids = some["ids"][-1].as_py()
             elif turn == 1:
-                held.add_block(0, term, rows, times)
+                held.add_blocks(*(some[c].to_pylist() for c in ("term", "n", "rows", "times")))
             elif turn == 2:
-                gone.add(row_id)
+                gone.update(some["id"].to_pylist())
             else:
-                new.add(row_id, term_counts(text))
+                for row_id, text in zip(some["id"], some["text"]):
+                    new.add(row_id.as_py(), term_counts(text.as_py()))
     if now is not None and (out := finished()) is not None:
         yield out
 
@@ -167,6 +198,8 @@ class Part:
         self.lengths = np.empty(0)
         self.blocks: dict[str, list[Block]] = {}
         self.shares: dict[tuple[str, int], np.ndarray] = {}
+        self.wholes: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+        self.most: dict[str, list[float]] = {}
         self.scored = 0
 
     def add(self, term: str, rows: bytes, times: bytes, most: int, shortest: int, ids: list[str] | None) -> None:
@@ -194,20 +227,33 @@ class Part:
             self.scored += 1
         return self.shares[term, n]
 
+    def whole(self, term: str) -> tuple[np.ndarray, np.ndarray]:
+        """All rows of a term, and what it adds to them but for its weight."""
+        if term not in self.wholes:
+            blocks = self.blocks[term]
+            shares = [self.share(term, n) for n in range(len(blocks))]
+            self.wholes[term] = np.concatenate([b.rows for b in blocks]), np.concatenate(shares)
+        return self.wholes[term]
+
+    def bounds(self, term: str) -> list[float]:
+        if term not in self.most:
+            self.most[term] = [self.bound(b) for b in self.blocks[term]]
+        return self.most[term]
+
     def best(self, asked: list[tuple[str, float]], k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
         """(rows, scores) of the k best rows that reach the floor, best first, ties by id."""
         terms = []
         for term, weight in asked:
             if term in self.blocks:
-                bounds = [weight * self.bound(b) for b in self.blocks[term]]
+                bounds = [weight * b for b in self.bounds(term)]
                 terms.append((max(bounds), term, weight, bounds))
         terms.sort(reverse=True)
         left = np.cumsum([t[0] for t in terms][::-1])[::-1].tolist() + [0.0]
         sums = np.zeros(len(self.ids))
         for i, (_, term, weight, bounds) in enumerate(terms):
             if left[i] >= floor - _SLACK:
-                for n, block in enumerate(self.blocks[term]):
-                    sums[block.rows] += weight * self.share(term, n)
+                rows, shares = self.whole(term)
+                sums[rows] += weight * shares  # a term has a row once
             else:
                 followed = np.flatnonzero((sums > 0) & (sums + left[i] >= floor - _SLACK))
                 if not followed.size:
@@ -220,7 +266,8 @@ class Part:
                     places = np.minimum(np.searchsorted(block.rows, some), len(block.rows) - 1)
                     there = block.rows[places] == some
                     sums[some[there]] += weight * self.share(term, n)[places[there]]
-            if i + 1 < len(terms) and np.count_nonzero(sums) >= k:
+            # The k-th best is looked for once it can be above what is left.
+            if i + 1 < len(terms) and sums.max() >= left[i + 1] - _SLACK and np.count_nonzero(sums) >= k:
                 floor = max(floor, float(np.partition(sums, -k)[-k]))
         rows = np.flatnonzero((sums > 0) & (sums >= floor - _SLACK))
         scores = np.round(sums[rows], SCORE_DIGITS)
@@ -289,6 +336,17 @@ def _searched(k: int, mean: float, types: list[pa.DataType]):
     return run
 
 
+def _without_null_lists(df: DataFrame, *columns: str) -> DataFrame:
+    """Empty lists for null ones. On its way to a worker Spark looks at the size of a batch
+    after each row, and then goes through all null lists since the last other one."""
+    return df.withColumns({c: F.coalesce(c, F.array().cast(df.schema[c].dataType)) for c in columns})
+
+
+def _by(first: str, second: str) -> Column:
+    """The order by two numbers as one number, which Spark sorts without comparing rows."""
+    return F.col(first).cast("long") * F.lit(1 << 32) + F.col(second)
+
+
 class Postings:
     """A stored term table over rows of an id and a text."""
 
@@ -314,8 +372,9 @@ class Postings:
         every = self.spark.createDataFrame([], _GATHERED)
         for side in sides:
             every = every.unionByName(side, allowMissingColumns=True)
+        every = _without_null_lists(every, "ids")
         tasks = max(min(parts, MOST_TASKS), 1)
-        return every.repartitionById(tasks, F.pmod("part", F.lit(tasks))).sortWithinPartitions("part", "turn")
+        return every.repartitionById(tasks, F.pmod("part", F.lit(tasks))).sortWithinPartitions(_by("part", "turn"))
 
     def build(self, rows: DataFrame, text_col: str = "text", **note) -> None:
         """Store the terms of all rows anew. ``note`` is kept with the table."""
@@ -364,8 +423,8 @@ class Postings:
         right = blocks.select(
             F.pmod("part", F.lit(groups)).alias("place"), "part", "term", "rows", "times", "most", "shortest", "ids"
         )
-        met = left.unionByName(right, allowMissingColumns=True).select(*columns)
-        dealt = met.repartitionById(groups, F.col("place").cast("int")).sortWithinPartitions("place", "part")
+        met = _without_null_lists(left.unionByName(right, allowMissingColumns=True).select(*columns), "terms", "ids")
+        dealt = met.repartitionById(groups, F.col("place").cast("int")).sortWithinPartitions(_by("place", "part"))
         types = [to_arrow_type(f.dataType) for f in schema.fields]
         found = dealt.mapInArrow(_searched(k, total / n, types), schema)
         best = ranked(found, k, ["query_id"], "id")

@@ -129,3 +129,29 @@ def test_empty_table(spark):
     assert got(store.search(asked(spark, QUERIES), 3)) == []
     store.update(frame(spark, {"b": "w1"}), spark.createDataFrame([("a",)], "chunk_id string"))
     assert got(store.search(asked(spark, QUERIES), 3)) == [(1, "b", 1), (5, "b", 1)]
+
+
+def test_stored_blocks_come_back_whole_and_rows_are_added_after_them():
+    old, new = made(400, 1), {f"n{i}": t for i, t in enumerate(made(300, 2).values())}
+
+    def part(rows):
+        gathered = PartRows()
+        for row_id, text in rows.items():
+            gathered.add(row_id, lexical.term_counts(text))
+        return gathered
+
+    first = part(old).blocks(0)
+    held = PartRows(ids=first["ids"][0].as_py())
+    rest = first.slice(1)
+    held.add_blocks(*(rest[c].to_pylist() for c in ("term", "n", "rows", "times")))
+    held.add_rows(part(new))
+    assert sorted(map(str, held.blocks(0).to_pylist())) == sorted(map(str, part(old | new).blocks(0).to_pylist()))
+
+
+def test_parts_are_sorted_by_one_number(spark):
+    """With two, Spark compares rows pair by pair: all of a part have the first in common."""
+    store = Postings(spark, work_folder(spark, "terms"), part_rows=100)
+    rows = spark.createDataFrame([("a", "w0 w1")], "id string, text string")
+    plan = store._gathered(4, rows, None, None)._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [" in line]
+    assert len(sorts) == 1 and sorts[0].count(" ASC ") == 1
