@@ -130,6 +130,16 @@ def test_long_texts_and_many_matches_take_seconds(spark, docs_of, name):
     assert (row.b, row.a) == {"base64": (0, 1), "matches": (100_000, 0), "candidates": (0, 30_000), "slashes": (0, 0)}[name]
 
 
+def test_a_megabyte_of_random_base64_is_one_secret(spark, docs_of):
+    # One generator for all characters; LONG["base64"] has a new one for each, and so one letter.
+    rng = random.Random(1)
+    text = "".join(rng.choice(S.UPPER + S.LOWER + S.DIGITS + "+/") for _ in range(1_000_000))
+    started = time.perf_counter()
+    row = S.scan(docs_of([text])).select(F.size("secrets.base").alias("b"), F.col("secrets.added").alias("a")).first()
+    assert time.perf_counter() - started < 60
+    assert row.b == 0 and [(s.kind, s.start, s.end) for s in row.a] == [("entropy_base64", 0, 1_000_000)]
+
+
 def test_edge_rows(edge_docs):
     rows = S.scan(edge_docs)
     assert rows.columns == [*edge_docs.columns, "secrets"] and rows.count() == edge_docs.count()
