@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from docvec.functions.text import doc_id, has_visible, normalize_whitespace, sha256_hex, shard_of
 from docvec.operators.changes import compare, not_in, one_per_key
-from docvec.operators.chunks import chunk_documents
+from docvec.operators.chunks import changed_in, chunk_documents
 from docvec.operators.embed import EmbedFn, embed_texts, embedding_rows, hashed_embed
 from docvec.operators.index import index_candidates, index_rows
 from docvec.operators.normalize import normalize_documents
@@ -33,7 +33,7 @@ from docvec.plans.audit import Audit
 from docvec.sources.documents import Files
 from docvec.sources.storage import work_folder
 from docvec.sources.store import Store
-from docvec.sources.tables import Changes, ManagedTable, Write
+from docvec.sources.tables import BROADCAST_BYTES, Changes, ManagedTable, Write, key_bytes
 
 # A source gives ``uri`` and ``text`` (and ``language``) rows, each URI once; called
 # with a table of URIs it gives those alone, so that an expensive extraction is not
@@ -113,6 +113,13 @@ def _todo(keys: DataFrame, *columns: str) -> DataFrame:
     return keys.filter(F.col("action") != "gone").select(*columns)
 
 
+def _sent(keys: DataFrame) -> tuple[DataFrame, bool]:
+    """Keys of one column, sent to the rows they are looked up in where they are few, so
+    that the rows stay in place; and whether they are."""
+    few = key_bytes(keys, *keys.columns) <= BROADCAST_BYTES
+    return (F.broadcast(keys) if few else keys), few
+
+
 def _gone(keys: DataFrame, counts: dict[str, int], *columns) -> DataFrame | None:
     if not counts["gone"]:
         return None
@@ -216,7 +223,7 @@ def _normalize_listed(store: Store, source: Files, options: Options, audit: Audi
     audit.count(stage, "net_change", counts["new"] - pruned)
     write = None
     if counts["new"] or counts["changed"]:
-        todo = good.join(_todo(found, "uri"), "uri", "left_semi")
+        todo = good.join(_sent(_todo(found, "uri"))[0], "uri", "left_semi")
         rows = normalize_documents(todo, lang).withColumn("version_ts", F.current_timestamp())
         write = table.put(rows)
     if write is not None or gone is not None:
@@ -279,7 +286,7 @@ def run_normalize(store: Store, source: Source, options: Options, audit: Audit)
         _sample_changed(audit, stage, keys)
     write = None
     if counts["new"] or counts["changed"]:
-        write = table.put(normalized(_todo(keys, "uri")))
+        write = table.put(normalized(_sent(_todo(keys, "uri"))[0]))
     gone = _gone(keys, counts, "docId")
     if write is None and gone is None:
         return _nothing(audit, stage)
@@ -297,7 +304,7 @@ def run_chunk(store: Store, options: Options, audit: Audit) -> int:
     stage, table = "chunk", store.chunks
     seen, first = store.documents.version(), not table.exists()
     docs = store.documents.read(version=seen)
-    old = None
+    old, placed = None, first
     # Chunks of another split rule count as changed, so one rule holds for the table.
     rule = f"max_chars={options.max_chars} overlap={options.overlap} tail={options.tail}"
     note = json.dumps({"rule": rule, "documents": seen})
@@ -309,13 +316,13 @@ def run_chunk(store: Store, options: Options, audit: Audit) -> int:
             audit.count(stage, "chunks", 0)
             return _nothing(audit, stage)
         if feed is None:
-            have = table.read("docId", "docHash")
+            have = table.folded("docId", "docHash")
             if not ruled:
                 have = have.withColumn("docHash", F.lit("split by another rule"))
         else:
             touched = _scratch(store, feed.touched("docId"), "touched_docs")
             docs = feed.written(*docs.columns)
-            have = table.read("docId", "docHash", within=touched).join(touched, "docId", "left_semi")
+            have = table.folded("docId", "docHash", within=touched).join(touched, "docId", "left_semi")
         found = compare(
             docs.select("docId", F.col("contentHash").alias("docHash")),
             have,
@@ -327,26 +334,36 @@ def run_chunk(store: Store, options: Options, audit: Audit) -> int:
             table.remember(note)
             audit.count(stage, "chunks", 0)
             return _nothing(audit, stage)
-        docs = docs.join(_todo(keys, "docId"), "docId", "left_semi")
+        todo, few = _sent(_todo(keys, "docId"))
+        docs = docs.join(todo, "docId", "left_semi")
+        placed = few and feed is None
         if counts["changed"] or counts["gone"]:
             old = keys.filter(F.col("action") != "new").select("docId")
-    chunked = chunk_documents(docs, options.max_chars, options.overlap, options.tail)
-    # Documents are kept in the buckets of their chunks. On later runs the few rows of
-    # each task are gathered instead.
+    chunked = chunk_documents(docs, options.max_chars, options.overlap, options.tail, folded=True)
+    # Documents are kept in the buckets of their chunks. Where few have changed, the rows
+    # of all tasks are gathered instead.
     stamped = chunked.withColumn("version_ts", F.current_timestamp())
-    write = table.put(stamped, placed=first)
+    write = table.put(stamped, placed=placed)
     firsts = F.count_if(F.col("offset") == 0).alias("documents")
-    counted = table.written(write, "offset").agg(F.count(F.lit(1)).alias("chunks"), firsts).first()
+    every = F.coalesce(F.sum(F.col("tails") + 1), F.lit(0)).alias("chunks")
+    counted = table.folded_written(write, "offset", "tails").agg(every, firsts).first()
     audit.count(stage, "documents", counted.documents)
     audit.count(stage, "chunks", counted.chunks)
     changed, before_rows = counted.chunks, 0
     if old is not None:
         # Chunks of a changed document that read as before are written, for their
         # document hash, but do not count as changed.
-        pair = ["chunkId", "chunkHash"]
-        before = table.read("docId", *pair, within=old).join(old, "docId", "left_semi")
-        changed = not_in(table.written(write, *pair), before, pair).count()
-        before_rows = before.count()
+        if ruled:
+            columns = ["docId", "chunkId", "chunkHash", "offset", "chunk", "tails"]
+            before = table.folded(*columns, within=old).join(old, "docId", "left_semi")
+            numbers = changed_in(table.folded_written(write, *columns), before, options.overlap)
+            changed = numbers.agg(F.coalesce(F.sum("changed"), F.lit(0))).first()[0]
+            before_rows = before.agg(every).first().chunks
+        else:
+            pair = ["chunkId", "chunkHash"]
+            before = table.read("docId", *pair, within=old).join(old, "docId", "left_semi")
+            changed = not_in(table.written(write, *pair), before, pair).count()
+            before_rows = before.count()
     audit.count(stage, "chunks_changed", changed)
     audit.count(stage, "net_change", counted.chunks - before_rows)
     table.show(write, delete=old, note=note)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from docvec.operators.postings import Postings
+from docvec.sources.chunk_table import ChunkTable
 from docvec.sources.storage import Storage
 from docvec.sources.tables import SCHEMAS, ManagedTable
 
@@ -22,10 +23,7 @@ class Store:
 
         self.documents = table("doc_normalized", "docId")
         self.sources = table("sources", "uri")
-        self.chunks = ManagedTable(
-            spark, f"{self.path}/chunks", SCHEMAS["chunks"], "docId", buckets,
-            sort_by=["docId", "offset"],
-        )
+        self.chunks = ChunkTable(spark, f"{self.path}/chunks", buckets)
         self.embeddings = table("embeddings", "chunkId")
         self.indexed = table("indexed_chunks", "chunkId")
         self.index = ManagedTable(

@@ -52,7 +52,9 @@ FOLD_AFTER = 8
 # the lowest tier.
 FAN = 4
 TIER_BYTES = 1 << 16
-# Bytes of deleted keys, as stored, up to which they are sent to the rows.
+# Ids and hashes are hex digits, which entropy coding halves and Spark's default codec does not.
+CODEC = "zstd"
+# Bytes of keys up to which they are sent to the rows that have or lack them.
 BROADCAST_BYTES = 64 << 20
 
 
@@ -101,6 +103,7 @@ class Deletes:
     ver: int
     columns: tuple[str, ...]
     own: bool
+    bytes: int | None = None  # of the keys of a write itself, where known
 
 
 @dataclass(frozen=True)
@@ -126,6 +129,12 @@ class State:
     sizes: dict[int, int] = field(default_factory=dict)  # bytes of each write held
 
 
+def key_bytes(keys: DataFrame, *columns: str) -> int:
+    """Bytes of all keys, as text."""
+    size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in columns), F.lit(0))
+    return keys.agg(F.coalesce(F.sum(size.cast("bigint")), F.lit(0))).first()[0]
+
+
 def _tier(size: int) -> int:
     tier = 0
     while size > TIER_BYTES * FAN**tier:
@@ -134,11 +143,11 @@ def _tier(size: int) -> int:
 
 
 def _as_json(sets: Sequence[Deletes]) -> list[dict]:
-    return [{"ver": d.ver, "columns": list(d.columns), "own": d.own} for d in sets]
+    return [{"ver": d.ver, "columns": list(d.columns), "own": d.own, "bytes": d.bytes} for d in sets]
 
 
 def _from_json(sets: list[dict]) -> tuple[Deletes, ...]:
-    return tuple(Deletes(d["ver"], tuple(d["columns"]), d["own"]) for d in sets)
+    return tuple(Deletes(d["ver"], tuple(d["columns"]), d["own"], d.get("bytes")) for d in sets)
 
 
 @dataclass(frozen=True)
@@ -158,12 +167,12 @@ class Changes:
     def written(self, *columns: str) -> DataFrame:
         """Rows written since that were neither replaced nor deleted since."""
         deletes = [d for s in self.steps for d in s.deletes]
-        return self.table._rows(self._held(), columns, deletes)
+        return self.table._shown(self._held(), columns, deletes)
 
     def touched(self, column: str) -> DataFrame:
         """The distinct values of a column in all that was written or deleted since.
         Deletes are by this column or by keys of the writes themselves."""
-        found = self.table._files_of(self._held()).select(column)
+        found = self.table._shown(self._held(), (column,))
         for step in self.steps:
             for d in step.deletes:
                 if not d.own:
@@ -266,20 +275,24 @@ class ManagedTable:
         ``within`` has values of the bucket key: only the buckets that these fall in are
         read. The rows may have other keys still.
         """
+        state = self._chosen(version, within)
+        return self._shown(state.held, columns or self._visible(), state.deletes)
+
+    def _chosen(self, version: int | None, within: DataFrame | None) -> State:
+        """A version, with the buckets alone that values of the bucket key fall in."""
         state = self._state(self.version() if version is None else version)
-        held = state.held
-        if within is not None and held:
-            # At most one number per bucket comes back.
-            place = self._bucket(state.buckets).alias("b")
-            some = {r[0] for r in within.select(self.bucket_key).select(place).distinct().collect()}
-            held = {b: w for b, w in held.items() if b in some}
-        return self._rows(held, columns or self._visible(), state.deletes)
+        if within is None or not state.held:
+            return state
+        # At most one number per bucket comes back.
+        place = self._bucket(state.buckets).alias("b")
+        some = {r[0] for r in within.select(self.bucket_key).select(place).distinct().collect()}
+        return replace(state, held={b: w for b, w in state.held.items() if b in some})
 
     def read_buckets(self, numbers: Sequence[int], *columns: str) -> DataFrame:
         """Rows of some buckets of the current version; the folders of others are not listed."""
         state, wanted = self._state(self.version()), set(numbers)
         held = {b: w for b, w in state.held.items() if b in wanted}
-        return self._rows(held, columns or self._visible(), state.deletes)
+        return self._shown(held, columns or self._visible(), state.deletes)
 
     def changes(self, since: int, until: int | None = None) -> Changes | None:
         """What happened after version ``since``; None when the versions do not tell,
@@ -304,6 +317,12 @@ class ManagedTable:
         shown = [self.bucket_name] if self.bucket_name != "bucket" else []
         return [*self.schema.names, *shown]
 
+    def _shown(
+        self, held: dict[int, list[int]], columns: Sequence[str], deletes: Sequence[Deletes] = ()
+    ) -> DataFrame:
+        """Rows as readers get them; a table may store them in another form."""
+        return self._rows(held, columns, deletes)
+
     def _rows(
         self, held: dict[int, list[int]], columns: Sequence[str], deletes: Sequence[Deletes] = ()
     ) -> DataFrame:
@@ -323,10 +342,11 @@ class ManagedTable:
 
     def _small(self, sets: Sequence[Deletes]) -> bool:
         """Whether the keys are few enough to go to every task, so that the rows stay where
-        they are. Keys that a write holds beside its rows are not told by its size."""
-        if any(d.own for d in sets):
+        they are."""
+        if any(d.own and d.bytes is None for d in sets):
             return False
-        return sum(self._files.size(f"{self.path}/deletes/ver={d.ver}") for d in sets) <= BROADCAST_BYTES
+        sizes = (d.bytes if d.own else self._files.size(f"{self.path}/deletes/ver={d.ver}") for d in sets)
+        return sum(sizes) <= BROADCAST_BYTES
 
     def _deleted(self, d: Deletes) -> DataFrame:
         """The keys of a set, with the write before which they hold."""
@@ -381,6 +401,7 @@ class ManagedTable:
         (
             typed.sortWithinPartitions(self.bucket_name, *self.sort_by)
             .write.mode("overwrite")
+            .option("compression", CODEC)
             .partitionBy(self.bucket_name)
             .parquet(target)
         )
@@ -407,7 +428,7 @@ class ManagedTable:
 
     def written(self, write: Write, *columns: str) -> DataFrame:
         """Rows of a write that is not shown yet."""
-        return self._rows({b: [write.number] for b in write.buckets}, columns or self._visible())
+        return self._shown({b: [write.number] for b in write.buckets}, columns or self._visible())
 
     def discard(self, write: Write) -> None:
         self._files.delete(f"{self.path}/data/ver={write.number}")
@@ -431,7 +452,8 @@ class ManagedTable:
             raise ValueError(f"write {number} of {self.path} came before what is shown already")
         new: list[Deletes] = []
         if state.held and write is not None and keys is not None:
-            new.append(Deletes(number, tuple(keys), True))
+            own = Deletes(number, tuple(keys), True)
+            new.append(replace(own, bytes=key_bytes(self._deleted(own), *[f"_gone_{k}" for k in keys])))
         if state.held and delete is not None:
             delete.distinct().write.mode("overwrite").parquet(f"{self.path}/deletes/ver={number}")
             new.append(Deletes(number, tuple(delete.columns), False))
