@@ -6,7 +6,7 @@ Layout of a table folder::
     deletes/ver=4/part-....parquet
     versions/00000002.json     {"next": 5, "buckets": 8, "bucket": {"7": [1, 3]},
                                 "note": null,
-                                "deletes": [{"ver": 4, "columns": ["k"], "own": false}],
+                                "deletes": [{"ver": 4, "columns": ["k"], "own": false, "bytes": null}],
                                 "did": {"write": 3, "deletes": [...], "whole": false}}
 
 A version lists, for each bucket, the writes that hold its rows; nothing that is
